@@ -53,10 +53,9 @@ def compare(spark, con, name: str, root: str) -> str:
     if sorted(df.columns) != sorted(columns):
         return f"columns {sorted(df.columns)} / {sorted(columns)}"
     if mine != theirs:
-        left = [r for r in mine if r not in set(theirs)][:2] if len(mine) < 20000 else []
-        right = [r for r in theirs if r not in set(mine)][:2] if len(theirs) < 20000 else []
-        first = next(((a, b) for a, b in zip(mine, theirs) if a != b), None)
-        return f"rows {len(mine)} / {len(theirs)}; only here {left}; only there {right}; first {first}"
+        left = sorted(set(mine) - set(theirs), key=str)[:2]
+        right = sorted(set(theirs) - set(mine), key=str)[:2]
+        return f"rows {len(mine)} / {len(theirs)}; only here {left}; only there {right}"
     return "" if mine else "no rows"
 
 
