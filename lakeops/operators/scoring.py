@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -166,9 +168,6 @@ def ensemble_spread(model: PipelineModel, scored: DataFrame, samples: int = 50,
     The margin of every tree is computed once per row in a vectorised function; half-ensembles are then
     one matrix product. The ensemble is small (rounds x nodes) and travels with the function.
     """
-    import numpy as np
-    import pandas as pd
-
     gbt: GBTClassificationModel = model.stages[-1]
     trees = _tree_arrays(gbt)
     rate = list(gbt.treeWeights)

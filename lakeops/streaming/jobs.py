@@ -69,8 +69,10 @@ def stream_sessions(views: DataFrame, visitor: str, ts: str, gap: str = "30 minu
 
     Merging session windows needs only their bounds and sums as state, not the views.
     """
-    # A row exactly one gap later still belongs to the session, as in the batch operator.
-    windowed = views.withWatermark(ts, lateness).groupBy(visitor, F.session_window(ts, gap).alias("w"))
+    # Gaps count whole seconds, and a row exactly one gap later still belongs to the session, both as in
+    # the batch operator.
+    at = views.withColumn("_at", F.date_trunc("second", ts)).withWatermark("_at", lateness)
+    windowed = at.groupBy(visitor, F.session_window("_at", gap).alias("w"))
     counted = windowed.agg(F.min(ts).alias("session_start_at"), F.max(ts).alias("session_end_at"), F.count(F.lit(1)).alias("views"), *measures)
     return counted.drop("w")
 
