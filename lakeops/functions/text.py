@@ -31,7 +31,9 @@ def uri_percent_decode(text: Column) -> Column:
     """
     decoded = F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
     spelled = _occurrences(text, REPLACEMENT) + _occurrences(F.upper(text), "%EF%BF%BD")
-    return F.when(_occurrences(decoded, REPLACEMENT) <= spelled, decoded)
+    return F.when(
+        ~decoded.contains(REPLACEMENT) | (_occurrences(decoded, REPLACEMENT) <= spelled), decoded
+    )
 
 
 def clean_utm_term(term: Column) -> Column:

@@ -36,12 +36,12 @@ def share_of_total(df: DataFrame, group: str, count: str = "record_count", share
 def distinct_list(df: DataFrame, keys: Sequence[str], value: str, name: str, separator: str = "; ") -> DataFrame:
     """Sorted distinct non-null texts of each key, joined. Duplicates go before values are collected."""
     pairs = df.select(*keys, value).distinct()
-    return pairs.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(value)), separator).alias(name))
+    return pairs.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_list(value)), separator).alias(name))
 
 
 def distinct_array(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     pairs = df.select(*keys, value).distinct()
-    return pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(name))
+    return pairs.groupBy(*keys).agg(F.sort_array(F.collect_list(value)).alias(name))
 
 
 def unit_flags(
@@ -69,7 +69,7 @@ def unit_flags(
 def first_and_more(df: DataFrame, key: str, value: str, k: int = 5, name: str = "listing") -> DataFrame:
     """The first k values of each key as text, then 'and N more'."""
     first = first_per_key(df.select(key, value), [key], [F.col(value).asc()], k)
-    listed = first.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(value)), ", ").alias("_listed"))
+    listed = first.groupBy(key).agg(F.array_join(F.sort_array(F.collect_list(value)), ", ").alias("_listed"))
     counted = df.groupBy(key).agg(F.count(value).alias("_n"))
     more = F.when(F.col("_n") > k, F.concat(F.lit(", and "), (F.col("_n") - k).cast("string"), F.lit(" more")))
     return counted.join(listed, key).select(

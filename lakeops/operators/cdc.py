@@ -63,13 +63,17 @@ def cdc_apply(
 ) -> DataFrame:
     """Fold a batch of log rows into a state of newest rows (tombstones kept).
 
-    Only keys of the batch are folded again; the others pass through. Applying a batch twice changes
-    nothing, and a late older row does not undo a delete because the tombstone holds its timestamp.
+    The batch is folded first; then one full outer join on the key keeps the newer of two rows, and keys
+    the batch does not touch pass through. Applying a batch twice changes nothing, and a late older row
+    does not undo a delete because the tombstone holds its timestamp.
     """
-    folded = cdc_latest(batch, keys, ts, op, tie)
-    touched = state.join(folded.select(*keys), list(keys), "left_semi")
-    rest = state.join(folded.select(*keys), list(keys), "left_anti")
-    return rest.unionByName(cdc_latest(touched.unionByName(folded), keys, ts, op, tie))
+    columns = state.columns
+    side = lambda df, name: df.select(
+        *keys, F.struct(ts, F.col(op) != "D", *tie).alias(f"_{name}_rank"), F.struct(*columns).alias(f"_{name}")
+    )
+    both = side(state, "old").join(side(cdc_latest(batch, keys, ts, op, tie), "new"), list(keys), "full_outer")
+    keep = F.col("_new").isNull() | (F.col("_old").isNotNull() & (F.col("_old_rank") >= F.col("_new_rank")))
+    return both.select(F.when(keep, F.col("_old")).otherwise(F.col("_new")).alias("r")).select("r.*")
 
 
 def visible(state: DataFrame, ts: str, op: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.joins import range_join
 from lakeops.operators.ordered import ordered_scan
+from lakeops.session import materialize
 
 QUANTITIES = {"credits": "%Credits%", "minutes": "%Minutes%"}
 
@@ -82,14 +83,18 @@ def upsell_by_contract(upsells: DataFrame, last: DataFrame) -> DataFrame:
     )
 
 
-def contract_sums(aligned: DataFrame, by_contract: DataFrame) -> DataFrame:
-    """Contracts with quoted and upsold amounts and their sums over earlier and later terms."""
+def contract_amounts(aligned: DataFrame, by_contract: DataFrame) -> DataFrame:
+    """Contracts with quoted and upsold amounts, 0 where there are none."""
     amounts = [f"{kind}_{n}" for kind in ("quoted_contracted", "upsell") for n in QUANTITIES]
     rows = aligned.join(by_contract, "contract_id", "left")
-    rows = rows.select(
+    return rows.select(
         "contract_id", "opportunity_id", "account_id", "contract_start_date", "contract_end_date",
         *[F.coalesce(F.col(a), F.lit(0)).alias(a) for a in amounts],
     )
+
+
+def contract_sums(rows: DataFrame) -> DataFrame:
+    """Amounts of contracts and their sums over the opportunity's earlier and later terms."""
     before, after = {}, {}
     for n in QUANTITIES:
         before[f"sum_previous_terms_quoted_contracted_{n}"] = f"quoted_contracted_{n}"
@@ -105,11 +110,15 @@ def contract_sums(aligned: DataFrame, by_contract: DataFrame) -> DataFrame:
 def contract_credits(
     contracts: DataFrame, opportunities: DataFrame, quotes: DataFrame, lines: DataFrame, since_year: int = 2024
 ) -> DataFrame:
-    """All of the above: contracts with quoted, upsold and cumulated credits and minutes."""
-    upsells = upsell_by_opportunity(opportunities, quotes, lines)
+    """All of the above: contracts with quoted, upsold and cumulated credits and minutes.
+
+    Results that later steps read more than once are written in between.
+    """
+    upsells = materialize(upsell_by_opportunity(opportunities, quotes, lines), "upsells")
     last = last_contract_of(contracts, match_upsells(upsells, contracts))
-    aligned = align_terms(contracts, quoted_by_term(opportunities, quotes, lines, since_year))
-    return contract_sums(aligned, upsell_by_contract(upsells, last))
+    quoted = materialize(quoted_by_term(opportunities, quotes, lines, since_year), "quoted")
+    amounts = materialize(contract_amounts(align_terms(contracts, quoted), upsell_by_contract(upsells, last)), "amounts")
+    return contract_sums(amounts)
 
 
 def account_capacity(credits: DataFrame, account_id: object | None = None) -> DataFrame:

@@ -146,7 +146,7 @@ def attach_children(
         children.join(big, child_key, "left")
         .select(F.col(child_key).alias("_child"), share.alias("part"), F.struct(order, *fields).alias("_c"))
         .groupBy("_child", "part")
-        .agg(F.array_sort(F.collect_list("_c")).alias(name))
+        .agg(F.sort_array(F.collect_list("_c")).alias(name))
     )
     element = listed.schema[name].dataType.simpleString()
     joined = parents.join(listed, F.col(parent_key) == F.col("_child"), "left").drop("_child")

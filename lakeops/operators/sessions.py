@@ -88,31 +88,32 @@ def sessionize(
         .withColumn("_new", F.when(seconds_between(F.col("_before"), F.col("_first")) <= gap, 0).otherwise(1))
         .withColumn("session_number", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
     )
-    in_session = Window.partitionBy(*_VISITOR, "session_number").orderBy("_slice")
-    slices = slices.withColumn(
-        "_session_before",
-        F.coalesce(F.sum("_views").over(in_session.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    )
+    # The slices are partitioned by visitor already, so the windows over sessions need no shuffle.
+    session = Window.partitionBy(*_VISITOR, "session_number")
+    in_session = session.orderBy("_slice")
     totals = [
-        F.sum("_views").alias("total_pages_in_session"),
-        F.min("_first").alias("session_start_at"),
-        F.max("_last").alias("session_end_at"),
+        F.coalesce(F.sum("_views").over(in_session.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_session_before"),
+        F.sum("_views").over(session).alias("total_pages_in_session"),
+        F.min("_first").over(session).alias("session_start_at"),
+        F.max("_last").over(session).alias("session_end_at"),
     ]
+    carried = [*_VISITOR, "_slice", "session_number", "_before", "_views_before", "_views_all"]
     if entry:
-        totals.append(F.min_by("_entry", "_slice").alias("_entry"))
+        totals.append(F.first("_entry").over(in_session).alias("_entry"))
     if domain:
-        totals.append(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_domains")))).alias("domains_in_session"))
-    sessions = slices.groupBy(*_VISITOR, "session_number").agg(*totals)
-    carried = slices.select(
-        *_VISITOR, "_slice", "session_number", "_before", "_views_before", "_views_all", "_session_before"
-    ).join(sessions, [*_VISITOR, "session_number"])
+        # A slice adds only the domains its predecessor lacks, so a long session does not pile them up.
+        added = F.array_except("_domains", F.coalesce(F.lag("_domains").over(in_session), F.array().cast("array<string>")))
+        slices = slices.withColumn("_added", F.when(F.size(added) > 0, added))
+        everything = F.flatten(F.collect_list("_added").over(session))
+        totals.append(F.sort_array(F.array_distinct(everything)).alias("domains_in_session"))
+    slices = slices.select(*carried, *totals)
 
     in_slice = Window.partitionBy(*_VISITOR, "_slice").orderBy(*order)
     rows = views.select(
         "*",
         F.row_number().over(in_slice).alias("_rn"),
         F.lag(ts).over(in_slice).alias("_prev"),
-    ).join(carried, [*_VISITOR, "_slice"])
+    ).join(slices, [*_VISITOR, "_slice"])
 
     known = F.lit(True) if by_ip else ~F.col("_unknown")
     session_only = lambda c: F.when(known, c)

@@ -9,6 +9,8 @@ from lakeops.operators import contracts as K
 from lakeops.queries.registry import query, text
 from lakeops.queries.relational import n_rows
 from lakeops.queries.scalars import ARR_REASON_SQL, KIND_SQL, kind, skip_reason, transactions
+from lakeops.session import materialize
+
 
 SINCE = 1996
 
@@ -32,6 +34,7 @@ def inputs(t):
         (F.col("opportunity_id") * 10 + F.col("l_linenumber")).alias("contract_id"), "opportunity_id", "account_id",
         start.alias("contract_start_date"), F.date_sub(F.add_months(start, 12), 1).alias("contract_end_date"),
     )
+    contracts = materialize(contracts, "contracts")
     return contracts, opportunities, quotes, lines
 
 

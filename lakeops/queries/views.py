@@ -15,20 +15,20 @@ EMPTY_CLICKS = [c for c in PAID_CLICK_IDS if c not in ("gclid", "reddit_cid", "m
 def page_views(t: Tables) -> DataFrame:
     """Events on the page their id points to; errors have no visitor, clicks no referrer."""
     n = t.pages.count()
-    k = F.get_json_object("props", "$.k").cast("int")
-    url = F.col("url")
+    k, url, host = F.col("k"), F.col("url"), F.col("host")
     joined = t.events.join(t.pages.select("page_id", "url"), F.col("event_id") % n == F.col("page_id"), "left")
-    return joined.select(
+    parsed = F.get_json_object("props", "$.k").cast("int").alias("k")
+    return joined.select("event_id", "ts", "user_id", "event_type", "url", parsed, website_domain(url).alias("host")).select(
         "event_id",
         F.when(F.col("event_type") != "error", F.concat(F.lit("u"), F.lpad(F.col("user_id").cast("string"), 12, "0"))).alias("anonymous_id"),
         F.when(F.col("event_type") != "error", F.concat(F.lit("10.0.0."), F.lpad(F.col("user_id").cast("string"), 12, "0"))).alias("context_ip"),
         F.col("ts").alias("timestamp"),
-        website_domain(url).alias("domain"),
+        host.alias("domain"),
         F.when(k < 5, "/pricing").when(k < 10, "/blog/a").when(k < 15, "/events/b")
         .otherwise(F.regexp_extract(url, r"^[a-z]+://[^/]+([^?#]*)", 1)).alias("path"),
         F.regexp_extract(url, r"(\?[^#]*)", 1).alias("search"),
         F.when(F.col("event_type") != "click", url).alias("referrer"),
-        F.when(F.col("event_type") != "click", website_domain(url)).alias("referrer_host"),
+        F.when(F.col("event_type") != "click", host).alias("referrer_host"),
         F.when(k >= 97, "chatgpt").when(k >= 94, "bing").when(k >= 91, "email").when(k >= 88, "DZone-x")
         .otherwise(F.nullif(F.regexp_extract(url, "utm_source=([a-z]+)", 1), F.lit(""))).alias("campaign_source"),
         F.when(k.between(50, 54), "cpc").when(k.between(55, 59), "rss").when(k.between(86, 96), "sponsorship")

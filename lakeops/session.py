@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every operator assumes. All can be changed at run time.
 RUNTIME_SETTINGS = {
@@ -25,10 +25,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cpus: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g", settings: dict[str, str] | None = None
+) -> SparkSession:
     """A single-machine session for tests and benches."""
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        SparkSession.builder.config(map=settings or {})
+        .master(f"local[{cpus}]")
         .appName("lakeops")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
@@ -52,3 +55,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         return tempfile.mkdtemp(prefix=f"lakeops-{label}-")
     return f"{root.rstrip('/')}/lakeops/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a result to the shared scratch folder and read it back.
+
+    For results that a plan would otherwise compute several times. The written table also cuts the
+    lineage, so a lost executor does not start the work over.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
