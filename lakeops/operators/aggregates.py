@@ -26,11 +26,11 @@ def duplicates(df: DataFrame, keys: Sequence[str], count: str = "occurrence_coun
 def share_of_total(df: DataFrame, group: str, count: str = "record_count", share: str = "percentage_of_total") -> DataFrame:
     """Count per group and its percentage of all rows.
 
-    The window runs over one row per group, after the aggregation.
+    The total is a scalar subquery, so many groups do not meet in one task.
     """
     counted = df.groupBy(group).agg(F.count(F.lit(1)).alias(count))
-    everything = Window.partitionBy(F.lit(1))
-    return counted.withColumn(share, F.col(count) * 100.0 / F.sum(count).over(everything))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counted.withColumn(share, F.col(count) * 100.0 / total)
 
 
 def distinct_list(df: DataFrame, keys: Sequence[str], value: str, name: str, separator: str = "; ") -> DataFrame:

@@ -33,6 +33,11 @@ def match_filter(
     return df
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Ask for a broadcast when a lookup has at most ``max_rows`` rows; leave the join to the planner beyond."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def merge_series(series: Mapping[str, DataFrame], on: str) -> DataFrame:
     """Full outer join of count series on one column; a missing count is 0.
 
@@ -84,16 +89,21 @@ def salted_join(
     """Equality join that spreads the hot keys of the left side.
 
     Keys with more than ``hot_rows`` left rows get one of ``salts`` salts from ``spread`` (any column
-    with many values); only their right rows are copied once per salt. All other keys have salt 0.
-    There are at most (left rows / hot_rows) hot keys.
+    with many values); only their right rows are copied once per salt. NULL keys, which match nothing,
+    are spread as well; all other keys have salt 0. The list of hot keys is broadcast: it has at most
+    (left rows / hot_rows) entries.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
     hot = left.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")
-    many = left.join(hot, list(keys), "left").withColumn("_salt", salt).drop("_hot")
+    unmatched = F.lit(False)
+    for key in keys:
+        unmatched = unmatched | F.col(key).isNull()
+    salted = F.coalesce(F.col("_hot"), F.lit(False)) | unmatched
+    salt = F.when(salted, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")
+    many = left.join(F.broadcast(hot), list(keys), "left").withColumn("_salt", salt).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    few = right.join(hot, list(keys), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    few = right.join(F.broadcast(hot), list(keys), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return many.join(few, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -101,7 +111,7 @@ def matches_any_pattern(df: DataFrame, column: str, patterns: DataFrame, pattern
     """Flag rows whose text is LIKE any pattern row; NULL text gives NULL, no patterns give false.
 
     Patterns of the form 'prefix%' become equality joins, one per distinct prefix length, so their
-    number is not limited. Other patterns are unrolled into the expression, which suits the short
+    number is not limited; short lists are broadcast. Other patterns are unrolled into the expression, which suits the short
     hand-kept lists they come from; more than 1,000 of those raise an error.
     """
     p = F.col(pattern)
@@ -111,7 +121,8 @@ def matches_any_pattern(df: DataFrame, column: str, patterns: DataFrame, pattern
     if len(others) > 1000:
         raise ValueError("more than 1,000 patterns that are not plain prefixes")
     prefixes = distinct.filter(is_prefix).select(F.expr(f"substr({pattern}, 1, length({pattern}) - 1)").alias("_p"))
-    lengths = sorted(r[0] for r in prefixes.select(F.length("_p")).distinct().collect())
+    counted = {r[0]: r[1] for r in prefixes.groupBy(F.length("_p").alias("n")).count().collect()}
+    lengths = sorted(counted)
 
     known = bool(others or lengths)
     hit = F.lit(False)
@@ -122,6 +133,7 @@ def matches_any_pattern(df: DataFrame, column: str, patterns: DataFrame, pattern
         name = f"_hit{n}"
         names.append(name)
         side = prefixes.filter(F.length("_p") == n).select(F.col("_p").alias(f"_p{n}"), F.lit(True).alias(name))
+        side = F.broadcast(side) if counted[n] <= 200_000 else side
         df = df.join(side, F.substring(F.col(column), 1, n) == F.col(f"_p{n}"), "left").drop(f"_p{n}")
         hit = hit | F.coalesce(F.col(name), F.lit(False))
     value = F.when(F.col(column).isNotNull(), hit) if known else F.lit(False)
@@ -131,6 +143,7 @@ def matches_any_pattern(df: DataFrame, column: str, patterns: DataFrame, pattern
 def in_lookup(df: DataFrame, value: Column, lookup: DataFrame, column: str, flag: str, extra: Column | None = None) -> DataFrame:
     """Boolean column: is the value in the lookup, or is ``extra`` true; never NULL."""
     side = lookup.select(F.col(column).alias("_value")).distinct().withColumn("_found", F.lit(True))
+    side = broadcast_if_small(side)
     out = df.withColumn("_probe", value).join(side, F.col("_probe") == F.col("_value"), "left")
     found = F.col("_found").isNotNull()
     if extra is not None:

@@ -95,7 +95,7 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.
     """
     hashed = df.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))))
     ranked = ordered_scan(
-        hashed, [label], ["_hash"], F.substring("_hash", 1, 3), row_number="_rank", total="_count"
+        hashed, [label], ["_hash"], F.substring("_hash", 1, 4), row_number="_rank", total="_count"
     )
     return ranked.withColumn(name, F.col("_rank") <= F.round(F.col("_count") * test_share)).drop("_hash", "_rank", "_count")
 

@@ -25,15 +25,28 @@ from lakeops.operators.attribution import (
 )
 
 _VISITOR = ["_visitor", "_unknown"]
+NARROW_SECONDS = 60
 
 
-def _sliced(df: DataFrame, visitor: str, ts: str, seconds: int) -> DataFrame:
-    return df.select(
+def _sliced(df: DataFrame, visitor: str, ts: str, seconds: int, hot_rows: int | None) -> DataFrame:
+    """Views with their visitor, never NULL, and the start second of their slice."""
+    at = F.unix_seconds(F.col(ts).cast("timestamp"))
+    start = lambda width: F.floor(at / width) * width
+    narrow = min(seconds, NARROW_SECONDS)
+    views = df.select(
         "*",
         F.coalesce(F.col(visitor).cast("string"), F.lit("")).alias("_visitor"),
         F.col(visitor).isNull().alias("_unknown"),
-        F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / seconds).alias("_slice"),
+        # Views without a visitor are one group however many there are.
+        F.when(F.col(visitor).isNull(), start(narrow)).otherwise(start(seconds)).alias("_slice"),
     )
+    if hot_rows is None:
+        return views
+    # At most (views / hot_rows) slices are hot, which bounds what is broadcast.
+    counted = views.groupBy(*_VISITOR, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    hot = counted.filter(F.col("_n") > hot_rows).select(*_VISITOR, "_slice", F.lit(True).alias("_hot"))
+    marked = views.join(F.broadcast(hot), [*_VISITOR, "_slice"], "left")
+    return marked.withColumn("_slice", F.when(F.col("_hot"), start(1)).otherwise(F.col("_slice"))).drop("_hot")
 
 
 def _session_id(by_ip: bool) -> Column:
@@ -52,6 +65,7 @@ def sessionize(
     domain: str | None = None,
     by_ip: bool = False,
     slice_seconds: int | None = None,
+    hot_rows: int | None = None,
     helpers: bool = False,
 ) -> DataFrame:
     """Add session columns to page views.
@@ -60,12 +74,12 @@ def sessionize(
     boundaries) after the one before. ``entry`` maps new columns to source columns taken from the first
     view of the session. Views without a visitor form one group whose ``session_id`` and session
     columns are NULL; with ``by_ip`` they get an id like any other address. Visitor ids should have one
-    length, or two visitors could share a session id. ``slice_seconds`` narrows the slices for very
-    dense visitors. ``helpers`` keeps the previous timestamp, inactivity and new-session flag.
+    length, or two visitors could share a session id. ``slice_seconds`` narrows all slices; ``hot_rows``
+    counts first and cuts only slices with more views to single seconds. ``helpers`` keeps the previous timestamp, inactivity and new-session flag.
     """
     entry = dict(entry or {})
     seconds = min(slice_seconds or gap, gap)
-    views = _sliced(df, visitor, ts, seconds)
+    views = _sliced(df, visitor, ts, seconds, hot_rows)
     order = [ts, *tie]
 
     aggs = [
@@ -154,6 +168,7 @@ def sessionize_page_visits(
     hosts: SiteHosts | None = None,
     campaigns: Sequence[tuple] | None = None,
     slice_seconds: int | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Page views with attribution category and their session's entry attributes.
 
@@ -174,6 +189,7 @@ def sessionize_page_visits(
         by_ip=by_ip,
         domain="domain",
         slice_seconds=slice_seconds,
+        hot_rows=hot_rows,
         entry={
             "session_attribution_category": "page_attribution_category",
             "session_campaign_source": "campaign_source",

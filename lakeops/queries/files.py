@@ -63,7 +63,7 @@ def _(t):
 def _(t):
     root = t.scratch("s4")
     period = F.date_format("o_orderdate", "yyyy-MM")
-    t.orders.withColumn("billing_period", period).write.partitionBy("billing_period").parquet(root)
+    W.clustered(t.orders.withColumn("billing_period", period), ["billing_period"]).write.partitionBy("billing_period").parquet(root)
     return S.read_partitioned(t.spark, root).groupBy("billing_period").agg(n_rows("n"))
 
 

@@ -141,7 +141,7 @@ select event_id, event_type from old union all
 (select event_id, event_type from events, w where event_id > mark and event_type <> 'error' order by event_id limit 1000000)""")
 def _(t):
     old = t.events.filter(F.col("ts") < day("2024-01-10"))
-    new = I.next_rows(t.events, "event_id", I.watermark(old, "event_id") or 0, 1_000_000, F.col("event_type") != "error")
+    new = I.next_rows(t.events, "event_id", I.watermark(old, "event_id") or 0, 1_000_000, F.col("event_type") != "error", F.to_date("ts"))
     return old.unionByName(new).select("event_id", "event_type")
 
 
@@ -184,7 +184,7 @@ def _(t):
 @query("s19_row_cap", "select event_id, cast(ts as varchar) as ts from events where ts > timestamp '2024-01-05' order by ts limit 500")
 def _(t):
     mark = F.lit("2024-01-05").cast("timestamp_ntz")
-    return I.next_rows(t.events, "ts", limit=500, where=F.col("ts") > mark).select("event_id", text("ts"))
+    return I.next_rows(t.events, "ts", limit=500, where=F.col("ts") > mark, slice_by=F.to_date("ts")).select("event_id", text("ts"))
 
 
 @query("s20_json_column", "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events")

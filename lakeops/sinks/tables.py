@@ -38,11 +38,17 @@ def read_table(spark: SparkSession, root: str) -> DataFrame | None:
     return None if path is None else spark.read.parquet(path)
 
 
+def clustered(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of a partition together, so that it gets few files; at run time large partitions are split
+    over tasks and small ones combined."""
+    return df.hint("rebalance", *by) if by else df
+
+
 def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
     """Write a new version and make it current. Old versions stay until the owner removes them."""
     spark = df.sparkSession
     name = f"v-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(f"{root}/{name}")
+    clustered(df, partition_by).write.partitionBy(*partition_by).parquet(f"{root}/{name}")
     fs, draft = _fs(spark, f"{root}/.{name}.pointer")
     stream = fs.create(draft, True)
     stream.writeUTF(name)
@@ -60,12 +66,8 @@ def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    """Replace exactly the partitions that occur in the DataFrame (dynamic partition overwrite).
-
-    Rows of a partition are spread over many files unless clustered; clustering is left to the writer's
-    shuffle on the partition columns plus a split, so that one large partition is not one task.
-    """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    """Replace exactly the partitions that occur in the DataFrame (dynamic partition overwrite)."""
+    clustered(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -98,4 +100,4 @@ def stage_rows(df: DataFrame, path: str, id_column: str, rows: int = 250) -> Non
 
 def append_by_type(df: DataFrame, path: str, event_type: str) -> None:
     """Append to one folder per event type."""
-    df.write.mode("append").partitionBy(event_type).parquet(path)
+    clustered(df, [event_type]).write.mode("append").partitionBy(event_type).parquet(path)

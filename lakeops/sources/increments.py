@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.sinks.merge import upsert
@@ -16,16 +16,27 @@ def watermark(target: DataFrame, key: str):
     return target.agg(F.max(key)).first()[0]
 
 
-def next_rows(source: DataFrame, key: str, after=None, limit: int | None = None, where: Column | None = None) -> DataFrame:
+def next_rows(
+    source: DataFrame, key: str, after=None, limit: int | None = None, where: Column | None = None, slice_by: Column | None = None
+) -> DataFrame:
     """Rows past a watermark in key order, at most ``limit`` per run.
 
-    The cap is the feature: the next run goes on from the new watermark. It is a top-n by key, which
-    each task cuts to n rows before the merge.
+    The cap is the feature: the next run goes on from the new watermark. ``slice_by`` grows with the key
+    (a day, or a number of leading digits); rows are then first counted per slice, and only the slices
+    that can hold the first n rows are sorted.
     """
     rows = source if where is None else source.filter(where)
     if after is not None:
         rows = rows.filter(F.col(key) > F.lit(after))
-    return rows if limit is None else rows.orderBy(key).limit(limit)
+    if limit is None:
+        return rows
+    if slice_by is not None:
+        counted = rows.groupBy(slice_by.alias("s")).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy(F.lit(1)).orderBy("s").rowsBetween(Window.unboundedPreceding, 0))
+        last = counted.withColumn("upto", upto).filter(F.col("upto") >= limit).agg(F.min("s")).first()[0]
+        if last is not None:
+            rows = rows.filter(slice_by <= F.lit(last))
+    return rows.orderBy(key).limit(limit)
 
 
 def incremental_upsert(

@@ -50,8 +50,8 @@ def test_gaps_around_the_threshold(spark):
     assert late[1]["session_number"] == 2
 
 
-@pytest.mark.parametrize("slice_seconds", [None, 60, 7])
-def test_hot_visitor_equals_brute_force(spark, slice_seconds):
+@pytest.mark.parametrize("slicing", [{}, {"slice_seconds": 60}, {"slice_seconds": 7}, {"hot_rows": 3}])
+def test_hot_visitor_equals_brute_force(spark, slicing):
     import random
 
     rng = random.Random(5)
@@ -60,7 +60,7 @@ def test_hot_visitor_equals_brute_force(spark, slice_seconds):
         at += timedelta(seconds=rng.choice([0, 1, 40, 700, 1799.5, 1800, 1800.4, 1801, 9000]))
         rows.append(("hot", at, i))
     rows += [(f"v{i % 40}", START + timedelta(seconds=rng.random() * 90000), 1000 + i) for i in range(300)]
-    got = run(spark, rows, slice_seconds=slice_seconds)
+    got = run(spark, rows, **slicing)
     assert {k: numbers(r) for k, r in got.items()} == brute_sessions(rows)
 
 
