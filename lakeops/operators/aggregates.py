@@ -70,9 +70,9 @@ def first_and_more(df: DataFrame, key: str, value: str, k: int = 5, name: str =
     """The first k values of each key as text, then 'and N more'."""
     first = first_per_key(df.select(key, value), [key], [F.col(value).asc()], k)
     listed = first.groupBy(key).agg(F.array_join(F.sort_array(F.collect_list(value)), ", ").alias("_listed"))
-    counted = df.groupBy(key).agg(F.count(value).alias("_n"))
+    counted = df.groupBy(F.col(key).alias("_key")).agg(F.count(value).alias("_n"))
     more = F.when(F.col("_n") > k, F.concat(F.lit(", and "), (F.col("_n") - k).cast("string"), F.lit(" more")))
-    return counted.join(listed, key).select(
+    return counted.join(listed, F.col(key).eqNullSafe(F.col("_key"))).select(
         key, F.concat("_listed", F.coalesce(more, F.lit(""))).alias(name), F.col("_n").alias("total")
     )
 

@@ -139,13 +139,13 @@ def arr_by_month(contracts: DataFrame, today: Column, carry: list[str]) -> DataF
     """
     earliest = contracts.groupBy("account_id").agg(F.min(F.struct("start_date", "contract_id")).alias("_first"))
     first_month, last_month = F.trunc("start_date", "month"), F.trunc("end_date", "month")
-    rows = contracts.join(earliest, "account_id").withColumn(
+    rows = contracts.join(earliest, "account_id", "left").withColumn(
         "arr_month", F.explode(F.sequence(first_month, last_month, F.expr("interval 1 month")))
     )
     return rows.select(
         "contract_id", "account_id", "arr_month", *carry,
         ((F.col("start_date") <= today) & (today <= F.col("end_date"))).alias("is_active_contract"),
-        (F.col("_first.contract_id") == F.col("contract_id")).alias("is_first_contract"),
+        F.coalesce(F.col("_first.contract_id") == F.col("contract_id"), F.lit(False)).alias("is_first_contract"),
         (F.col("arr_month") == first_month).alias("is_first_month_of_contract"),
         (F.col("arr_month") == last_month).alias("is_last_month_of_contract"),
     )

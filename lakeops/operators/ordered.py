@@ -14,15 +14,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def non_null_keys(keys: Sequence[str]) -> list[Column]:
+def non_null_keys(keys: Sequence[str], prefix: str = "_") -> list[Column]:
     """Pairs (text or '', is null) that equal-join NULL keys to each other.
 
     Plain columns, unlike a null-safe comparison, let one shuffle serve both a window and a join.
     """
     out = []
     for i, key in enumerate(keys):
-        out.append(F.coalesce(F.col(key).cast("string"), F.lit("")).alias(f"_k{i}"))
-        out.append(F.col(key).isNull().alias(f"_n{i}"))
+        out.append(F.coalesce(F.col(key).cast("string"), F.lit("")).alias(f"{prefix}k{i}"))
+        out.append(F.col(key).isNull().alias(f"{prefix}n{i}"))
     return out
 
 
@@ -44,7 +44,7 @@ def ordered_scan(
     """Add ordered columns per key, computed slice by slice.
 
     ``slice_by`` must grow with ``order`` (a day or hour of a time order, the leading part of a number);
-    ``order`` must be unique within a key. Mappings are {new column: source column}. ``running`` is the
+    ``order`` must be unique within a key, NULLs come last. Mappings are {new column: source column}. ``running`` is the
     sum up to and with the row, ``before`` and ``after`` the sums of the rows on one side (0 for none).
     """
     lag, first, running = dict(lag or {}), dict(first or {}), dict(running or {})
@@ -52,19 +52,20 @@ def ordered_scan(
     summed = sorted(set(running.values()) | set(before.values()) | set(after.values()) | set(sums.values()))
     carried = list(df.columns)
 
-    rows = df.select("*", *non_null_keys(keys), slice_by.alias("_slice"))
+    rows = df.select("*", *non_null_keys(keys), slice_by.alias("_slice")).select("*", *non_null_keys(["_slice"], "_s"))
     join_cols = [c for i in range(len(keys)) for c in (f"_k{i}", f"_n{i}")]
-    stamp = F.struct(*order)
+    part_cols = [*join_cols, "_sk0", "_sn0"]
+    stamp = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))])
 
     # One row per (key, slice). Sums and min/max combine before the shuffle.
-    aggs = [F.count(F.lit(1)).alias("_cnt")]
+    aggs = [F.count(F.lit(1)).alias("_cnt"), F.max("_slice").alias("_slice")]
     aggs += [F.coalesce(F.sum(c), F.lit(0)).alias(f"_sum_{c}") for c in summed]
     aggs += [F.max_by(F.struct(c), stamp).alias(f"_last_{c}") for c in sorted(set(lag.values()))]
     aggs += [F.min_by(F.struct(c), stamp).alias(f"_first_{c}") for c in sorted(set(first.values()))]
-    slices = rows.groupBy(*join_cols, "_slice").agg(*aggs)
+    slices = rows.groupBy(*part_cols).agg(*aggs)
 
     by_key = Window.partitionBy(*join_cols)
-    in_order = by_key.orderBy("_slice")
+    in_order = by_key.orderBy(F.col("_slice").asc_nulls_last())
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
     carry = [
         F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).alias("_cnt_before"),
@@ -77,14 +78,14 @@ def ordered_scan(
         carry.append(F.lag(f"_last_{c}").over(in_order).alias(f"_prev_{c}"))
     for c in sorted(set(first.values())):
         carry.append(F.first(f"_first_{c}").over(in_order).alias(f"_head_{c}"))
-    slices = slices.select(*join_cols, "_slice", *carry)
+    slices = slices.select(*part_cols, *carry)
 
-    in_slice = Window.partitionBy(*join_cols, "_slice").orderBy(*order)
+    in_slice = Window.partitionBy(*part_cols).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     upto = in_slice.rowsBetween(Window.unboundedPreceding, 0)
     local = [F.row_number().over(in_slice).alias("_rn")]
     local += [F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(f"_upto_{c}") for c in summed]
     local += [F.lag(F.struct(c)).over(in_slice).alias(f"_lag_{c}") for c in sorted(set(lag.values()))]
-    rows = rows.select("*", *local).join(slices, [*join_cols, "_slice"])
+    rows = rows.select("*", *local).join(slices, part_cols)
 
     out: list[Column] = [F.col(c) for c in carried]
     if row_number:

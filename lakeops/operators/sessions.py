@@ -26,6 +26,7 @@ from lakeops.operators.attribution import (
 
 _VISITOR = ["_visitor", "_unknown"]
 NARROW_SECONDS = 60
+UNTIMED = 2**62  # slice of views without a timestamp, after all others
 
 
 def _sliced(df: DataFrame, visitor: str, ts: str, seconds: int, hot_rows: int | None) -> DataFrame:
@@ -38,7 +39,7 @@ def _sliced(df: DataFrame, visitor: str, ts: str, seconds: int, hot_rows: int |
         F.coalesce(F.col(visitor).cast("string"), F.lit("")).alias("_visitor"),
         F.col(visitor).isNull().alias("_unknown"),
         # Views without a visitor are one group however many there are.
-        F.when(F.col(visitor).isNull(), start(narrow)).otherwise(start(seconds)).alias("_slice"),
+        F.coalesce(F.when(F.col(visitor).isNull(), start(narrow)).otherwise(start(seconds)), F.lit(UNTIMED)).alias("_slice"),
     )
     if hot_rows is None:
         return views
@@ -46,7 +47,7 @@ def _sliced(df: DataFrame, visitor: str, ts: str, seconds: int, hot_rows: int |
     counted = views.groupBy(*_VISITOR, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     hot = counted.filter(F.col("_n") > hot_rows).select(*_VISITOR, "_slice", F.lit(True).alias("_hot"))
     marked = views.join(F.broadcast(hot), [*_VISITOR, "_slice"], "left")
-    return marked.withColumn("_slice", F.when(F.col("_hot"), start(1)).otherwise(F.col("_slice"))).drop("_hot")
+    return marked.withColumn("_slice", F.when(F.col("_hot") & at.isNotNull(), start(1)).otherwise(F.col("_slice"))).drop("_hot")
 
 
 def _session_id(by_ip: bool) -> Column:
@@ -73,7 +74,8 @@ def sessionize(
     A view starts a session when it is the visitor's first or more than ``gap`` seconds (second
     boundaries) after the one before. ``entry`` maps new columns to source columns taken from the first
     view of the session. Views without a visitor form one group whose ``session_id`` and session
-    columns are NULL; with ``by_ip`` they get an id like any other address. Visitor ids should have one
+    columns are NULL; with ``by_ip`` they get an id like any other address. A view without a timestamp
+    comes last and is a session of its own. Visitor ids should have one
     length, or two visitors could share a session id. ``slice_seconds`` narrows all slices; ``hot_rows``
     counts first and cuts only slices with more views to single seconds. ``helpers`` keeps the previous timestamp, inactivity and new-session flag.
     """
@@ -129,6 +131,8 @@ def sessionize(
         F.lag(ts).over(in_slice).alias("_prev"),
     ).join(slices, [*_VISITOR, "_slice"])
 
+    untimed = F.col("_slice") == UNTIMED
+    rows = rows.withColumn("session_number", F.col("session_number") + F.when(untimed, F.col("_rn") - 1).otherwise(0))
     known = F.lit(True) if by_ip else ~F.col("_unknown")
     session_only = lambda c: F.when(known, c)
     previous = F.coalesce("_prev", "_before")
@@ -139,14 +143,21 @@ def sessionize(
         _session_id(by_ip).alias("session_id"),
     ]
     # Views without a visitor share one NULL session id, so they are numbered as one group.
-    number = F.when(known, F.col("_session_before")).otherwise(F.col("_views_before")) + F.col("_rn")
-    total = F.when(known, F.col("total_pages_in_session")).otherwise(F.col("_views_all"))
+    single = F.lit(1).cast("bigint")
+    number = F.when(known & untimed, single).otherwise(
+        F.when(known, F.col("_session_before")).otherwise(F.col("_views_before")) + F.col("_rn")
+    )
+    total = F.when(known & untimed, single).when(known, F.col("total_pages_in_session")).otherwise(F.col("_views_all"))
     out += [number.alias("page_number_in_session"), total.alias("total_pages_in_session")]
     out += [session_only(F.col(c)).alias(c) for c in ("session_start_at", "session_end_at")]
-    out += [session_only(F.col("_entry").getField(n)).alias(n) for n in entry]
+    out += [
+        session_only(F.when(untimed, F.col(c)).otherwise(F.col("_entry").getField(n))).alias(n) for n, c in entry.items()
+    ]
     if domain:
-        out.append(session_only(F.size("domains_in_session")).alias("number_domains_in_session"))
-        out.append(session_only(F.col("domains_in_session")).alias("domains_in_session"))
+        own = F.array_compact(F.array(domain))
+        domains = F.when(untimed, own).otherwise(F.col("domains_in_session"))
+        out.append(session_only(F.size(domains)).alias("number_domains_in_session"))
+        out.append(session_only(domains).alias("domains_in_session"))
     if helpers:
         inactive = seconds_between(previous, F.col(ts))
         out += [

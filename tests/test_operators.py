@@ -264,6 +264,12 @@ def test_idle_objects_need_a_matching_name(spark):
     assert rows(out) == [("db_CLONE_1", date(2024, 2, 20), 19)]
 
 
+def test_first_and_more_keeps_every_group(spark):
+    df = spark.createDataFrame([(k, v) for k in ("a", None) for v in "dcba"] + [("b", "x")], "k string, v string")
+    out = A.first_and_more(df, "k", "v", 2)
+    assert rows(out) == [("a", "a, b, and 2 more", 4), ("b", "x", 1), (None, "a, b, and 2 more", 4)]
+
+
 def test_series_merge_fills_gaps(spark):
     a = spark.createDataFrame([(1, 5), (2, 6)], "k int, a int")
     b = spark.createDataFrame([(2, 7), (3, 8)], "k int, b int")

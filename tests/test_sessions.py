@@ -74,6 +74,12 @@ def test_unknown_visitors(spark):
     assert by_ip[1]["session_id"] is not None and numbers(by_ip[1]) == (2, 2, 1, 1)
 
 
+def test_views_without_a_time_are_sessions_of_their_own(spark):
+    got = run(spark, [("a", START, 0), ("a", None, 2), ("a", None, 1), ("a", START + timedelta(seconds=5), 3)], hot_rows=1)
+    assert {k: numbers(r) for k, r in got.items()} == {0: (1, 1, 1, 2), 3: (2, 1, 2, 2), 1: (3, 2, 1, 1), 2: (4, 3, 1, 1)}
+    assert len({r["session_id"] for r in got.values()}) == 3
+
+
 def test_entry_and_domains(spark):
     df = spark.createDataFrame(
         [("a", START, 1, "x", None), ("a", START + timedelta(minutes=20), 2, "y", "late"), ("a", START + timedelta(minutes=45), 3, "x", "later"), ("a", START + timedelta(hours=9), 4, None, "new")],
@@ -114,14 +120,14 @@ def test_ordered_scan_equals_plain_windows(spark):
     import random
 
     rng = random.Random(3)
-    rows = [(rng.choice(["hot"] * 6 + ["a", "b", "", None]), rng.randrange(50), i, rng.choice([None, 1, 2, 5])) for i in range(500)]
+    rows = [(rng.choice(["hot"] * 6 + ["a", "b", "", None]), rng.choice([None, *range(50)]), i, rng.choice([None, 1, 2, 5])) for i in range(500)]
     df = spark.createDataFrame(rows, "k string, o int, i int, v int")
     got = ordered_scan(
         df, ["k"], ["o", "i"], F.floor(F.col("o") / 7), row_number="rn", total="n", lag={"p": "v"}, first={"f": "i"}, running={"r": "v"},
         before={"b": "v"}, after={"a": "v"}, sums={"s": "v"},
     ).collect()
     groups = {}
-    for k, o, i, v in sorted(rows, key=lambda r: (r[1], r[2])):
+    for k, o, i, v in sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[2])):
         groups.setdefault(k, []).append((i, v))
     expected = {}
     for members in groups.values():
