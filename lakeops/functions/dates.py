@@ -1,4 +1,4 @@
-"""Time functions and batch windows. The reference date is always an argument."""
+"""Time functions and batch windows. "Today" is always an argument."""
 
 from __future__ import annotations
 
