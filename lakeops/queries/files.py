@@ -93,7 +93,7 @@ def _(t):
     return S.read_partitioned(t.spark, target).groupBy("year").agg(n_rows("n"), F.count_if(F.col("load") == 1).alias("reloaded"))
 
 
-@query("s8_match_columns", "select o_orderkey, o_orderstatus, null as note from orders")
+@query("s8_match_columns", "select o_orderkey, o_orderstatus, null::varchar as note from orders")
 def _(t):
     from pyspark.sql.types import StructType
 

@@ -39,7 +39,7 @@ def _(t):
     )
 
 
-@query("v2_typed_columns", "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, null as missing from events")
+@query("v2_typed_columns", "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, null::varchar as missing from events")
 def _(t):
     return V.typed_columns(t.events, "props", {"k": "bigint", "missing": "string"}, ["event_id"])
 
@@ -174,7 +174,7 @@ def _(t):
     return crm_objects(t).select(F.inline(found))
 
 
-@query("v13_lift_properties", "select 'obj' || c_custkey as id, c_name as name, c_mktsegment as segment, null as missing from customer")
+@query("v13_lift_properties", "select 'obj' || c_custkey as id, c_name as name, c_mktsegment as segment, null::varchar as missing from customer")
 def _(t):
     return V.lift_properties(crm_objects(t), "properties", "id", ["name", "segment", "missing"])
 

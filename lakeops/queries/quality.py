@@ -24,7 +24,7 @@ def _(t):
 
 
 @query("q3_nested_duplicates", """
-select conv_id, turn, role as speaker_id, left(text, 1) as sentence_text, 2 as occurrence_count from conversations where left(text, 1) = right(left(text, 2), 1)
+select conv_id, turn, role as speaker_id, left(text, 1) as sentence_text, 2::bigint as occurrence_count from conversations where left(text, 1) = right(left(text, 2), 1)
 union all select conv_id, turn, role, '', 2 from conversations where text = '' """)
 def _(t):
     letter = lambda n: F.struct(F.col("role").alias("speaker_id"), F.substring("text", n, 1).alias("text"))

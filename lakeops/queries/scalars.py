@@ -255,7 +255,7 @@ def _(t):
 
 @query("f21_term_months", """
 select o_orderkey, l_linenumber, l_shipdate,
-  (year(after) - year(o_orderdate)) * 12 + month(after) - month(o_orderdate) - case when day(after) < day(o_orderdate) then 1 else 0 end as months
+  cast((year(after) - year(o_orderdate)) * 12 + month(after) - month(o_orderdate) - case when day(after) < day(o_orderdate) then 1 else 0 end as integer) as months
 from (select *, l_shipdate + interval 1 day as after from orders join lineitem on o_orderkey = l_orderkey)""".replace("l_shipdate,\n", "cast(l_shipdate as varchar) as shipped,\n"))
 def _(t):
     rows = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))

@@ -16,7 +16,7 @@ def plain(value):
     if isinstance(value, decimal.Decimal):
         value = float(value)
     if isinstance(value, float):
-        return float(f"{value:.9g}")
+        return value + 0.0  # -0.0 and 0.0 are equal
     if isinstance(value, (datetime.datetime, datetime.date)):
         return value.isoformat()
     return value
