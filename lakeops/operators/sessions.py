@@ -50,6 +50,21 @@ def _sliced(df: DataFrame, visitor: str, ts: str, seconds: int, hot_rows: int |
     return marked.withColumn("_slice", F.when(F.col("_hot") & at.isNotNull(), start(1)).otherwise(F.col("_slice"))).drop("_hot")
 
 
+def _with_session_domains(slices: DataFrame) -> DataFrame:
+    """Sorted distinct domains of each slice's session.
+
+    Only a domain's first slice in the session contributes it, so what is collected has the size of the
+    result however many slices a session has.
+    """
+    session = Window.partitionBy(*_VISITOR, "session_number")
+    rest = [c for c in slices.columns if c != "_domains"]
+    each = slices.select(*rest, F.posexplode_outer("_domains").alias("_at", "_domain"))
+    nth = F.row_number().over(Window.partitionBy(*_VISITOR, "session_number", "_domain").orderBy("_slice"))
+    each = each.withColumn("_new_domain", F.when(nth == 1, F.col("_domain")))
+    found = F.sort_array(F.collect_list("_new_domain").over(session))
+    return each.withColumn("domains_in_session", found).filter(F.coalesce("_at", F.lit(0)) == 0).select(*rest, "domains_in_session")
+
+
 def _session_id(by_ip: bool) -> Column:
     label = F.md5(F.concat(F.col("_visitor"), F.col("session_number").cast("string")))
     return label if by_ip else F.when(~F.col("_unknown"), label)
@@ -116,13 +131,10 @@ def sessionize(
     carried = [*_VISITOR, "_slice", "session_number", "_before", "_views_before", "_views_all"]
     if entry:
         totals.append(F.first("_entry").over(in_session).alias("_entry"))
+    kept = [*carried, *(["_domains"] if domain else [])]
+    slices = slices.select(*kept, *totals)
     if domain:
-        # A slice adds only the domains its predecessor lacks, so a long session does not pile them up.
-        added = F.array_except("_domains", F.coalesce(F.lag("_domains").over(in_session), F.array().cast("array<string>")))
-        slices = slices.withColumn("_added", F.when(F.size(added) > 0, added))
-        everything = F.flatten(F.collect_list("_added").over(session))
-        totals.append(F.sort_array(F.array_distinct(everything)).alias("domains_in_session"))
-    slices = slices.select(*carried, *totals)
+        slices = _with_session_domains(slices)
 
     in_slice = Window.partitionBy(*_VISITOR, "_slice").orderBy(*order)
     rows = views.select(

@@ -91,6 +91,17 @@ def test_entry_and_domains(spark):
     assert out[4]["domains_in_session"] == [] and out[4]["number_domains_in_session"] == 0
 
 
+def test_domains_of_a_long_session(spark):
+    """One visitor without a break over many slices, alternating between sites."""
+    df = spark.range(4000).select(
+        F.lit("bot").alias("visitor"), (F.lit(START) + F.make_dt_interval(mins=F.col("id").cast("int") * 29)).cast("timestamp_ntz").alias("ts"), "id",
+        F.concat(F.lit("site"), (F.col("id") % 3).cast("string")).alias("domain"),
+    )
+    out = sessionize(df, "visitor", "ts", tie=["id"], domain="domain")
+    total, sessions, sites = out.agg(F.count(F.lit(1)), F.max("session_number"), F.collect_set("domains_in_session")).first()
+    assert (total, sessions, sites) == (4000, 1, [["site0", "site1", "site2"]])
+
+
 def category(spark, **values):
     names = (
         "gclid reddit_cid msclkid ttclid linkedin_campaign_id wbraid gbraid dclid fbclid twclid campaign_source campaign_medium campaign_name utm_term referrer_host referrer_medium path"
