@@ -54,8 +54,12 @@ def merge_series(series: Mapping[str, DataFrame], on: str) -> DataFrame:
 
 
 def anti_keys(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
-    """Distinct non-null keys of left without a match in right."""
-    other = right.select(F.col(right_key or key).alias(key))
+    """Distinct non-null keys of left without a match in right.
+
+    Both sides are made distinct first, which combines before the shuffle: a key with many rows on
+    either side travels once per map task.
+    """
+    other = right.select(F.col(right_key or key).alias(key)).distinct()
     return left.select(key).filter(F.col(key).isNotNull()).distinct().join(other, key, "left_anti")
 
 

@@ -79,10 +79,12 @@ def uncovered_fallback(
     """
     needing = (
         contracts.filter(F.col("contract_id").isNotNull() & F.col(own_signal).isNull())
-        .join(accounts.select("account_id"), "account_id", "left_semi")
-        .join(allocations.select("contract_id"), "contract_id", "left_anti")
+        .join(accounts.select("account_id").distinct(), "account_id", "left_semi")
+        .join(allocations.select("contract_id").distinct(), "contract_id", "left_anti")
+    )
+    return needing.select("contract_id", "account_id").distinct().join(
+        resolved.select("contract_id").distinct(), "contract_id", "left_anti"
     )
-    return needing.select("contract_id", "account_id").distinct().join(resolved.select("contract_id"), "contract_id", "left_anti")
 
 
 def excessive_share(

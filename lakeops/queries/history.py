@@ -479,6 +479,6 @@ def _(t):
 @query("t8_new_entities", """
 select distinct user_id from events where ts >= date '2024-01-18' and user_id not in (select user_id from events where ts < date '2024-01-05' and event_type = 'purchase')""")
 def _(t):
-    known = t.events.filter((F.col("ts") < day("2024-01-05")) & (F.col("event_type") == "purchase")).select("user_id")
+    known = t.events.filter((F.col("ts") < day("2024-01-05")) & (F.col("event_type") == "purchase")).select("user_id").distinct()
     recent = t.events.filter(F.col("ts") >= F.date_sub(day("2024-01-20"), 2))
     return recent.select("user_id").distinct().join(known, "user_id", "left_anti")

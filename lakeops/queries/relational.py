@@ -89,7 +89,7 @@ def _(t):
 @query("j5_semi_join", """
 select o_orderkey from orders where (o_orderkey, o_orderstatus) in (select l_orderkey, l_linestatus from lineitem where l_quantity > 40)""")
 def _(t):
-    large = t.lineitem.filter("l_quantity > 40").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linestatus").alias("o_orderstatus"))
+    large = t.lineitem.filter("l_quantity > 40").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linestatus").alias("o_orderstatus")).distinct()
     return t.orders.join(large, ["o_orderkey", "o_orderstatus"], "left_semi").select("o_orderkey")
 
 
@@ -222,7 +222,7 @@ def _(t):
 
 @query("a13_flakiness", """
 with j as (select coalesce(nullif(event_type, 'error'), 'unknown') as job_name, case when value > 20 then 'passed' when value > 5 then 'failed' else 'canceled' end as state,
-  'build/' || event_id as link, ts, event_id from events where user_id > 3),
+  'build/' || event_id as link, ts, event_id from events where event_type <> 'signup'),
 g as (select job_name, count(*) filter (state = 'passed') as passed, count(*) filter (state = 'failed') as failed,
   arg_min(link, event_id) filter (state = 'failed') as failed_example, arg_min(link, event_id) filter (state = 'passed') as passed_example from j group by 1)
 select job_name, passed, failed, failed_example, case when passed > 0 and failed > 0 then passed_example end as passed_example, passed > 0 and failed > 0 as is_flaky from g""")
@@ -230,7 +230,7 @@ def _(t):
     state = F.when(F.col("value") > 20, "passed").when(F.col("value") > 5, "failed").otherwise("canceled")
     jobs = t.events.withColumn("state", state)
     name, link = F.nullif(F.col("event_type"), F.lit("error")), F.concat(F.lit("build/"), F.col("event_id").cast("string"))
-    return A.flakiness(jobs, name, "state", link, ["event_id"], F.col("user_id") > 3)
+    return A.flakiness(jobs, name, "state", link, ["event_id"], F.col("event_type") != "signup")
 
 
 @query("a14_status_breakdown", """
