@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.queries.registry import Tables
+from lakeops.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +31,34 @@ def old_shard(shards: int = 12):
     return F.pmod(F.xxhash64("source"), F.lit(shards)).cast("int")
 
 
+@query("op1_hyperdimensional_language")
+def op1(t: Tables) -> DataFrame:
+    from lakeops.llm.language import fit_languages, identify_languages
+
+    return identify_languages(t.documents, fit_languages(t.documents))
+
+
+@query("op2_checked_personal_data")
+def op2(t: Tables) -> DataFrame:
+    from lakeops.llm.personal_data import personal_data
+
+    return personal_data(t.documents).drop("found")
+
+
+@query("op3_imatch_fingerprints")
+def op3(t: Tables) -> DataFrame:
+    from lakeops.llm.imatch import edited_fingerprints
+
+    return edited_fingerprints(t.documents)
+
+
+@query("op4_token_length_histogram")
+def op4(t: Tables) -> DataFrame:
+    from lakeops.llm.token_histogram import length_histogram, suffix_sums, token_lengths
+
+    return suffix_sums(materialize(length_histogram(token_lengths(t.documents)), "token_histogram"))
+
+
 @query("op5_min_cost_flow_reshard")
 def op5(t: Tables) -> DataFrame:
     from lakeops.llm.common import hash_slice
@@ -76,6 +105,13 @@ def op6(t: Tables) -> DataFrame:
     return benchmark_overlap(t.documents, t.benchmark).drop("items")
 
 
+@query("op7_dice_license_scan")
+def op7(t: Tables) -> DataFrame:
+    from lakeops.llm.licenses import license_passages
+
+    return license_passages(t.documents).drop("passages")
+
+
 @query("op8_compression_quality")
 def op8(t: Tables) -> DataFrame:
     from lakeops.llm.quality import fit_quality, score_quality
