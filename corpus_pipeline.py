@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from lakeops.llm.bagminhash import keep_one
+from lakeops.llm.common import packed
 from lakeops.llm.decontamination import uncontaminated
 from lakeops.llm.mixing import mixed_documents, source_weights
 from lakeops.llm.quality import fit_quality, good_documents
@@ -43,7 +44,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their shard of 16 and their slot in it. Shards keep the order of the mix, which is that of files and rows."""
+    """All documents with their shard of 16 and their slot in it. Shards keep the order of the mix, which is that of files and rows.
+
+    Columns of docs that are named like an added one are replaced.
+    """
     try:
         docs.select("_metadata.row_index")
     except AnalysisException:  # not read from files
@@ -53,8 +57,10 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
     )
     placed = reshard(rows, 16, old="old_shard", size="size", slice_by="_file", order=["_row"])
-    found = docs.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
-    return found.join(placed, ["_file", "_row"]).select(*[found[c] for c in docs.columns], "size", "old_shard", "moved", "shard", "slot")
+    whole = packed(docs, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row_index"))
+    added = ["size", "old_shard", "moved", "shard", "slot"]
+    met = whole.join(placed.withColumnRenamed("_row", "_row_index"), ["_file", "_row_index"])
+    return met.select(*[F.col(f"_row.`{c}`") for c in docs.columns if c not in added], *added)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("mix", mix), ("shard", shard)]

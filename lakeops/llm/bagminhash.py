@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import hash_buckets, in_buckets, map_texts, own_columns
+from lakeops.llm.common import hash_buckets, in_buckets, map_texts, own_columns, packed
 from lakeops.llm.components import connected
 from lakeops.llm.shingles import mix, shingles_of, words_of
 from lakeops.session import materialize
@@ -228,18 +228,18 @@ def keep_one(documents: DataFrame, **parameters) -> DataFrame:
     of = materialize(same.groupBy("group").agg(first, F.sum("n").alias("n_copies")).filter("n_copies > 1"), "bag_first")
     ids = labelled.join(of, "group", "left_semi").select("doc_id")
     buckets = materialize(hash_buckets(ids, "doc_id"), "bag_ids")
-    touched = in_buckets(documents, "doc_id", buckets)
-    clear = in_buckets(documents, "doc_id", buckets, "left_anti")
+    rows = packed(documents, "doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").isNull().alias("no_text"))
+    touched = in_buckets(rows, "doc_id", buckets)
+    clear = in_buckets(rows, "doc_id", buckets, "left_anti")
 
     # Rows that share a bucket with a grouped id: drop those of a group that are not its first.
+    same_row = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")) & ~F.col("no_text")
     drop = labelled.join(of, "group").filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))))
     drop = drop.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    stays = touched.join(drop, touched["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(touched["text"]) == F.col("_hash")) & touched["text"].isNotNull(), "left_anti")
+    stays = touched.join(drop, same_row, "left_anti")
     repeated = of.filter("first.n > 1").select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
     if repeated.isEmpty():
-        return clear.unionByName(stays)
-    again = stays.join(repeated, stays["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(stays["text"]) == F.col("_hash")) & stays["text"].isNotNull(), "left_semi")
-    once = stays.join(repeated, stays["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(stays["text"]) == F.col("_hash")) & stays["text"].isNotNull(), "left_anti")
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
-    picked = again.groupBy("doc_id", F.xxhash64("text")).agg(F.min_by(row, F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns])).alias("_row"))
-    return clear.unionByName(once).unionByName(picked.select("_row.*"))
+        return clear.union(stays).select("_row.*")
+    again = stays.join(repeated, same_row, "left_semi").withColumn("_turn", F.xxhash64("_row"))
+    picked = again.groupBy("doc_id", "text_hash").agg(F.min_by("_row", "_turn").alias("_row"))
+    return clear.union(stays.join(repeated, same_row, "left_anti")).select("_row.*").union(picked.select("_row.*"))

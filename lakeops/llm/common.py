@@ -22,6 +22,11 @@ def own_columns(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(c) for c in columns])
 
 
+def packed(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """The whole row as ``_row`` beside some columns, so that no other column of it can clash; ``select("_row.*")`` gives it back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *columns)
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows kept from every fit: crc32 of the id as text, modulo 5, is 0. A NULL id counts as the text ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0

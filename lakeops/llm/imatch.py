@@ -18,7 +18,7 @@ from lakeops.session import materialize
 BAND = (1.0, 9.0)
 CLASS_BITS = 20
 #: One lexicon keeps a term with probability 2^-halvings. The first are nearly whole lexicons, the last a few terms of a text.
-HALVINGS = (1, 1, 1, 1, 3, 3, 3, 3, 5, 5, 5, 5, 7, 7, 7, 7)
+HALVINGS = (1, 1, 2, 3, 4, 5, 6, 6, 7, 7, 7, 7, 8, 8, 8, 8)
 
 
 def term_classes(text: Column, bits: int = CLASS_BITS) -> Column:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import hash_slice, numbered
+from lakeops.llm.common import hash_slice, numbered, packed
 from lakeops.session import materialize
 
 ROUND_SLOTS = 1_000
@@ -126,6 +126,6 @@ def mixed_documents(documents: DataFrame, weights: DataFrame, **parameters) -> D
     """
     places = mixed_order(documents, weights, **parameters).groupBy("doc_id", "text_hash").agg(F.min(F.struct("slot", "place")).alias("_at"))
     places = places.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("_at.slot").alias("_slot"), F.col("_at.place").alias("_place"))
-    met = documents.join(places, documents["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(documents["text"]) == F.col("_hash")))
-    ordered = met.repartitionByRange(F.col("_slot"), F.col("_place")).sortWithinPartitions("_slot", "_place")
-    return ordered.select(*[documents[c] for c in documents.columns])
+    rows = packed(documents, "doc_id", F.xxhash64("text").alias("text_hash"))
+    met = rows.join(places, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    return met.repartitionByRange(F.col("_slot"), F.col("_place")).sortWithinPartitions("_slot", "_place").select("_row.*")
