@@ -1,0 +1,82 @@
+import hashlib
+import re
+
+import pytest
+
+from lakeops.llm.personal_data import BASE, KINDS, find_personal_data, luhn, masked, mod97, personal_data
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain(text: str) -> list[tuple[str, int, int]]:
+    """The base rules taken literally."""
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in m[0] if c.isdigit()]
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card":
+                doubled = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))]
+                if not 14 <= len(digits) <= 19 or sum(doubled) % 10:
+                    continue
+            if kind == "phone" and not 10 <= len(digits) <= 15:
+                continue
+            out.append((kind, *m.span()))
+    return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
+
+
+TEXTS = [
+    "", "mail a@b.co, a@b, @c.d x..y%+-@z-1.q.r. and a@b.c@d.e", "1.2.3.4.5.6.7.8 256.1.1.1 0001.02.3.255 1.2.3", "4539 1488 0343 6467 and 4539-1488-0343-6467 4539148803436467",
+    "+1 (437) 555-0689. +49.30.1234567 +1 2 +123456789012345678 +1+1+12345678901", "é4539148803436467é é@é.com a_b@c.d\U0001f600 +33 1 23 45 67 89 00", "1-2 3--4 5 6 7 8 9 0 1 2 3 4 5 6",
+    "0000000000000000 00 000", "a@b.c.d@e.f g@h.i.@j.k", "x@y..z x@-.- 9@8.7.6.5", "1" * 3000 + "." + "2" * 30, "a" * 3000 + "@" + "b.c" * 20, "+1" + "(" * 2000 + "2345678901",
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_base_spans_follow_the_rules(text):
+    assert [(s.kind, s.start, s.end) for s in find_personal_data(text) if s.kind in BASE] == plain(text)
+
+
+def test_base_spans_of_random_texts():
+    import random
+
+    r = random.Random(5)
+    for _ in range(3000):
+        text = "".join(r.choice("a1234567890.@-+ ()%_é") for _ in range(r.randrange(60)))
+        assert [(s.kind, s.start, s.end) for s in find_personal_data(text) if s.kind in BASE] == plain(text)
+
+
+def test_long_runs_take_linear_time():
+    for unit in ("a", "1", "1.", "a@", "+1", "1 ", "A1"):
+        find_personal_data(unit * 200_000)
+
+
+def test_checks_and_context():
+    assert luhn("4539148803436467") and not luhn("4539148803436468")
+    assert mod97("GB82WEST12345698765432") and not mod97("GB82WEST12345698765433")
+    found = {(s.kind, s.start) for s in find_personal_data("account GB82 WEST 1234 5698 7654 32 SOME WORDS")}
+    assert ("iban", 8) in found
+    assert not find_personal_data("GB82 WEST 1234 5698 7654 33")
+    assert [s.kind for s in find_personal_data("her ssn 219-09-9999")] == ["ssn"] and not find_personal_data("part 219-09-9999")
+    scores = [find_personal_data(t)[0].score for t in ("my card 4539148803436467", "my 4539148803436467")]
+    assert scores[0] > scores[1]
+    text = "write to a@b.co or 1.2.3.4"
+    assert masked(text, find_personal_data(text)) == "write to <email> or <ip>"
+
+
+def test_rows(spark, small, odd_documents, no_documents):
+    docs, texts = small
+    rows = personal_data(docs).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        spans = plain(texts[r["doc_id"]])
+        said = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert r["base_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in BASE] == [sum(s[0] == k for s in spans) for k in BASE]
+        assert set(said.split(",")) - {""} <= set(r["spans"].split(","))
+    assert personal_data(odd_documents, mask=True).count() == odd_documents.count()
+    assert personal_data(no_documents).count() == 0
