@@ -12,12 +12,13 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import hash_buckets, in_buckets, map_texts, own_columns, packed
+from lakeops.llm.common import hash_buckets, in_buckets, map_texts, packed
 from lakeops.llm.components import connected
 from lakeops.llm.shingles import mix, shingles_of, words_of
 from lakeops.session import materialize
@@ -27,6 +28,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
 #: Buckets up to this size give all their pairs, larger ones are linked through leaders first.
 SMALL = 8
+#: Texts and bytes of shingles of a block of a larger bucket.
+BLOCK_TEXTS, BLOCK_BYTES = 1_000, 32_000_000
 #: Signatures whose share of equal components is this far below the threshold are not verified: over four standard errors.
 MARGIN = 0.15
 
@@ -125,29 +128,98 @@ def _agreement(left: bytes, right: bytes) -> float:
     return float(np.mean(x == y)) if len(x) and len(x) == len(y) else 0.0
 
 
+def bags_of(keys: DataFrame, nodes: DataFrame, documents: DataFrame, size: int) -> DataFrame:
+    """(key, bag): the sorted shingle hashes of the texts with some keys, which are fetched by an id of each and keyed again."""
+    ids = nodes.join(keys, "key", "left_semi").select(F.col("first_id").alias("_id")).distinct()
+    rows = documents.filter(F.col("text").isNotNull()).select("doc_id", "text")
+    rows = in_buckets(rows, "doc_id", hash_buckets(ids, "_id")).join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
+
+    def work(texts: list[bytes]) -> dict:
+        made, bags = multisets(texts, size)
+        return {"key": made, "bag": [b.tobytes() for b in bags]}
+
+    bags = map_texts(rows, work, [("key", T.BinaryType()), ("bag", T.BinaryType())])
+    return materialize(bags.groupBy("key").agg(F.first("bag").alias("bag")), "bag_texts")
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, threshold: float, size: int) -> DataFrame:
     """The pairs (a, b) of keys whose multisets are as alike as the threshold, with their similarity.
 
-    Pairs first meet the short sketches; only what stays is compared by whole texts, which are fetched by id and keyed again.
+    Pairs first meet the short sketches; only what stays is compared by whole texts.
     """
     sketches = nodes.select("key", "sketch")
     met = pairs.join(sketches.select(F.col("key").alias("a"), F.col("sketch").alias("_x")), "a").join(sketches.select(F.col("key").alias("b"), F.col("sketch").alias("_y")), "b")
     likely = materialize(_compared(met, "_x", "_y", _agreement, "agreement").filter(F.col("agreement") >= threshold - MARGIN).select("a", "b"), "bag_likely")
-    needed = likely.select(F.col("a").alias("key")).union(likely.select("b")).distinct()
-    ids = nodes.join(needed, "key", "left_semi").select(F.col("first_id").alias("_id")).distinct()
-    rows = own_columns(documents, "doc_id", "text").filter(F.col("text").isNotNull())
-    rows = in_buckets(rows, "doc_id", hash_buckets(ids, "_id")).join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-
-    def work(texts: list[bytes]) -> dict:
-        keys, bags = multisets(texts, size)
-        return {"key": keys, "bag": [b.tobytes() for b in bags]}
-
-    bags = map_texts(rows, work, [("key", T.BinaryType()), ("bag", T.BinaryType())]).dropDuplicates(["key"])
-    bags = materialize(bags, "bag_texts")
+    bags = bags_of(likely.select(F.col("a").alias("key")).union(likely.select("b")).distinct(), nodes, documents, size)
     met = likely.join(bags.select(F.col("key").alias("a"), F.col("bag").alias("_x")), "a").join(bags.select(F.col("key").alias("b"), F.col("bag").alias("_y")), "b")
     return _compared(met, "_x", "_y", _alike, "similarity").filter(F.col("similarity") >= threshold)
 
 
+def links_in_blocks(mixed: DataFrame, nodes: DataFrame, documents: DataFrame, threshold: float, size: int) -> DataFrame:
+    """Links (a, b) between the groups of a bucket: texts ``apart`` from its largest group are compared with all of other groups, exactly.
+
+    A bucket's texts are dealt to blocks of about BLOCK_TEXTS texts and BLOCK_BYTES bytes, the largest group's and the others' each on their own, and
+    every two blocks of which one is apart meet in a task, as a product of two matrices. So no pair becomes a row, and a
+    bucket with few texts apart takes a number of tasks that follows its size. Of the links that join the same groups in a task one is returned.
+    """
+    weighed = mixed.join(nodes.select("key", "n_shingles"), "key")
+    per = weighed.groupBy("bucket", "apart").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col("n_shingles") * 8).alias("_b"))
+    per = per.groupBy("bucket").agg(*[
+        F.coalesce(F.max(F.when(F.col("apart") == side, F.ceil(F.greatest(F.col("_n") / BLOCK_TEXTS, F.col("_b") / BLOCK_BYTES)))), F.lit(1)).alias(name)
+        for side, name in ((True, "_aparts"), (False, "_mains"))
+    ])
+    dealt = weighed.join(per, "bucket").withColumn("_own", F.pmod(F.xxhash64("key", "bucket"), F.when(F.col("apart"), F.col("_aparts")).otherwise(F.col("_mains"))))
+    aparts, mains = F.sequence(F.lit(0).cast("long"), F.col("_aparts") - 1), F.sequence(F.lit(0).cast("long"), F.col("_mains") - 1)
+    with_main = F.transform(mains, lambda j: F.struct(F.col("_own").alias("i"), j.alias("j"), F.lit(False).alias("both")))
+    with_apart = F.transform(aparts, lambda j: F.struct(F.least("_own", j).alias("i"), F.greatest("_own", j).alias("j"), F.lit(True).alias("both")))
+    of_main = F.transform(aparts, lambda i: F.struct(i.alias("i"), F.col("_own").alias("j"), F.lit(False).alias("both")))
+    units = dealt.select("bucket", "key", "group", "apart", "_own", F.explode(F.when(F.col("apart"), F.concat(with_main, with_apart)).otherwise(of_main)).alias("unit"))
+    bags = bags_of(mixed.select("key").distinct(), nodes, documents, size)
+    rows = units.join(bags, "key")
+
+    def meet(unit: pd.DataFrame) -> pd.DataFrame:
+        first = unit["unit"].iloc[0]
+        left = unit["apart"] & (unit["_own"] == first["i"])
+        right = (unit["apart"] & (unit["_own"] == first["j"])) if first["both"] else ~unit["apart"]
+        x, y = unit[left], unit[right]
+        found: dict = {}
+        if len(x) and len(y):
+            common, nx, ny = common_elements([np.frombuffer(b, np.uint64) for b in x["bag"]], [np.frombuffer(b, np.uint64) for b in y["bag"]])
+            alike = common >= threshold * (nx[:, None] + ny[None, :] - common)
+            keys, others, of, other_of = x["key"].to_numpy(), y["key"].to_numpy(), x["group"].to_numpy(), y["group"].to_numpy()
+            for i, j in zip(*np.nonzero(alike), strict=True):
+                if of[i] != other_of[j]:
+                    found.setdefault((min(of[i], other_of[j]), max(of[i], other_of[j])), (min(keys[i], others[j]), max(keys[i], others[j])))
+        return pd.DataFrame(list(found.values()), columns=["a", "b"])
+
+    return rows.groupBy("bucket", "unit").applyInPandas(meet, "a binary, b binary").distinct()
+
+
+def common_elements(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many elements each left and each right multiset have in common, and their sizes. A repeat of an element is an element of its own."""
+    bags = [*left, *right]
+    sizes = np.array([len(b) for b in bags])
+    owner = np.repeat(np.arange(len(bags)), sizes)
+    flat = np.concatenate(bags)
+    new = np.ones(len(flat), bool)
+    new[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
+    first = np.maximum.accumulate(np.where(new, np.arange(len(flat)), 0))
+    elements = mix(flat + (np.arange(len(flat)) - first).astype(np.uint64) * np.uint64(0x9E6C63D0876A9A47))
+    seen, place, times = np.unique(elements, return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1  # an element of one text is common to none
+    keep = times[place] > 1
+    owner, column, n = owner[keep], column[place[keep]], int((times > 1).sum())
+    common = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for low in range(0, n, 4096):
+        a, b = np.searchsorted(column, [low, low + 4096])
+        dense = np.zeros((len(bags), min(4096, n - low)), np.float32)
+        dense[owner[a:b], column[a:b] - low] = 1
+        common += dense[: len(left)] @ dense[len(left) :].T
+    return common.astype(np.float64), sizes[: len(left)], sizes[len(left) :]
+
+
 def _pairs(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """Each unordered pair of different keys that meet in a bucket, once."""
     both = left.select(on, F.col("key").alias("_l")).join(right.select(on, F.col("key").alias("_r")), on).filter(F.col("_l") != F.col("_r"))
@@ -179,15 +251,15 @@ def duplicate_classes(
     Equal word sequences collapse before anything is compared. Two different texts become candidates when a
     band of their signatures agrees: with 25 bands of 5, a pair at 0.8 is missed with probability 5e-5, at 0.85 with
     1e-6. In a bucket of at most ``small`` texts all pairs are compared. In a larger one every text meets the bucket's
-    leader, drawn by a hash; then texts outside the bucket's largest group meet every text of another group with which
-    they share a second band as well, which a pair at 0.8 misses with a probability of 7e-5. No partner is capped.
+    leader, drawn by a hash; then texts outside the bucket's largest group meet every text of another group, in blocks.
+    No partner is capped.
     """
     texts = documents.filter(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     made = map_texts(
-        texts, lambda raw: signed(raw, size, bands, rows), [("key", T.BinaryType()), ("bands", T.ArrayType(T.LongType())), ("sketch", T.BinaryType())]
+        texts, lambda raw: signed(raw, size, bands, rows), [("key", T.BinaryType()), ("n_shingles", T.LongType()), ("bands", T.ArrayType(T.LongType())), ("sketch", T.BinaryType())],
     )
     made = materialize(made, "bag_signatures")
-    nodes = materialize(made.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "bag_nodes")
+    nodes = materialize(made.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "bag_nodes")
     spread = nodes.select("key", F.explode("bands").alias("bucket"))
     turn = F.struct(F.xxhash64("key", "bucket").alias("h"), F.col("key").alias("key"))
     shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(turn).alias("_lead")).filter("n > 1")
@@ -203,15 +275,9 @@ def duplicate_classes(
     grouped = large.select("bucket", "key").join(groups, "key", "left").withColumn("group", F.coalesce("group", "key"))
     sizes = grouped.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "group")).alias("_most"), F.count(F.lit(1)).alias("groups")).filter("groups > 1")
-    mixed = grouped.join(main.select("bucket", F.col("_most.group").alias("main")), "bucket")
-    second = mixed.join(nodes.select("key", "bands"), "key").select("key", "group", "main", "bucket", F.explode("bands").alias("_other")).filter(F.col("bucket") != F.col("_other"))
-    second = materialize(second.select("key", "group", (F.col("group") != F.col("main")).alias("apart"), F.xxhash64(F.least("bucket", "_other"), F.greatest("bucket", "_other")).alias("both")), "bag_second")
-    left = second.filter("apart").select("both", F.col("key").alias("_l"), F.col("group").alias("_gl")).distinct()
-    right = second.select("both", F.col("key").alias("_r"), F.col("group").alias("_gr")).distinct()
-    more = left.join(right, "both").filter(F.col("_gl") != F.col("_gr")).select(F.least("_l", "_r").alias("a"), F.greatest("_l", "_r").alias("b")).distinct()
-    more = materialize(more.join(pairs, ["a", "b"], "left_anti"), "bag_more")
-    if not more.isEmpty():
-        links = links.union(materialize(verified(more, nodes, documents, threshold, size), "bag_links"))
+    mixed = materialize(grouped.join(main.select("bucket", F.col("_most.group").alias("_main")), "bucket").withColumn("apart", F.col("group") != F.col("_main")).drop("_main"), "bag_mixed")
+    if not mixed.isEmpty():
+        links = links.select("a", "b").union(materialize(links_in_blocks(mixed, nodes, documents, threshold, size), "bag_links"))
         groups = connected(links)
     return made.select("doc_id", "text_hash", "key").join(groups, "key", "left").select("doc_id", "text_hash", "key", F.coalesce("group", "key").alias("group"))
 

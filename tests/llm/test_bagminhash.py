@@ -3,6 +3,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from lakeops.llm import bagminhash
 from lakeops.llm.bagminhash import bag_minhash, keep_one, near_duplicates
 from tests.llm.conftest import prose
 
@@ -59,9 +60,12 @@ def variants(seed: int, n: int, copies: int, changes: int) -> list[str]:
     return out
 
 
-def test_classes_equal_all_pairs(spark, small):
+@pytest.mark.parametrize("block", [1_000, 7])
+def test_classes_equal_all_pairs(spark, small, monkeypatch, block):
+    """Buckets with base texts, variants that are alike only to some of the others, copies and shared passages; also in small blocks."""
+    monkeypatch.setattr(bagminhash, "BLOCK_TEXTS", block)
     _, texts = small
-    more = variants(901, 160, 40, 1) + variants(902, 200, 30, 3) + [prose(903, 80)] * 25 + [" ".join([prose(904, 60), prose(905 + i, 200)]) for i in range(30)]
+    more = variants(901, 160, 40, 1) + variants(902, 200, 60, 3) + [prose(903, 80)] * 25 + [" ".join([prose(904, 60), prose(905 + i, 200)]) for i in range(30)]
     rows = [*texts.items(), *((10_000 + i, t) for i, t in enumerate(more))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     made = {r["doc_id"]: r for r in near_duplicates(docs).collect()}
