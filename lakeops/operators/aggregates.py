@@ -44,28 +44,26 @@ def distinct_array(df: DataFrame, keys: Sequence[str], value: str, name: str) ->
     return pairs.groupBy(*keys).agg(F.sort_array(F.collect_list(value)).alias(name))
 
 
-def unit_flags(
-    df: DataFrame, keys: Sequence[str], ids: str, units: DataFrame, unit_id: str, unit_name: str,
-    suffix: str = "business_unit", limit: int = 500,
-) -> DataFrame:
-    """One boolean column per lookup row: does the key have that unit in its ';'-separated ids?
+def unit_flags(df: DataFrame, keys: Sequence[str], ids: str, units: Sequence[tuple[str, str]], suffix: str = "business_unit") -> DataFrame:
+    """One boolean column per (id, name): does the key have that unit in its ';'-separated ids?
 
-    Columns come from the rows of the lookup, so it is read on the driver; a lookup with more rows than
-    a table should have columns is an error.
+    The columns are the caller's. ``unit_members`` answers the same in rows, for a lookup of any size.
     """
-    rows = units.select(unit_id, unit_name).orderBy(unit_id).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} units would make as many columns")
     held = F.split(F.col(ids), ";")
     flags = [
-        F.coalesce(F.bool_or(F.array_contains(held, str(r[0]))), F.lit(False)).alias(
-            f"is_{r[1].lower().replace(' ', '_')}_{suffix}"
-        )
-        for r in rows
+        F.coalesce(F.bool_or(F.array_contains(held, str(unit))), F.lit(False)).alias(f"is_{name.lower().replace(' ', '_')}_{suffix}")
+        for unit, name in units
     ]
     return df.groupBy(*keys).agg(*flags)
 
 
+def unit_members(df: DataFrame, keys: Sequence[str], ids: str, units: DataFrame, unit_id: str, unit_name: str) -> DataFrame:
+    """Distinct (keys, name) for every unit of the lookup among the keys' ';'-separated ids."""
+    held = df.select(*keys, F.explode(F.split(F.col(ids), ";")).alias("_unit")).distinct()
+    named = units.select(F.col(unit_id).cast("string").alias("_unit"), F.col(unit_name))
+    return held.join(named, "_unit").select(*keys, unit_name).distinct()
+
+
 def first_and_more(df: DataFrame, key: str, value: str, k: int = 5, name: str = "listing") -> DataFrame:
     """The first k values of each key as text, then 'and N more'."""
     first = first_per_key(df.select(key, value), [key], [F.col(value).asc()], k)

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators.joins import broadcast_if_small
 
 # Click identifiers that alone mark a paid click.
 PAID_CLICK_IDS = [
@@ -122,11 +121,11 @@ def _any_like(column: Column, patterns: Sequence[str]) -> Column:
 def with_referrer_medium(views: DataFrame, referrers: DataFrame) -> DataFrame:
     """Left lookup of the medium of the referring host.
 
-    The lookup is broadcast when a count shows it to be small; otherwise the join is by shuffle, where
+    The planner broadcasts a lookup that is small in bytes; otherwise the join is by shuffle, where
     skewed hosts are split at run time.
     """
     lookup = referrers.select(F.col("host").alias("_host"), F.col("medium").alias("referrer_medium"))
-    return views.join(broadcast_if_small(lookup), F.col("referrer_host") == F.col("_host"), "left").drop("_host")
+    return views.join(lookup, F.col("referrer_host") == F.col("_host"), "left").drop("_host")
 
 
 def page_attribution_category(hosts: SiteHosts | None = None) -> Column:

@@ -51,10 +51,13 @@ def cdc_current_two_phase(
 
     The first pass reads key and timestamp only and combines before its shuffle; the wide rows are then
     joined on key and timestamp, which spreads a hot key over its timestamps. Only rows that tie at the
-    newest timestamp remain to be folded.
+    newest timestamp remain to be folded. A NULL key is a key, and a NULL time is older than any other, as in one pass.
     """
-    newest = log.groupBy(*keys).agg(F.max(ts).alias(ts))
-    tied = log.join(newest, [*keys, ts])
+    newest = log.groupBy(*keys).agg(F.max(ts).alias("_newest")).select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_newest")
+    same = F.col(ts).eqNullSafe(F.col("_newest"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    tied = log.join(newest, same, "left_semi")
     return first_per_key(tied, keys, _newest_first(ts, op, tie)).filter(F.col(op) != "D").drop(ts, op)
 
 

@@ -33,11 +33,6 @@ def match_filter(
     return df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Ask for a broadcast when a lookup has at most ``max_rows`` rows; leave the join to the planner beyond."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def merge_series(series: Mapping[str, DataFrame], on: str) -> DataFrame:
     """Full outer join of count series on one column; a missing count is 0.
 
@@ -114,40 +109,29 @@ def salted_join(
 def matches_any_pattern(df: DataFrame, column: str, patterns: DataFrame, pattern: str, flag: str) -> DataFrame:
     """Flag rows whose text is LIKE any pattern row; NULL text gives NULL, no patterns give false.
 
-    Patterns of the form 'prefix%' become equality joins, one per distinct prefix length, so their
-    number is not limited; short lists are broadcast. Other patterns are unrolled into the expression, which suits the short
-    hand-kept lists they come from; more than 1,000 of those raise an error.
+    Only distinct texts meet the patterns. Patterns of the form 'prefix%' are equality joins of the text's beginnings, in all lengths that
+    prefixes have; the others are compared one by one, as LIKE leaves no key to join on. The hits come back by a join on the text.
     """
     p = F.col(pattern)
-    is_prefix = p.endswith("%") & ~F.expr(f"substr({pattern}, 1, length({pattern}) - 1)").rlike(r"[%_\\]")
+    start = F.expr(f"substr({pattern}, 1, length({pattern}) - 1)")
     distinct = patterns.select(p.alias(pattern)).filter(p.isNotNull()).distinct()
-    others = [r[0] for r in distinct.filter(~is_prefix).limit(1001).collect()]
-    if len(others) > 1000:
-        raise ValueError("more than 1,000 patterns that are not plain prefixes")
-    prefixes = distinct.filter(is_prefix).select(F.expr(f"substr({pattern}, 1, length({pattern}) - 1)").alias("_p"))
-    counted = {r[0]: r[1] for r in prefixes.groupBy(F.length("_p").alias("n")).count().collect()}
-    lengths = sorted(counted)
-
-    known = bool(others or lengths)
-    hit = F.lit(False)
-    for text in others:
-        hit = hit | F.col(column).like(text)
-    names = []
-    for n in lengths:
-        name = f"_hit{n}"
-        names.append(name)
-        side = prefixes.filter(F.length("_p") == n).select(F.col("_p").alias(f"_p{n}"), F.lit(True).alias(name))
-        side = F.broadcast(side) if counted[n] <= 200_000 else side
-        df = df.join(side, F.substring(F.col(column), 1, n) == F.col(f"_p{n}"), "left").drop(f"_p{n}")
-        hit = hit | F.coalesce(F.col(name), F.lit(False))
-    value = F.when(F.col(column).isNotNull(), hit) if known else F.lit(False)
-    return df.withColumn(flag, value).drop(*names)
+    marked = distinct.withColumn("_prefix", F.when(p.endswith("%") & ~start.rlike(r"[%_\\]"), start))
+    prefixes = marked.filter(F.col("_prefix").isNotNull()).select("_prefix")
+    others = marked.filter(F.col("_prefix").isNull()).select(p.alias("_pattern"))
+    texts = df.select(F.col(column).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
+    lengths = sorted(r[0] for r in prefixes.select(F.length("_prefix")).distinct().collect())  # one number per length of a prefix
+    beginnings = F.array(*[F.substring("_text", 1, n) for n in lengths]) if lengths else F.array().cast("array<string>")
+    hits = texts.select("_text", F.explode(beginnings).alias("_prefix")).join(prefixes, "_prefix", "left_semi").select("_text")
+    hits = hits.union(texts.join(others, F.expr("_text like _pattern"), "left_semi")).distinct().withColumn("_hit", F.lit(True))
+    found = df.join(hits, F.col(column) == F.col("_text"), "left")
+    known = distinct.agg(F.count(F.lit(1)) > 0).scalar()
+    value = F.when(F.col(column).isNotNull() | ~known, F.coalesce(F.col("_hit"), F.lit(False)))
+    return found.withColumn(flag, value).drop("_text", "_hit")
 
 
 def in_lookup(df: DataFrame, value: Column, lookup: DataFrame, column: str, flag: str, extra: Column | None = None) -> DataFrame:
     """Boolean column: is the value in the lookup, or is ``extra`` true; never NULL."""
     side = lookup.select(F.col(column).alias("_value")).distinct().withColumn("_found", F.lit(True))
-    side = broadcast_if_small(side)
     out = df.withColumn("_probe", value).join(side, F.col("_probe") == F.col("_value"), "left")
     found = F.col("_found").isNotNull()
     if extra is not None:

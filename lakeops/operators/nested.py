@@ -127,30 +127,26 @@ def reacted_comments(df: DataFrame, comments: str, keep: Sequence[str]) -> DataF
 
 
 def attach_children(
-    parents: DataFrame, children: DataFrame, parent_key: str, child_key: str, fields: Sequence[str], order: str,
-    name: str = "children", part_rows: int = 100_000,
+    parents: DataFrame, children: DataFrame, parent_key: str, child_key: str, fields: Sequence[str], order: str, name: str = "children"
 ) -> DataFrame:
-    """Parents with an ordered list of their children; no children gives an empty list.
+    """One row per parent with an ordered list of its children; no children gives an empty list.
 
-    A parent with more than ``part_rows`` children comes back as several rows, each with a share of
-    them and a ``part`` number, because one row cannot hold a list without bound.
+    The list is one value of a row. Parents whose children may be without bound are better kept as rows, see ``child_rows``.
     """
-    counted = children.groupBy(child_key).agg(F.count(F.lit(1)).alias("_n"))
-    big = counted.filter(F.col("_n") > part_rows).select(
-        child_key, F.ceil(F.col("_n") / part_rows).cast("int").alias("_parts")
-    )
-    share = F.when(F.col("_parts").isNull(), 0).otherwise(
-        F.pmod(F.xxhash64(order), F.col("_parts")).cast("int")
-    )
     listed = (
-        children.join(big, child_key, "left")
-        .select(F.col(child_key).alias("_child"), share.alias("part"), F.struct(order, *fields).alias("_c"))
-        .groupBy("_child", "part")
+        children.select(F.col(child_key).alias("_child"), F.struct(order, *fields).alias("_c"))
+        .groupBy("_child")
         .agg(F.sort_array(F.collect_list("_c")).alias(name))
     )
     element = listed.schema[name].dataType.simpleString()
     joined = parents.join(listed, F.col(parent_key) == F.col("_child"), "left").drop("_child")
-    return joined.withColumn(name, F.coalesce(name, F.array().cast(element))).withColumn("part", F.coalesce("part", F.lit(0)))
+    return joined.withColumn(name, F.coalesce(name, F.array().cast(element)))
+
+
+def child_rows(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str, fields: Sequence[str], name: str = "child") -> DataFrame:
+    """One row per parent and child, with NULL for a parent without any: for any number of children."""
+    listed = children.select(F.col(child_key).alias("_child"), F.struct(*fields).alias(name))
+    return parents.join(listed, F.col(parent_key) == F.col("_child"), "left").drop("_child")
 
 
 # Object lists of a repository document and the table each becomes.

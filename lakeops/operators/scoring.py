@@ -9,24 +9,24 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.ordered import ordered_scan
 from lakeops.sources.files import list_files
 
-MAX_CATEGORIES = 10_000
-
 
 def categories(df: DataFrame, column: str) -> list[str]:
-    """Values of a category column, sorted. Each becomes a feature column, so their number is checked."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} values, too many for one-hot columns")
-    return [r[0] for r in rows]
+    """Values of a category column, sorted. Each becomes a feature column, so they come to the driver; a caller who knows them passes them."""
+    return [r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).toLocalIterator()]
+
+
+def category_rows(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """The same in rows, for any number of values: (key, feature) for each category a row has."""
+    names = F.array(*[F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}_"), F.col(c).cast("string"))) for c in columns])
+    return df.select(key, F.explode(F.filter(names, lambda x: x.isNotNull())).alias("feature"))
 
 
 def one_hot(df: DataFrame, column: str, values: Sequence[str], guaranteed: Sequence[str] = ()) -> list[Column]:
@@ -68,13 +68,14 @@ def binary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def feature_matrix(
     df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], flags: Sequence[str],
-    guaranteed: dict[str, Sequence[str]] | None = None, keep: Sequence[str] = (),
+    guaranteed: dict[str, Sequence[str]] | None = None, keep: Sequence[str] = (), known: dict[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Kept columns plus all feature columns in alphabetical order."""
+    """Kept columns plus all feature columns in alphabetical order. ``known`` categories are not looked up in the data."""
     hot: list[Column] = []
     names: list[str] = []
     for c in categorical:
-        values = sorted(set(categories(df, c)) | set((guaranteed or {}).get(c, ())))
+        found = known[c] if known and c in known else categories(df, c)
+        values = sorted(set(found) | set((guaranteed or {}).get(c, ())))
         names += [f"{c}_{v}" for v in values]
         hot += one_hot(df, c, values)
     wide = standardize(binary(df, flags), numeric).select(*keep, *numeric, *flags, *hot)
@@ -129,10 +130,16 @@ def score(model: PipelineModel, rows: DataFrame, features: Sequence[str], name:
     return scored.select(*[f"`{c}`" for c in kept], "features", vector_to_array("probability")[1].alias(name))
 
 
-def auc(scored: DataFrame, label: str, probability: str = "probability") -> float:
-    """Area under the ROC curve, over bins of the score so that the curve stays small."""
-    rows = scored.select(F.col(label).cast("double").alias("label"), F.col(probability).alias("raw"))
-    return BinaryClassificationEvaluator(rawPredictionCol="raw", labelCol="label", numBins=1000).evaluate(rows)
+def auc(scored: DataFrame, label: str, probability: str = "probability") -> DataFrame:
+    """One row with the exact area under the ROC curve: the share of (positive, negative) pairs in the right order, ties half.
+
+    Rows are counted per distinct score before the shuffle; negatives below a score are summed in slices of the scores.
+    """
+    positive = F.count_if(F.col(label) == 1).alias("_p")
+    counts = scored.filter(F.col(probability).isNotNull()).groupBy(F.lit(0).alias("_all"), F.col(probability).alias("_s")).agg(positive, F.count_if(F.col(label) == 0).alias("_n"))
+    below = ordered_scan(counts, ["_all"], ["_s"], F.floor(F.col("_s") * 1000), before={"_below": "_n"})
+    pairs = F.sum(F.col("_p") * (F.col("_below") + F.col("_n") / 2))
+    return below.agg(F.try_divide(pairs, F.sum("_p") * F.sum("_n")).alias("auc"))
 
 
 def feature_importance(model: PipelineModel, spark: SparkSession, features: Sequence[str], top: int = 20) -> DataFrame:
@@ -200,19 +207,11 @@ def ensemble_spread(model: PipelineModel, scored: DataFrame, samples: int = 50,
     return scored.withColumn(name, spread(vector_to_array("features")))
 
 
-def percentile_on_grid(df: DataFrame, column: str, share: float, digits: int = 6) -> DataFrame:
-    """One row: linearly interpolated percentile of values between 0 and 1, on a decimal grid.
-
-    Counting per grid value combines before the shuffle and leaves at most 10^digits + 1 rows, whatever
-    the size of the input; the running count is over those.
-    """
-    grid = df.filter(F.col(column).isNotNull()).groupBy(F.round(column, digits).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    along = Window.partitionBy(F.lit(1)).orderBy("v")
-    ranked = grid.select(
-        "v",
-        F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-        F.sum("n").over(Window.partitionBy(F.lit(1))).alias("total"),
-    ).withColumn("position", (F.col("total") - 1) * F.lit(share))
+def exact_percentile(df: DataFrame, column: str, share: float) -> DataFrame:
+    """One row: linearly interpolated percentile of numbers. They are counted per value, and the counts summed in slices of the values."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.lit(0).alias("_all"), F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = ordered_scan(counts, ["_all"], ["v"], F.floor(F.col("v") * 1000), running={"upto": "n"}, sums={"total": "n"})
+    ranked = ranked.withColumn("position", (F.col("total") - 1) * F.lit(share))
     at = lambda index: F.min(F.when(F.col("upto") > index, F.col("v")))
     low, high = F.floor("position"), F.ceil("position")
     picked = ranked.agg(at(low).alias("lo"), at(high).alias("hi"), F.max(F.col("position") - low).alias("part"))
@@ -225,7 +224,7 @@ def confidence(scored: DataFrame, probability: str = "probability", spread: str
     The 95th percentile of the spread is one number; it is read once so that scoring does not depend on
     a join with everything.
     """
-    p95 = percentile_on_grid(scored, spread, 0.95).first()
+    p95 = exact_percentile(scored, spread, 0.95).first()
     limit = p95["percentile"] if p95 and p95["percentile"] else None
     agreement = F.lit(1.0) if limit is None else F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.col(spread) / limit))
     decision = 2 * F.abs(F.col(probability) - 0.5)

@@ -250,6 +250,12 @@ def _(t):
     return rows.select("o_orderkey", F.array_join(F.col("children.l_partkey"), ",").alias("parts"), F.size("children").cast("bigint").alias("n"))
 
 
+@query("v19_child_rows", "select o_orderkey, l_linenumber, l_quantity from orders left join (select * from lineitem where l_quantity > 30) on o_orderkey = l_orderkey")
+def _(t):
+    rows = V.child_rows(t.orders.select("o_orderkey"), t.lineitem.filter("l_quantity > 30"), "o_orderkey", "l_orderkey", ["l_linenumber", "l_quantity"])
+    return rows.select("o_orderkey", "child.l_linenumber", "child.l_quantity")
+
+
 def workspace_documents(t):
     """Orders as workspace documents: inline repositories, or pointers to a stored one."""
     data = F.struct(

@@ -24,11 +24,11 @@ def _(t):
 
 
 @query("q3_nested_duplicates", """
-select conv_id, turn, role as speaker_id, left(text, 1) as sentence_text, 2::bigint as occurrence_count from conversations where left(text, 1) = right(left(text, 2), 1)
-union all select conv_id, turn, role, '', 2 from conversations where text = '' """)
+select conv_id, turn, role as speaker_id, s as sentence_text, count(*) as occurrence_count
+from (select conv_id, turn, role, unnest(string_split(text, ' ')) as s from conversations) group by all having count(*) > 1""")
 def _(t):
-    letter = lambda n: F.struct(F.col("role").alias("speaker_id"), F.substring("text", n, 1).alias("text"))
-    rows = t.conversations.withColumn("sentences", F.array(letter(1), letter(2)))
+    spoken = F.transform(F.split("text", " "), lambda s: F.struct(F.col("role").alias("speaker_id"), s.alias("text")))
+    rows = t.conversations.withColumn("sentences", spoken)
     fields = {"speaker_id": F.col("e.speaker_id"), "sentence_text": F.col("e.text")}
     return Q.nested_duplicates(rows, ["conv_id", "turn"], "sentences", fields)
 

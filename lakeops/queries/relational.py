@@ -185,7 +185,17 @@ def _(t):
     region = F.col("n_regionkey").cast("string")
     ids = F.when((region == "0") & (F.col("o_orderstatus") != "F"), "none").otherwise(region)
     ids = F.when(F.col("o_orderstatus") == "O", F.concat(ids, F.lit(";2"))).otherwise(ids)
-    return A.unit_flags(rows.select("o_custkey", ids.alias("ids")), ["o_custkey"], "ids", t.region, "r_regionkey", "r_name")
+    units = [(str(i), name) for i, name in enumerate(("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"))]
+    return A.unit_flags(rows.select("o_custkey", ids.alias("ids")), ["o_custkey"], "ids", units)
+
+
+@query("a8_unit_members", """
+select distinct o_custkey, r_name from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
+join region on r_regionkey = n_regionkey or o_orderstatus = 'O' and r_regionkey = 2""")
+def _(t):
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    ids = F.concat_ws(";", F.col("n_regionkey").cast("string"), F.when(F.col("o_orderstatus") == "O", "2"))
+    return A.unit_members(rows.select("o_custkey", ids.alias("ids")), ["o_custkey"], "ids", t.region, "r_regionkey", "r_name")
 
 
 @query("a9_share_of_total", "select event_type, count(*) as record_count, round(count(*) * 100.0 / sum(count(*)) over (), 6) as percentage_of_total from events group by 1")

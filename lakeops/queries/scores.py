@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from lakeops.operators import scoring as L
 from lakeops.queries.registry import query
-from lakeops.queries.relational import n_rows
 
 LIMIT = 2_500_000
 
@@ -72,13 +71,22 @@ def _(t):
     return L.align_features(customers(t), ["gone", "n_orders", "urgent"], ["c_custkey"])
 
 
-def trained(t, rounds: int = 20):
-    # Training passes over its input many times, so the features are written once.
-    path = t.scratch("features")
-    L.stratified_split(matrix(t), "c_custkey", "won").write.parquet(path)
-    rows = t.spark.read.parquet(path)
-    names = [n for n in feature_names(rows) if n != "is_test"]
-    return L.train_trees(rows.filter("not is_test"), names, "won", rounds=rounds, depth=4), rows, names
+#: The full model of a run and table, which several queries use: {(application, table folder): (model, features path, names)}.
+_TRAINED: dict = {}
+
+
+def trained(t):
+    """The model with all its rounds, the feature rows and the feature names. A session trains it once per folder of tables."""
+    key = (t.spark.sparkContext.applicationId, t.root)
+    if key not in _TRAINED:
+        # Training passes over its input many times, so the features are written once.
+        path = t.scratch("features")
+        L.stratified_split(matrix(t), "c_custkey", "won").write.parquet(path)
+        rows = t.spark.read.parquet(path)
+        names = [n for n in feature_names(rows) if n != "is_test"]
+        _TRAINED[key] = (L.train_trees(rows.filter("not is_test"), names, "won"), path, names)
+    model, path, names = _TRAINED[key]
+    return model, t.spark.read.parquet(path), names
 
 
 @query("l5_scored_customers")
@@ -100,7 +108,23 @@ def _(t):
 def _(t):
     model, rows, names = trained(t)
     value = L.auc(L.score(model, rows.filter("is_test"), names), "won")
-    return rows.filter("is_test").groupBy("won").agg(n_rows("n")).withColumn("auc", F.lit(round(value, 4)))
+    return value.select(F.round("auc", 4).alias("auc"))
+
+
+@query("l6_exact_auc", f"""with {CUSTOMERS_SQL}, ranked as (select won, row_number() over (order by n_orders) - 1 as r, n_orders from base),
+mid as (select won, avg(r) over (partition by n_orders) + 1 as rank from ranked)
+select round((sum(rank) filter (won = 1) - count(*) filter (won = 1) * (count(*) filter (won = 1) + 1) / 2) / (count(*) filter (won = 1) * count(*) filter (won = 0)), 9) as auc from mid""")
+def _(t):
+    """The number of orders as the score, so that the value does not depend on a learner."""
+    return L.auc(customers(t), "won", "n_orders").select(F.round("auc", 9).alias("auc"))
+
+
+@query("l7_exact_confidence", f"""with {CUSTOMERS_SQL}, s as (select c_custkey, (balance + 1000) / 11000 as probability, abs(balance) / 100000 as spread from base)
+select c_custkey, round(0.7 * 2 * abs(probability - 0.5) + 0.3 * greatest(0, least(1, 1 - spread / (select quantile_cont(spread, 0.95) from s))), 6) as confidence from s""")
+def _(t):
+    """A score and a spread made from the balance, so that the formula and its percentile can be compared."""
+    scored = customers(t).select("c_custkey", ((F.col("balance") + 1000) / 11000).alias("probability"), (F.abs("balance") / 100000).alias("spread"))
+    return L.confidence(scored).select("c_custkey", F.round("confidence", 6).alias("confidence"))
 
 
 @query("l8_feature_importance")

@@ -44,15 +44,19 @@ def _(t):
     return R.current_state(t.spark, state, log.schema, **LOG)
 
 
+def _mark(t):
+    """Where the watermark stands when all events are read."""
+    return t.events.agg(F.date_trunc("second", F.max(F.col("ts").cast("timestamp"))) - F.expr("interval 48 hours")).scalar()
+
+
 @query("r3_stream_sessions", f"""with {NUMBERED_SQL},
 s as (select user_id, session_number, min(ts) as session_start_at, max(ts) as session_end_at, count(*) as views from sessioned group by 1, 2)
-select user_id, cast(session_start_at as varchar) as session_start_at, cast(session_end_at as varchar) as session_end_at, views from s
-where date_trunc('second', session_end_at) + interval 30 minute <= (select date_trunc('second', max(ts)) - interval 48 hour from events)""")
+select user_id, cast(session_start_at as varchar) as session_start_at, cast(session_end_at as varchar) as session_end_at, views from s""")
 def _(t):
-    sessions = R.stream_sessions(_zoned(t.stream("events")), "user_id", "ts")
-    # Closed sessions only: those of the last 48 hours still wait for late rows.
-    closed = _written(t, "r3", sessions.writeStream)
-    return closed.select("user_id", text("session_start_at"), text("session_end_at"), "views")
+    """Closed sessions from the stream, and those that still wait for late rows from the table of its rows."""
+    closed = _written(t, "r3", R.stream_sessions(_zoned(t.stream("events")), "user_id", "ts").writeStream)
+    sessions = closed.unionByName(R.open_sessions(_zoned(t.events), "user_id", "ts", _mark(t)))
+    return sessions.select("user_id", text("session_start_at"), text("session_end_at"), "views")
 
 
 @query("r4_stream_deduplicated", EVENTS_BY_DAY)
@@ -99,15 +103,17 @@ def _(t):
     return _hours(R.windowed_usage(_zoned(t.events), "ts", "1 hour", ["event_type"]))
 
 
-@query("r6_stream_hourly_usage", _HOURS_SQL.format("where date_trunc('hour', ts) + interval 1 hour <= (select max(ts) - interval 48 hour from events)"))
+@query("r6_stream_hourly_usage", _HOURS_SQL.format(""))
 def _(t):
-    counted = R.windowed_usage(_zoned(t.stream("events")), "ts", "1 hour", ["event_type"], lateness="48 hours")
-    return _hours(_written(t, "r6", counted.writeStream))
+    """Closed hours from the stream, and the last 48 from the table of its rows."""
+    closed = _written(t, "r6", R.windowed_usage(_zoned(t.stream("events")), "ts", "1 hour", ["event_type"], lateness="48 hours").writeStream)
+    mark = t.events.agg(F.max(F.col("ts").cast("timestamp")) - F.expr("interval 48 hours")).scalar()
+    late = _zoned(t.events).filter(F.date_trunc("hour", "ts") + F.expr("interval 1 hour") > mark)
+    return _hours(closed.unionByName(R.windowed_usage(late, "ts", "1 hour", ["event_type"])))
 
 
 @query("r7_refresh_metrics", "select 'INCREMENTAL' as action, count(*) as rows from events")
 def _(t):
-    progress = R.append_to_table(t.stream("events"), t.scratch("r7"), t.scratch("r7-ledger"))
-    rows = [(int(p["batchId"]), int(p["numInputRows"]), "INCREMENTAL" if p["numInputRows"] else "NO_DATA") for p in progress]
-    metrics = t.spark.createDataFrame(rows, "batch bigint, rows bigint, action string")
-    return metrics.filter("rows > 0").groupBy("action").agg(F.sum("rows").alias("rows"))
+    metrics = t.scratch("r7-metrics")
+    R.append_with_metrics(t.stream("events"), t.scratch("r7"), metrics, t.scratch("r7-ledger"))
+    return R.refresh_metrics(t.spark, metrics).filter("rows > 0").groupBy("action").agg(F.sum("rows").alias("rows"))

@@ -7,18 +7,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def unique_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source of a merge; a key that it has twice fails the job, as it would a MERGE. NULL keys match nothing and may repeat."""
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    once = F.when(null | (F.col("_nth") == 1), True).otherwise(F.raise_error(F.lit(f"a key of {', '.join(keys)} is twice in the source of a merge")).cast("boolean"))
+    return source.withColumn("_nth", nth).filter(once).drop("_nth")
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Matched keys take the source row, other source rows are added; the source has a key once."""
+    """Matched keys take the source row, other source rows are added; a key that the source has twice is an error."""
+    source = unique_source(source, keys)
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(source)
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target plus source rows with new keys; rows already there are not touched."""
+    """Target plus source rows with new keys; rows already there are not touched; a key that the source has twice is an error."""
+    source = unique_source(source, keys)
     return target.unionByName(source.join(target.select(*keys), list(keys), "left_anti").select(*source.columns))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from fnmatch import fnmatchcase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 CORRUPT = "_corrupt_record"
 
 
-def list_files(spark: SparkSession, path: str, limit: int | None = None) -> list[str]:
+def list_files(spark: SparkSession, path: str, limit: int | None = None, pattern: str | None = None) -> list[str]:
     """Data files under a path, through the cluster's file system; stops at the limit."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -23,32 +24,21 @@ def list_files(spark: SparkSession, path: str, limit: int | None = None) -> list
     while listing.hasNext() and (limit is None or len(found) < limit):
         file = listing.next()
         name = file.getPath().getName()
-        if not name.startswith(("_", ".")) and file.getLen() > 0:
+        if not name.startswith(("_", ".")) and file.getLen() > 0 and fnmatchcase(name, pattern or "*"):
             found.append(file.getPath().toString())
     return found
 
 
-def sampled_schema(spark: SparkSession, path: str, max_files: int = 50, fmt: str = "parquet") -> StructType | None:
-    """Schema merged from at most ``max_files`` files; None for an empty location."""
-    files = list_files(spark, path, max_files)
-    if not files:
-        return None
-    reader = spark.read.format(fmt)
-    return (reader.option("mergeSchema", True) if fmt in ("parquet", "orc") else reader).load(files).schema
-
-
 def read_stage_parquet(
-    spark: SparkSession, path: str, max_files: int = 50, pattern: str | None = None, recursive: bool = False,
-    schema: StructType | None = None,
+    spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False, schema: StructType | None = None
 ) -> DataFrame:
     """Parquet under a path; an empty location gives no rows, of the given or an empty schema.
 
-    Footers of a few files are read for the schema, not all of them.
+    Without a schema it is merged from the footers of all files, which tasks read.
     """
-    inferred = sampled_schema(spark, path, max_files) if schema is None else schema
-    if inferred is None or (schema is not None and not list_files(spark, path, 1)):
+    if not list_files(spark, path, 1, pattern):
         return spark.createDataFrame([], schema or StructType([]))
-    reader = spark.read.schema(inferred)
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if recursive:
@@ -87,9 +77,11 @@ def read_stage_json(
 
 
 def relative_path(root: str) -> Column:
-    """File path below a root folder."""
-    base = root.rstrip("/").split("://")[-1].removeprefix("file:").lstrip("/")
-    return F.regexp_extract(F.col("_metadata.file_path"), "/" + base.replace(".", r"\.") + "/(.*)$", 1)
+    """File path below a root folder; '' for a file elsewhere. File paths are URL-encoded, the root is not."""
+    below = "/" + root.rstrip("/").split("://")[-1].removeprefix("file:").lstrip("/") + "/"
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    at = F.instr(path, below)
+    return F.when(at > 0, F.substring(path, at + len(below), F.length(path))).otherwise("")
 
 
 def with_path_columns(df: DataFrame, root: str, parts: Mapping[str, tuple[int | Sequence[int], str]], filename: str | None = None) -> DataFrame:
@@ -153,18 +145,23 @@ def load_new_files(
     """Append files not loaded before to a parquet table, each exactly once across runs.
 
     The ledger of loaded files is the checkpoint; the sink's own log makes a retried batch idempotent.
+    Returns the files and rows of this run and the rows of the table, counted before and after it.
     """
     rows = stream_files(spark, source, schema, fmt, pattern)
-    query = (
-        rows.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    loaded = sum(int(p["numInputRows"]) for p in query.recentProgress)
-    return {"rows_loaded": loaded, "batches": len(query.recentProgress)}
+    def loaded() -> tuple[int, int]:
+        """Files in the ledger and rows of the table."""
+        listed = f"{checkpoint}/sources/0"
+        files = 0
+        if list_files(spark, listed, 1):
+            paths = spark.read.text(listed).select(F.get_json_object("value", "$.path").alias("path"))
+            files = paths.filter(F.col("path").isNotNull()).distinct().count()
+        return files, spark.read.schema(schema).parquet(target).count() if list_files(spark, target, 1) else 0
+
+    before = loaded()
+    writer = rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    files, total = loaded()
+    return {"files_loaded": files - before[0], "rows_loaded": total - before[1], "total_rows": total}
 
 
 def load_audit(df: DataFrame) -> DataFrame:

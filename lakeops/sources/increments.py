@@ -19,31 +19,35 @@ def watermark(target: DataFrame, key: str):
 def next_rows(
     source: DataFrame, key: str, after=None, limit: int | None = None, where: Column | None = None, slice_by: Column | None = None
 ) -> DataFrame:
-    """Rows past a watermark in key order, at most ``limit`` per run.
+    """Rows past a watermark in key order, about ``limit`` per run.
 
-    The cap is the feature: the next run goes on from the new watermark. ``slice_by`` grows with the key
-    (a day, or a number of leading digits); rows are then first counted per slice, and only the slices
-    that can hold the first n rows are sorted.
+    The cap is the feature: the next run goes on from the new watermark. Rows that tie with the last one within the
+    cap come along, as the next watermark would skip them. Only the last key comes to the driver. ``slice_by`` grows with the
+    key (a day, or a number of leading digits); rows are then first counted per slice, and only the slice in which the
+    cap is reached is ordered.
     """
     rows = source if where is None else source.filter(where)
     if after is not None:
         rows = rows.filter(F.col(key) > F.lit(after))
     if limit is None:
         return rows
+    within, missing = rows, limit
     if slice_by is not None:
         counted = rows.groupBy(slice_by.alias("s")).agg(F.count(F.lit(1)).alias("n"))
         upto = F.sum("n").over(Window.partitionBy(F.lit(1)).orderBy("s").rowsBetween(Window.unboundedPreceding, 0))
-        last = counted.withColumn("upto", upto).filter(F.col("upto") >= limit).agg(F.min("s")).first()[0]
-        if last is not None:
-            rows = rows.filter(slice_by <= F.lit(last))
-    return rows.orderBy(key).limit(limit)
+        reached = counted.withColumn("before", upto - F.col("n")).filter(F.col("before") + F.col("n") >= limit).agg(F.min(F.struct("s", "before")).alias("r")).first()["r"]
+        if reached is None:
+            return rows
+        within, missing = rows.filter(slice_by == F.lit(reached["s"])), limit - reached["before"]
+    last = within.select(key).orderBy(key).limit(missing).agg(F.max(key), F.count(key)).first()
+    return rows if last[1] < missing else rows.filter(F.col(key) <= F.lit(last[0]))
 
 
 def incremental_upsert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], updated_at: str, after=None, limit: int | None = None
+    target: DataFrame, source: DataFrame, keys: Sequence[str], updated_at: str, after=None, limit: int | None = None, slice_by: Column | None = None
 ) -> DataFrame:
     """Rows updated past the watermark, upserted on the key."""
-    return upsert(target, next_rows(source, updated_at, after, limit), keys)
+    return upsert(target, next_rows(source, updated_at, after, limit, slice_by=slice_by), keys)
 
 
 def typed_json(df: DataFrame, column: str) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from lakeops.operators.cdc import cdc_latest, visible
@@ -17,23 +17,42 @@ LAG_BUCKETS = [(6, "<6h"), (12, "6-12h"), (24, "12-24h"), (48, "24-48h"), (168,
 LAG_REST = ">7d"
 
 
-def run_available(writer) -> list[dict]:
-    """Start a stream writer, process what is there, return the progress of its batches."""
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
-    return [dict(p) for p in query.recentProgress]
+def run_available(writer) -> None:
+    """Start a stream writer and process what is there."""
+    writer.trigger(availableNow=True).start().awaitTermination()
 
 
-def append_to_table(rows: DataFrame, target: str, checkpoint: str) -> list[dict]:
+def append_to_table(rows: DataFrame, target: str, checkpoint: str) -> None:
     """Stream to a parquet table; each input file once, also after a restart."""
-    return run_available(
-        rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-    )
+    run_available(rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint))
+
+
+def append_with_metrics(rows: DataFrame, target: str, metrics: str, checkpoint: str) -> None:
+    """Stream to a table with a folder for each batch, and a row of metrics for each batch to another.
+
+    A replayed batch overwrites both, so all batches of all runs are counted once.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        began = time.monotonic()
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        written = batch.sparkSession.read.schema(batch.schema).parquet(f"{target}/batch={number}").agg(F.count(F.lit(1)).alias("rows"))
+        action = F.when(F.col("rows") > 0, "INCREMENTAL").otherwise("NO_DATA")
+        took = F.lit(int((time.monotonic() - began) * 1000)).cast("long")
+        written.select("rows", action.alias("action"), took.alias("duration_ms")).write.mode("overwrite").parquet(f"{metrics}/batch={number}")
+
+    run_available(rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+
+
+def refresh_metrics(spark: SparkSession, metrics: str) -> DataFrame:
+    """(rows, action, duration_ms, batch) of every batch written so far."""
+    schema = "rows long, action string, duration_ms long, batch long"
+    return spark.read.schema(schema).parquet(metrics) if list_files(spark, metrics, 1) else spark.createDataFrame([], schema)
 
 
 def fold_change_log(
     log: DataFrame, state: str, checkpoint: str, keys: Sequence[str], ts: str, op: str, tie: Sequence[str] = ()
-) -> list[dict]:
+) -> None:
     """Change-log stream to a folded state.
 
     Each micro-batch is folded to its newest row per key and written, deletes included, to the folder
@@ -44,7 +63,7 @@ def fold_change_log(
     def write(batch: DataFrame, number: int) -> None:
         cdc_latest(batch, keys, ts, op, tie).write.mode("overwrite").parquet(f"{state}/batch={number}")
 
-    return run_available(log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+    run_available(log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
 
 
 def folded_state(spark: SparkSession, state: str, schema: StructType, keys: Sequence[str], ts: str, op: str, tie: Sequence[str] = ()) -> DataFrame:
@@ -77,6 +96,17 @@ def stream_sessions(views: DataFrame, visitor: str, ts: str, gap: str = "30 minu
     return counted.drop("w")
 
 
+def open_sessions(views: DataFrame, visitor: str, ts: str, mark: Column, gap: str = "30 minutes", measures: Sequence[Column] = ()) -> DataFrame:
+    """The sessions that a stream with its watermark at ``mark`` still holds, from the table of its views.
+
+    Only visitors with a view since the mark, less the gap, can have one; their views are read whole, as a session may reach back.
+    """
+    late = views.filter(F.date_trunc("second", ts) + F.expr(f"interval {gap}") > mark).select(F.col(visitor).alias("_visitor")).distinct()
+    theirs = views.join(late, F.col(visitor).eqNullSafe(F.col("_visitor")), "left_semi")
+    sessions = stream_sessions(theirs, visitor, ts, gap, measures=measures)
+    return sessions.filter(F.date_trunc("second", "session_end_at") + F.expr(f"interval {gap}") > mark)
+
+
 def without_duplicates(rows: DataFrame, key: Sequence[str], ts: str, lateness: str = "48 hours") -> DataFrame:
     """One row per key among rows that arrive within the lateness; state is dropped after it."""
     return rows.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(key))
@@ -102,28 +132,3 @@ def windowed_usage(rows: DataFrame, ts: str, width: str, keys: Sequence[str] = (
         rows = rows.withWatermark(ts, lateness)
     counted = rows.groupBy(F.window(ts, width).alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"), *measures)
     return counted.select(F.col("w.start").alias("starting_at"), F.col("w.end").alias("ending_at"), *[c for c in counted.columns if c != "w"])
-
-
-class RefreshMetrics(StreamingQueryListener):
-    """Rows, action and duration of every micro-batch, kept for the last ``keep`` batches."""
-
-    def __init__(self, keep: int = 1000) -> None:
-        self.keep = keep
-        self.batches: list[dict] = []
-
-    def onQueryStarted(self, event) -> None:
-        pass
-
-    def onQueryProgress(self, event) -> None:
-        p = event.progress
-        action = "INCREMENTAL" if p.numInputRows else "NO_DATA"
-        self.batches.append(
-            {"batch": p.batchId, "rows": p.numInputRows, "action": action, "duration_ms": p.batchDuration}
-        )
-        del self.batches[: -self.keep]
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        pass

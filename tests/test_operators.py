@@ -187,13 +187,24 @@ def test_one_or_many(spark):
     assert rows(out) == [(1, 1), (2, 2), (2, 3), (5, 5)]
 
 
-def test_children_of_a_large_parent_come_in_parts(spark):
+def test_a_parent_has_one_row(spark):
     parents = spark.createDataFrame([(1,), (2,), (3,)], "id int")
-    children = spark.createDataFrame([(1, i) for i in range(100)] + [(2, 7)], "parent int, child int")
-    out = V.attach_children(parents, children, "id", "parent", [], "child", part_rows=30).collect()
-    parts = [r for r in out if r["id"] == 1]
-    assert len(parts) > 1 and sorted(c["child"] for r in parts for c in r["children"]) == list(range(100))
-    assert [len(r["children"]) for r in out if r["id"] in (2, 3)] in ([1, 0], [0, 1])
+    children = spark.range(120_000).select(F.lit(1).alias("parent"), F.col("id").cast("int").alias("child")).union(spark.createDataFrame([(2, 7)], "parent int, child int"))
+    out = {r["id"]: r["n"] for r in V.attach_children(parents, children, "id", "parent", [], "child").select("id", F.size("children").alias("n")).collect()}
+    assert out == {1: 120_000, 2: 1, 3: 0}
+    assert V.child_rows(parents, children, "id", "parent", ["child"]).count() == 120_002
+
+
+def test_many_patterns(spark):
+    patterns = spark.range(1500).select(F.concat(F.lit("%"), F.col("id").cast("string"), F.lit("x_")).alias("p"))
+    texts = spark.createDataFrame([("a77xb",), ("1499xq",), ("1500x",), (None,)], "t string")
+    assert rows(J.matches_any_pattern(texts, "t", patterns, "p", "hit")) == [("1499xq", True), ("1500x", False), ("a77xb", True), (None, None)]
+
+
+def test_unit_members(spark):
+    held = spark.createDataFrame([(1, "7;9"), (1, "7"), (2, None), (3, "8;;x")], "k int, ids string")
+    units = spark.range(600).select("id", F.concat(F.lit("u"), "id").alias("name"))
+    assert rows(A.unit_members(held, ["k"], "ids", units, "id", "name")) == [(1, "u7"), (1, "u9"), (3, "u8")]
 
 
 def test_unknown_document_layout_fails(spark):

@@ -4,15 +4,18 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from lakeops.operators import cdc as C
 from lakeops.operators import scoring as L
 from lakeops.session import materialize, scratch_dir
+from lakeops.sinks import merge as M
 from lakeops.sinks import tables as W
 from lakeops.sources import files as S
+from lakeops.sources import increments as I
 from lakeops.streaming import jobs as R
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is None, v) for v in r])
 
 
 def test_scratch_is_in_the_shared_folder(spark):
@@ -56,14 +59,24 @@ def test_path_columns(spark, tmp_path):
 def test_empty_location(spark, tmp_path):
     assert S.read_stage_parquet(spark, str(tmp_path / "none")).count() == 0
     assert S.read_stage_parquet(spark, str(tmp_path / "none"), schema=spark.range(1).schema).columns == ["id"]
-    assert S.sampled_schema(spark, str(tmp_path)) is None
+    assert S.read_stage_parquet(spark, str(tmp_path)).columns == []
 
 
-def test_schema_is_merged_over_sampled_files(spark, tmp_path):
-    spark.range(1).write.mode("append").parquet(str(tmp_path))
+def test_schema_is_merged_over_all_files(spark, tmp_path):
+    spark.range(101).repartition(101, "id").write.mode("append").parquet(str(tmp_path))
     spark.range(1).withColumn("more", F.lit("x")).write.mode("append").parquet(str(tmp_path))
-    assert set(S.sampled_schema(spark, str(tmp_path)).fieldNames()) == {"id", "more"}
-    assert S.read_stage_parquet(spark, str(tmp_path)).count() == 2
+    spark.range(3).write.mode("append").json(str(tmp_path))
+    out = S.read_stage_parquet(spark, str(tmp_path), pattern="*.parquet")
+    assert set(out.columns) == {"id", "more"} and out.count() == 102 and out.filter("more = 'x'").count() == 1
+
+
+@pytest.mark.parametrize("name", ["a+b (x)", "50%25 off", "d.t/e[1]"])
+def test_path_columns_below_odd_folders(spark, tmp_path, name):
+    root = tmp_path / name
+    (root / "org 1+2").mkdir(parents=True)
+    (root / "org 1+2" / "x.json").write_text('{"id": 1}')
+    df = spark.read.schema("id int").json([str(root / "org 1+2" / "x.json").replace("[", "\\[").replace("]", "\\]")])
+    assert rows(S.with_path_columns(df, str(root), {"org": (1, "string")}, "file")) == [(1, "org 1+2", "org 1+2/x.json")]
 
 
 def test_partition_keys_stay_text(spark, tmp_path):
@@ -88,6 +101,9 @@ def test_files_load_once(spark, tmp_path):
     spark.range(5, 8).write.mode("append").parquet(source)
     assert S.load_new_files(spark, source, target, ledger, schema)["rows_loaded"] == 3
     assert rows(spark.read.parquet(target)) == [(i,) for i in range(8)]
+    spark.range(8, 138).repartition(130, "id").write.mode("append").parquet(source)
+    again = S.load_new_files(spark, source, target, ledger, schema)
+    assert again["rows_loaded"] == 130 and again["total_rows"] == 138 and 60 < again["files_loaded"] < len(S.list_files(spark, source))
 
 
 def test_csv_quoting(spark, tmp_path):
@@ -126,23 +142,70 @@ def test_lag_buckets(spark):
     assert [r[0] for r in df.select(R.lag_bucket(F.col("a"), F.col("b"))).collect()] == ["<6h", "<6h", "6-12h", "12-24h", "24-48h", "2-7d", ">7d"]
 
 
-def test_refresh_listener(spark, tmp_path):
-    listener = R.RefreshMetrics()
-    spark.streams.addListener(listener)
-    spark.range(4).write.parquet(str(tmp_path / "in"))
-    R.append_to_table(S.stream_files(spark, str(tmp_path / "in"), spark.range(1).schema), str(tmp_path / "out"), str(tmp_path / "ledger"))
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    spark.streams.removeListener(listener)
-    assert sum(b["rows"] for b in listener.batches) == 4 and listener.batches[0]["action"] == "INCREMENTAL"
+def test_metrics_of_more_than_a_hundred_batches(spark, tmp_path):
+    source, target, metrics, ledger = (str(tmp_path / n) for n in ("in", "out", "metrics", "ledger"))
+    for start in (0, 60):
+        spark.range(start, start + 60).repartition(60, "id").write.mode("append").parquet(source)
+    one = S.stream_files(spark, source, spark.range(1).schema, per_batch=1)
+    R.append_with_metrics(one, target, metrics, ledger)
+    R.append_with_metrics(one, target, metrics, ledger)
+    told = R.refresh_metrics(spark, metrics).collect()
+    assert len(told) > 60 and sum(r["rows"] for r in told) == 120 and {r["action"] for r in told} <= {"INCREMENTAL", "NO_DATA"}
+    assert spark.read.parquet(target).count() == 120
+    assert R.refresh_metrics(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_open_sessions_complete_the_closed_ones(spark):
+    at = lambda m: datetime(2024, 1, 1) + timedelta(minutes=m)
+    views = spark.createDataFrame([("a", at(0)), ("a", at(20)), ("a", at(45)), ("b", at(0)), (None, at(50)), ("c", at(60)), ("c", at(10))], "v string, ts timestamp")
+    mark = F.lit(at(60)).cast("timestamp")
+    left = R.open_sessions(views, "v", "ts", mark)
+    assert rows(left.select("v", "views")) == [("a", 3), ("c", 1), (None, 1)]
+
+
+def test_ties_at_the_cap_are_not_lost(spark):
+    source = spark.createDataFrame([(i, i // 4) for i in range(12)], "id int, ts int")
+    for slices in (None, F.floor(F.col("ts") / 2)):
+        got, mark = [], None
+        while True:
+            batch = [r["id"] for r in I.next_rows(source, "ts", mark, 6, slice_by=slices).collect()]
+            if not batch:
+                break
+            got.append(sorted(batch))
+            mark = max(i // 4 for i in batch)
+        assert sum(got, []) == list(range(12)) and len(got) == 2
+    assert I.next_rows(source, "ts", None, 100).count() == 12
+
+
+def test_a_key_twice_in_a_merge_source_is_an_error(spark):
+    target, twice = spark.createDataFrame([(1, "a")], "id int, v string"), spark.createDataFrame([(1, "b"), (1, "c")], "id int, v string")
+    for merge in (M.upsert, M.insert_missing):
+        with pytest.raises(Exception, match="twice in the source"):
+            merge(target.filter("id > 5"), twice, ["id"]).collect()
+    nulls = spark.createDataFrame([(None, "b"), (None, "c")], "id int, v string")
+    assert M.upsert(target, nulls, ["id"]).count() == 3
+
+
+def test_both_folds_keep_null_times_and_keys(spark):
+    at = datetime(2024, 1, 1)
+    log = spark.createDataFrame([(1, "a", "I", None), (2, "b", "I", at), (2, "c", "U", None), (None, "d", "I", at), (3, "e", "D", at)], LOG)
+    one, two = (rows(f(log, **KEYS)) for f in (C.cdc_current, C.cdc_current_two_phase))
+    assert one == two and len(one) == 3
+
 
 
-def test_percentile_is_exact_on_its_grid(spark):
+def test_percentile_and_auc_are_exact(spark):
     import numpy as np
 
-    values = np.random.default_rng(1).random(501).round(6)
+    values = np.random.default_rng(1).random(2501)
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    got = L.percentile_on_grid(df, "v", 0.95).first()["percentile"]
-    assert got == pytest.approx(np.percentile(values, 95), abs=1e-9)
+    got = L.exact_percentile(df, "v", 0.95).first()["percentile"]
+    assert got == pytest.approx(np.percentile(values, 95), abs=1e-12)
+    scored = spark.createDataFrame([(float(v), int((i * 7919) % 5 < 2 + v)) for i, v in enumerate(values)] + [(0.5, 0), (0.5, 1)], "probability double, won int")
+    pairs = [(r["probability"], r["won"]) for r in scored.collect()]
+    good, bad = [s for s, w in pairs if w], [s for s, w in pairs if not w]
+    plain = sum((a > b) + (a == b) / 2 for a in good for b in bad) / (len(good) * len(bad))
+    assert L.auc(scored, "won").first()["auc"] == pytest.approx(plain, abs=1e-12)
 
 
 def test_split_is_exact_and_stable(spark):
@@ -166,7 +229,7 @@ def test_model_learns_and_confidence_is_bounded(spark, tmp_path):
     df = materialize(df.withColumn("won", (F.col("x") > 0.7).cast("int")), "train")
     model = L.train_trees(df, ["x", "noise"], "won", rounds=5, depth=3)
     scored = L.score(model, df, ["x", "noise"])
-    assert L.auc(scored, "won") > 0.95
+    assert L.auc(scored, "won").first()["auc"] > 0.95
     spread = L.ensemble_spread(model, scored)
     out = L.confidence(spread)
     low, high, negative = out.agg(F.min("confidence"), F.max("confidence"), F.count_if(F.col("spread") < 0)).first()
