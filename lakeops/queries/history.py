@@ -77,7 +77,9 @@ def _(t):
 @query("w6_replace_all", "select n_nationkey, upper(n_name) as n_name from nation where n_regionkey = 1")
 def _(t):
     batch = t.nation.filter("n_regionkey = 1").withColumn("n_name", F.upper("n_name"))
-    return M.replace_all(t.nation, batch).select("n_nationkey", "n_name")
+    replaced = M.replace_all(t.nation, batch)
+    emptied = M.replace_all(t.nation, batch.limit(0))  # adds nothing to the result, unless it did not empty the target
+    return replaced.unionByName(emptied).select("n_nationkey", "n_name")
 
 
 @query("w7_replace_if_any", "select c_custkey, c_mktsegment from customer")
@@ -219,11 +221,12 @@ def _(t):
 
 @query("s24_rolling_counts", """
 select cast(cast(ts as date) as varchar) as date, user_id, count(*) as user_events_count from events
-where cast(ts as date) between date '2024-01-20' - 7 and date '2024-01-20' and event_type <> 'error' group by 1, 2""")
+where cast(ts as date) between date '2024-01-20' - 7 and date '2024-01-22' and event_type <> 'error' group by 1, 2""")
 def _(t):
-    counts = I.rolling_counts(t.events, "ts", "user_id", day("2024-01-20"), where=F.col("event_type") != "error")
-    # A second pull over a later window leaves these days as they are.
-    return M.upsert(counts, counts, ["date", "user_id"]).withColumn("date", F.col("date").cast("string"))
+    pull = lambda today, seen: I.rolling_counts(seen, "ts", "user_id", day(today), where=F.col("event_type") != "error")
+    # The first pull saw half of its last day; the second, two days later, counts that day anew and adds two.
+    first = pull("2024-01-20", t.events.filter(F.col("ts") < F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")))
+    return M.upsert(first, pull("2024-01-22", t.events), ["date", "user_id"]).withColumn("date", F.col("date").cast("string"))
 
 
 # Change logs.
@@ -292,9 +295,6 @@ def _versions(df, *columns):
     return df.select(*columns, text("valid_from"), text("valid_to"), "is_current")
 
 
-_OPEN = "timestamp '2024-01-01' as valid_from, null::timestamp as valid_to, true as is_current"
-
-
 @query("h1_snapshot_timestamp", f"""
 select c_custkey, segment, {VERSIONS} from (
   select c_custkey, c_mktsegment as segment, timestamp '2024-01-01' as valid_from, case when c_nationkey < 5 then timestamp '2024-01-02' end as valid_to, c_nationkey >= 5 as is_current from customer
@@ -344,13 +344,20 @@ def _(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", key.alias("key"))
 
 
-@query("h7_enriched_snapshot", f"""
-select c_custkey, score, {VERSIONS} from (select c_custkey, s.score, {_OPEN} from customer left join
-  (select o_custkey, count(*) as score from orders where o_orderstatus = 'F' group by 1) s on c_custkey = o_custkey)""")
+@query("h7_enriched_snapshot", f"""with s as (
+  select c_custkey, nullif(count(*) filter (o_orderstatus = 'F'), 0) as one, nullif(count(*) filter (o_orderstatus in ('F', 'P')), 0) as two
+  from customer left join orders on c_custkey = o_custkey group by 1)
+select c_custkey, score, {VERSIONS} from (
+  select c_custkey, one as score, timestamp '2024-01-01' as valid_from, case when one is distinct from two then timestamp '2024-01-02' end as valid_to, one is not distinct from two as is_current from s
+  union all select c_custkey, two, timestamp '2024-01-02', null, true from s where one is distinct from two)""")
 def _(t):
-    scores = t.orders.filter("o_orderstatus = 'F'").groupBy("o_custkey").agg(n_rows("score"))
-    rows = t.customer.join(scores, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "score")
-    return _versions(H.start_history(rows, F.lit("2024-01-01").cast("timestamp_ntz")), "c_custkey", "score")
+    """Customers with a score that is looked up; on the second day more orders count."""
+    def scored(states):
+        scores = t.orders.filter(F.col("o_orderstatus").isin(states)).groupBy("o_custkey").agg(n_rows("score"))
+        return t.customer.join(scores, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "score")
+
+    history = H.start_history(scored(["F"]), F.lit("2024-01-01").cast("timestamp_ntz"))
+    return _versions(H.snapshot_by_check(history, scored(["F", "P"]), ["c_custkey"], ["score"], day("2024-01-02")), "c_custkey", "score")
 
 
 @query("h8_aggregate_snapshot", f"""{NEW_ARR_SQL},
@@ -371,10 +378,16 @@ def _(t):
     return _versions(history, "o_orderkey", "new_arr")
 
 
-@query("h9_active_snapshot", f"select o_orderkey, {VERSIONS} from (select o_orderkey, {_OPEN} from orders where o_orderstatus = 'O')")
+@query("h9_active_snapshot", f"""select o_orderkey, {VERSIONS} from (
+  select o_orderkey, timestamp '2024-01-01' as valid_from, case when o_totalprice > 100000 then timestamp '2024-01-02' end as valid_to, o_totalprice <= 100000 as is_current from orders where o_orderstatus = 'O'
+  union all select o_orderkey, timestamp '2024-01-02', null, true from orders where o_orderstatus = 'P')""")
 def _(t):
-    rows = t.orders.filter("o_orderstatus = 'O'").select("o_orderkey")
-    return _versions(H.start_history(rows, F.lit("2024-01-01").cast("timestamp_ntz")), "o_orderkey")
+    """Open orders; on the second day the large ones are no longer active, and others have become so."""
+    first = t.orders.filter("o_orderstatus = 'O'")
+    second = first.filter("o_totalprice <= 100000").unionByName(t.orders.filter("o_orderstatus = 'P'"))
+    columns = ["o_orderkey", "o_orderstatus"]
+    history = H.start_history(first.select(*columns), F.lit("2024-01-01").cast("timestamp_ntz"))
+    return _versions(H.snapshot_by_check(history, second.select(*columns), ["o_orderkey"], ["o_orderstatus"], day("2024-01-02"), True), "o_orderkey")
 
 
 @query("h10_as_of", "select c_custkey, c_mktsegment as segment from customer")
