@@ -127,7 +127,21 @@ def op9(t: Tables) -> DataFrame:
     return mixed_order(t.documents, source_weights(t.documents)).select("doc_id", "source", "block", "slot", "place")
 
 
-@query("op10_bag_minhash")
+OP10_SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(lower(text), '(?:[a-z0-9]|[^\x00-\x7F])+') w from documents),
+sh as (
+  select doc_id, array_to_string(w[i:i + 4], ' ') g, count(*) c
+  from (select doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) i from w where len(w) > 0) group by all),
+n as (select doc_id, sum(c) n from sh group by 1),
+shared as (select a.doc_id x, b.doc_id y, sum(least(a.c, b.c)) o from sh a join sh b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+link as (select x, y from shared join n a on a.doc_id = x join n b on b.doc_id = y where o >= 0.8 * (a.n + b.n - o)),
+reach as (select doc_id, doc_id as top from documents union select reach.doc_id, link.y from reach join link on link.x = reach.top),
+class as (select doc_id, min(top) as class_id from reach group by 1)
+select doc_id, class_id, count(*) over (partition by class_id) as n_copies from class
+"""
+
+
+@query("op10_bag_minhash", OP10_SQL)
 def op10(t: Tables) -> DataFrame:
     from lakeops.llm.bagminhash import near_duplicates
 
