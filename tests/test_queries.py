@@ -16,7 +16,7 @@ def con():
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, con, name):
     problem = compare(spark, con, name, ROOT)
-    assert problem in ("", "no rows"), problem
+    assert problem == "" or problem == "no rows" and name in oracle_sql(), problem
 
 
 def test_every_twin_belongs_to_a_query():
