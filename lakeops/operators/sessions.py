@@ -50,12 +50,15 @@ def _sliced(df: DataFrame, visitor: str, ts: str, seconds: int, hot_rows: int |
     return marked.withColumn("_slice", F.when(F.col("_hot") & at.isNotNull(), start(1)).otherwise(F.col("_slice"))).drop("_hot")
 
 
-def _with_session_domains(slices: DataFrame) -> DataFrame:
+def _with_session_domains(slices: DataFrame, by_ip: bool) -> DataFrame:
     """Sorted distinct domains of each slice's session.
 
     Only a domain's first slice in the session contributes it, so what is collected has the size of the
-    result however many slices a session has.
+    result however many slices a session has. The unknown group, whose session never ends, gets no list
+    unless it counts as an address: its domains are not laid out at all.
     """
+    if not by_ip:
+        slices = slices.withColumn("_domains", F.when(~F.col("_unknown"), F.col("_domains")))
     session = Window.partitionBy(*_VISITOR, "session_number")
     rest = [c for c in slices.columns if c != "_domains"]
     each = slices.select(*rest, F.posexplode_outer("_domains").alias("_at", "_domain"))
@@ -134,7 +137,7 @@ def sessionize(
     kept = [*carried, *(["_domains"] if domain else [])]
     slices = slices.select(*kept, *totals)
     if domain:
-        slices = _with_session_domains(slices)
+        slices = _with_session_domains(slices, by_ip)
 
     in_slice = Window.partitionBy(*_VISITOR, "_slice").orderBy(*order)
     rows = views.select(

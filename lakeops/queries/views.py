@@ -14,7 +14,7 @@ EMPTY_CLICKS = [c for c in PAID_CLICK_IDS if c not in ("gclid", "reddit_cid", "m
 
 def page_views(t: Tables) -> DataFrame:
     """Events on the page their id points to; errors have no visitor, clicks no referrer."""
-    n = t.pages.count()
+    n = t.pages.agg(F.count(F.lit(1))).scalar()
     k, url, host = F.col("k"), F.col("url"), F.col("host")
     joined = t.events.join(t.pages.select("page_id", "url"), F.col("event_id") % n == F.col("page_id"), "left")
     parsed = F.get_json_object("props", "$.k").cast("int").alias("k")
