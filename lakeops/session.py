@@ -54,7 +54,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         return tempfile.mkdtemp(prefix=f"lakeops-{label}-")
-    return f"{root.rstrip('/')}/lakeops/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/lakeops/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written to the shared scratch folder, once no result is read from it any more."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/lakeops/{spark.sparkContext.applicationId}")
+        own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(own, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
