@@ -174,9 +174,17 @@ def missing_descriptions(metadata: DataFrame, description: str, ignore: Column |
     return rows.filter(blank(F.col(description)))
 
 
+IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_]*"
+
+
+def is_safe_identifier(name: Column) -> Column:
+    """Can a name stand in SQL text as it is? NULL cannot."""
+    return F.coalesce(F.regexp_like(name, F.lit(f"\\A{IDENTIFIER}\\z")), F.lit(False))
+
+
 def safe_identifier(name: str) -> str:
-    """A name that can stand in SQL text as it is."""
-    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name):
+    """The name, if it can stand in SQL text as it is."""
+    if not re.fullmatch(IDENTIFIER, name):
         raise ValueError(f"not a plain identifier: {name!r}")
     return name
 
