@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import hash_buckets, in_buckets, map_texts, packed
+from lakeops.llm.common import hash_buckets, in_buckets, in_small_batches, map_texts, packed
 from lakeops.llm.components import connected
 from lakeops.llm.shingles import mix, shingles_of, words_of
 from lakeops.session import materialize
@@ -120,7 +120,7 @@ def _compared(df: DataFrame, left: str, right: str, measure, name: str) -> DataF
             made = [measure(p.as_py(), q.as_py()) for p, q in zip(x, y, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("a")), batch.column(batch.schema.get_field_index("b")), pa.array(made, pa.float64())], names=["a", "b", name])
 
-    return df.mapInArrow(run, T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType()), T.StructField(name, T.DoubleType())]))
+    return in_small_batches(df).mapInArrow(run, T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType()), T.StructField(name, T.DoubleType())]))
 
 
 def _agreement(left: bytes, right: bytes) -> float:

@@ -58,6 +58,17 @@ def pieces(column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, li
         yield start, held
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on hands at most 1,000 rows and about 8 MB at once to Python.
+
+    With the default of 10,000 rows, texts of some kilobytes make batches of tens of megabytes, of which JVM and Python hold several.
+    """
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "8388608")):
+        if df.sparkSession.conf.get(key, None) != value:
+            df.sparkSession.conf.set(key, value)
+    return df
+
+
 def map_texts(
     df: DataFrame, work: Callable[[list[bytes]], Mapping[str, Sequence]], adds: Sequence[tuple[str, T.DataType]], text: str = "text"
 ) -> DataFrame:
@@ -84,7 +95,7 @@ def map_texts(
                     arrays.append(pa.array(made[name], type=schema.field(name).type))
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return df.mapInArrow(run, out)
+    return in_small_batches(df).mapInArrow(run, out)
 
 
 def keep_texts(df: DataFrame, keep: Callable[[list[bytes]], Sequence[bool]], text: str = "text") -> DataFrame:
@@ -95,7 +106,7 @@ def keep_texts(df: DataFrame, keep: Callable[[list[bytes]], Sequence[bool]], tex
             column = texts_of(batch.column(batch.schema.get_field_index(text)))
             yield batch.filter(pa.array([x for _, raw in pieces(column) for x in keep(raw)], pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return in_small_batches(df).mapInArrow(run, df.schema)
 
 
 def hash_slice(hashed: Column) -> Column:

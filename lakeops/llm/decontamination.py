@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import keep_texts, map_texts, own_columns, pieces, texts_of
+from lakeops.llm.common import in_small_batches, keep_texts, map_texts, own_columns, pieces, texts_of
 
 WINDOW = 13
 #: Windows that a task holds at once; a larger benchmark is taken in blocks of so many.
@@ -54,7 +54,7 @@ def word_frequencies(documents: DataFrame, vocabulary: set[bytes]) -> dict[bytes
                     counts.update(filter(wanted.__contains__, words(text)))
         yield pa.RecordBatch.from_pydict({"word": list(counts), "n": list(counts.values())}, schema=pa.schema([("word", pa.binary()), ("n", pa.int64())]))
 
-    counted = own_columns(documents, "text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = in_small_batches(own_columns(documents, "text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return {bytes(r["word"]): r["n"] for r in counted.toLocalIterator()}
 
 

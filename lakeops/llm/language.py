@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import held_out, map_texts, own_columns, pieces, texts_of, unit
+from lakeops.llm.common import held_out, in_small_batches, map_texts, own_columns, pieces, texts_of, unit
 
 DIMENSIONS = 1024
 SEED = 7_919
@@ -138,7 +138,7 @@ def fit_languages(documents: DataFrame, *, fit_rows: int = 20_000, dimensions: i
         for lang, vector in total.items():
             yield pa.RecordBatch.from_pydict({"lang": [lang] * dimensions, "at": list(range(dimensions)), "value": vector})
 
-    sums = drawn.mapInArrow(run, "lang string, at long, value double").groupBy("lang", "at").agg(F.sum("value").alias("value"))
+    sums = in_small_batches(drawn).mapInArrow(run, "lang string, at long, value double").groupBy("lang", "at").agg(F.sum("value").alias("value"))
     found: dict[str, np.ndarray] = {}
     for r in sums.toLocalIterator():
         found.setdefault(r["lang"], np.zeros(dimensions))[r["at"]] = r["value"]

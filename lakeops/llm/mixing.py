@@ -77,7 +77,7 @@ def schedule(blocks: DataFrame, shares: DataFrame) -> DataFrame:
     kinds = left.groupBy("start", "rounds").agg(F.sum("n").alias("slots"))
     kinds = kinds.withColumn("first_slot", F.coalesce(F.sum(F.col("slots") * F.col("rounds")).over(following.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
 
-    def one_round(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def one_round(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         made = earliest_deadline_first(dict(zip(rows["source"], (int(n) for n in rows["n"]), strict=True)))
         return pd.DataFrame([(int(key[0]), s, k, at) for at, (s, k) in enumerate(made)], columns=["start", "source", "turn", "at"])
 
