@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from lakeops.llm.bagminhash import keep_one
-from lakeops.llm.common import packed
+from lakeops.llm.common import numbered, packed
 from lakeops.llm.decontamination import uncontaminated
 from lakeops.llm.mixing import mixed_documents, source_weights
 from lakeops.llm.quality import fit_quality, good_documents
-from lakeops.llm.queries import old_shard
 from lakeops.llm.resharding import reshard
 from lakeops.session import materialize
 
+#: Runs that the mix is in before it is sharded.
+OLD_SHARDS = 12
 #: No SQL: the stages compress, schedule and solve a flow.
 ORACLE_SQL = None
 
@@ -44,21 +45,26 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their shard of 16 and their slot in it. Shards keep the order of the mix, which is that of files and rows.
+    """All documents with their shard of 16, their slot in it and their ``mix_position``, from 0 in the order of files and rows.
 
-    Columns of docs that are named like an added one are replaced.
+    The layout before is the mix cut into 12 runs of near equal bytes, so every shard is made of runs of the mix, each with the weights that
+    the schedule has there, and its slots follow the mix over all of them. Columns of docs that are named like an added one are replaced.
     """
     try:
         docs.select("_metadata.row_index")
     except AnalysisException:  # not read from files
         docs = materialize(docs, "shard_docs")
     rows = docs.select(
-        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"), old_shard().alias("old_shard"),
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"), F.lit(0).alias("_all"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
     )
-    placed = reshard(rows, 16, old="old_shard", size="size", slice_by="_file", order=["_row"])
+    rows = materialize(numbered(materialize(rows, "shard_rows"), ["_all"], "_file", ["_row"], {"_at": "size"}), "shard_line")
+    total = rows.agg(F.sum("size")).first()[0] or 1
+    rows = rows.select("_file", "_row", "size", F.col("_rank").alias("mix_position"), F.floor(F.col("_at") / F.lit(total) * OLD_SHARDS).cast("int").alias("old_shard"))
+    rows = rows.withColumn("old_shard", F.least("old_shard", F.lit(OLD_SHARDS - 1)))
+    placed = reshard(rows, 16, old="old_shard", size="size", slice_by="_file", order=["_row"], in_runs=True)
     whole = packed(docs, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row_index"))
-    added = ["size", "old_shard", "moved", "shard", "slot"]
+    added = ["size", "mix_position", "old_shard", "moved", "shard", "slot"]
     met = whole.join(placed.withColumnRenamed("_row", "_row_index"), ["_file", "_row_index"])
     return met.select(*[F.col(f"_row.`{c}`") for c in docs.columns if c not in added], *added)
 

@@ -87,13 +87,16 @@ def settle_cuts(cuts: list[dict], shards: int) -> None:
 
 
 def reshard(
-    rows: DataFrame, new_shards: int, *, old: str, size: str, slice_by: str, order: Sequence[str], cost: Callable[[int, int], int] | None = None
+    rows: DataFrame, new_shards: int, *, old: str, size: str, slice_by: str, order: Sequence[str], cost: Callable[[int, int], int] | None = None,
+    in_runs: bool = False,
 ) -> DataFrame:
     """Add ``shard`` (from 0), ``slot`` (gapless from 0 in its shard) and ``moved`` to narrow rows that have an old shard and a size.
 
     ``old`` holds the old shard as a number from 0 without NULLs, ``size`` a positive number of bytes. Rows keep to the order of
     (``slice_by``, ``order``) within their old shard, so a piece that stays or moves is a run of it. New capacities are equal to a byte;
     a shard misses its capacity by parts of the rows at its cuts only. The law is that sizes in bytes are near equal.
+    Slots take the piece that stays first and then the others by old shard; with ``in_runs`` the old shards are consecutive runs of one
+    order, by their numbers, and slots follow that order over all pieces of a shard.
     An empty table gives no rows; rows that tie in everything are alike. The driver holds a number for each pair of shards with a flow.
     """
     cost = cost or (lambda i, j: 0 if i == j else 1)
@@ -132,7 +135,7 @@ def reshard(
     placed = line.join(F.broadcast(table), (F.col(old) == F.col("_old")) & (F.col("_from") >= F.col("_low")) & (F.col("_from") < F.col("_high")))
     counts = {(r[old], r["_low"]): (r["first"], r["n"]) for r in placed.groupBy(old, "_low").agg(F.min("_rank").alias("first"), F.count(F.lit(1)).alias("n")).collect()}
     held, slots = [0] * new_shards, []
-    for i, low, _, j in sorted(pieces, key=lambda p: (p[3], p[0] != p[3], p[0], p[1])):
+    for i, low, _, j in sorted(pieces, key=lambda p: (p[3], not in_runs and p[0] != p[3], p[0], p[1])):
         first, n = counts.get((i, low), (0, 0))
         slots.append((i, low, held[j] - first))
         held[j] += n
