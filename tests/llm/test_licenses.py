@@ -1,7 +1,9 @@
 from collections import Counter
 
+import pytest
+
 from lakeops.llm.decontamination import words
-from lakeops.llm.licenses import DICE, TEMPLATES, Scanner, license_passages, templates_of
+from lakeops.llm.licenses import DICE, TEMPLATES, Scanner, _AS_IS_BSD, _BSD_2, _BSD_3, _whole, license_passages, templates_of
 from tests.llm.conftest import prose
 
 
@@ -48,3 +50,34 @@ def test_odd_rows(odd_documents, no_documents):
     assert len(rows) == odd_documents.count() and not any(r["license"] for r in rows)
     assert license_passages(no_documents).count() == 0
     assert license_passages(odd_documents, texts=[("two", "two words"), ("none", "")]).filter("license = 'two'").count() == 2
+
+
+@pytest.fixture(scope="module")
+def scanner():
+    return Scanner(templates_of(TEMPLATES), DICE)
+
+
+CC = "This article is licensed under a Creative Commons Attribution-{} 4.0 International License."
+
+
+@pytest.mark.parametrize(
+    ("text", "name"),
+    [
+        (CC.format("NonCommercial"), "CC-BY-NC-4.0"), (CC.format("NoDerivatives"), "CC-BY-ND-4.0"), (CC.format("NonCommercial-NoDerivatives"), "CC-BY-NC-ND-4.0"), (CC.format("ShareAlike"), "CC-BY-SA-4.0"),
+        ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0"), ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"), ("It is licensed under the GNU General Public License, version 2.0 only", "GPL-2.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"), ("This library is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+        (_BSD_2 + " " + _BSD_3.replace("the copyright holder", "Example Inc.") + " " + _AS_IS_BSD.replace("COPYRIGHT HOLDER OR", "REGENTS OR"), "BSD-3-Clause"),
+        (_BSD_2 + " " + _AS_IS_BSD.replace("COPYRIGHT HOLDER OR", "REGENTS OR"), "BSD-2-Clause"), (_whole("Apache-2.0").replace("Work", "Piece"), "Apache-2.0"), (_whole("GPL-2").replace("Program", "Tool"), "GPL-2.0"),
+        (_whole("GPL-3").replace("covered work", "thing"), "GPL-3.0"), (_whole("LGPL-2.1").replace("Library", "Module"), "LGPL-2.1"),
+    ],
+)
+def test_notices_that_are_no_templates_get_their_own_name(scanner, text, name):
+    found = scanner.passages(words(f"{prose(1, 80)} {text} {prose(2, 80)}".encode()))
+    assert {f[2] for f in found} == {name}
+    if len(text) > 5_000:
+        assert max(b - a for a, b, _, _ in found) > 0.9 * len(words(text.encode()))
+
+
+@pytest.mark.parametrize("text", ["This work is licensed under the GNU General Public License, version 7.", "This work is licensed under a Creative Commons Attribution-NonCommercial 9.0 International License."])
+def test_other_versions_get_no_near_name(scanner, text):
+    assert scanner.passages(words(text.encode())) == []
