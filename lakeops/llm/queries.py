@@ -148,6 +148,48 @@ def op10(t: Tables) -> DataFrame:
     return near_duplicates(t.documents)
 
 
+OP11_SQL = r"""
+with d as (select row_number() over () rid, doc_id, string_split(coalesce(text, ''), chr(10)) ls from documents),
+l as (
+  select rid, doc_id, i, ls[i] line, translate(trim(ls[i], concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') k
+  from (select rid, doc_id, ls, unnest(range(1, len(ls) + 1)) i from d)),
+f as (select k, min(doc_id) keeper from l where length(k) >= 10 group by k having count(distinct doc_id) >= 2),
+m as (select rid, doc_id, i, line, keeper is not null and keeper <> doc_id gone from l left join f using (k))
+select any_value(doc_id) doc_id, count(*) n_lines, count(*) filter (gone) n_dropped, sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) kept_sha256
+from m group by rid
+"""
+
+
+@query("op11_range_line_dedup", OP11_SQL)
+def op11(t: Tables) -> DataFrame:
+    from lakeops.llm.line_dedup import deduplicated_lines
+
+    return deduplicated_lines(t.documents).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_spelling_variants")
+def op12(t: Tables) -> DataFrame:
+    from lakeops.llm.spelling import spelling_variants, vocabulary
+
+    return spelling_variants(materialize(vocabulary(t.documents), "spelling_words"))
+
+
+@query("op13_grammar_runs")
+def op13(t: Tables) -> DataFrame:
+    from lakeops.llm.grammar_runs import periodic_runs
+
+    checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    found = periodic_runs(t.documents, seed=checksum).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top.alias("_top"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")
+    )
+    return found.select(
+        "doc_id", "n_runs", (-F.col("_top.start")).alias("start"), F.col("_top.length").alias("length"), (-F.col("_top.period")).alias("period"),
+        F.expr("1000 * _top.length div -_top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 @query("pipeline")
 def pipeline(t: Tables) -> DataFrame:
     import corpus_pipeline

@@ -82,4 +82,4 @@ def test_odd_and_no_documents(spark, odd_documents, no_documents):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in QUERIES][:10] == [f"op{n}" for n in range(1, 11)] and "pipeline" in QUERIES and set(ORACLES) <= set(QUERIES)
+    assert [n.split("_")[0] for n in QUERIES][:13] == [f"op{n}" for n in range(1, 14)] and "pipeline" in QUERIES and set(ORACLES) <= set(QUERIES)
