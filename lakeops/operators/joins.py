@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.session import materialize
+
 
 def match_filter(
     df: DataFrame,
@@ -58,6 +60,28 @@ def anti_keys(left: DataFrame, right: DataFrame, key: str, right_key: str | None
     return left.select(key).filter(F.col(key).isNotNull()).distinct().join(other, key, "left_anti")
 
 
+#: Seconds of the finest bin of a range join.
+BIN_SECONDS = {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400, "week": 604_800}
+
+
+def dyadic_bins(first: Column, last: Column) -> Column:
+    """The fewest (level, bin) that cover the bins first to last exactly, where bin b of a level is made of bins 2 b and 2 b + 1 of the level below.
+
+    As in a segment tree there are at most two on a level, so their number grows with the logarithm of the range.
+    """
+    two_to = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k)
+
+    def of_level(k: Column) -> Column:
+        low, high = F.ceil(first / two_to(k)), F.floor((last + 1) / two_to(k)) - 1
+        at = lambda b: F.struct(k.alias("level"), b.cast("long").alias("bin"))
+        left = F.when((low <= high) & (F.pmod(low, F.lit(2)) == 1), at(low))
+        right = F.when((low <= high) & (F.pmod(high, F.lit(2)) == 0), at(high))
+        return F.array(left, right)
+
+    levels = F.sequence(F.lit(0), F.ceil(F.log2((last - first + 1).cast("double"))).cast("int") + 1)
+    return F.filter(F.flatten(F.transform(levels, of_level)), lambda b: b.isNotNull())
+
+
 def range_join(
     points: DataFrame,
     periods: DataFrame,
@@ -65,66 +89,118 @@ def range_join(
     at: str,
     start: str,
     end: str,
-    unit: str = "month",
+    unit: str = "day",
+    hot_rows: int = 5_000_000,
+    salts: int = 64,
 ) -> DataFrame:
-    """Points inside periods (both ends included) of the same key.
+    """Points inside periods (both ends included) of the same key; dates or times. NULL keys and bounds match nothing.
 
-    Periods are laid out over calendar units and the equality join is on key and unit, so a key's
-    points only meet the periods of their own unit. Units come from the calendar: their number is
-    bounded by the length of a period, and a hot key is spread over its units.
+    Time is cut into bins of a unit, which pair up level by level. A period is laid out over the few bins of several levels that cover it,
+    a point looks up its one bin on each level that some period uses, and the join is an equality of key, level and bin. Only in the
+    units of a period's two ends can they meet in vain. Keys with more than
+    ``hot_rows`` points are salted: their points on the upper levels, where many share a bin, are dealt to ``salts`` copies of the periods.
     """
-    step = F.expr(f"interval 1 {unit}")
-    unit_of = lambda c: F.date_trunc(unit, F.col(c).cast("timestamp_ntz")).cast("date")
-    valid = periods.filter(F.col(start) <= F.col(end))
-    laid = valid.withColumn("_unit", F.explode(F.sequence(unit_of(start), unit_of(end), step)))
-    found = points.withColumn("_unit", unit_of(at)).join(laid, [*keys, "_unit"])
-    return found.filter((F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end))).drop("_unit")
+    seconds = BIN_SECONDS[unit]
+    bin_of = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp_ntz").cast("timestamp")) / (seconds * 1_000_000))
+    laid = periods.filter(F.col(start) <= F.col(end)).withColumn("_b", F.explode(dyadic_bins(bin_of(start), bin_of(end))))
+    laid = laid.withColumn("_level", F.col("_b.level")).withColumn("_bin", F.col("_b.bin")).drop("_b")
+    used = sorted(r[0] for r in laid.select("_level").distinct().collect())  # a number per level, some dozens at most
+    if not used:
+        used = [0]
+    looked_up = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright("_own", k).alias("bin")) for k in used]))
+    spread = points.withColumn("_own", bin_of(at)).withColumn("_b", looked_up).withColumn("_level", F.col("_b.level")).withColumn("_bin", F.col("_b.bin"))
+    hot = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    met = salted_join(spread.drop("_b"), laid, [*keys, "_level", "_bin"], F.col("_own"), salts=salts, hot=hot)
+    return met.filter((F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end))).drop("_own", "_level", "_bin")
 
 
 def salted_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], spread: Column, how: str = "inner",
-    hot_rows: int = 5_000_000, salts: int = 64,
+    hot_rows: int = 5_000_000, salts: int = 64, hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equality join that spreads the hot keys of the left side.
 
     Keys with more than ``hot_rows`` left rows get one of ``salts`` salts from ``spread`` (any column
     with many values); only their right rows are copied once per salt. NULL keys, which match nothing,
     are spread as well; all other keys have salt 0. The list of hot keys is broadcast: it has at most
-    (left rows / hot_rows) entries.
+    (left rows / hot_rows) entries. ``hot`` names them instead, by some of the keys and a column ``_hot`` that is true.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    hot = left.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    if hot is None:
+        hot = left.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    by = [k for k in keys if k in hot.columns]
     unmatched = F.lit(False)
     for key in keys:
         unmatched = unmatched | F.col(key).isNull()
     salted = F.coalesce(F.col("_hot"), F.lit(False)) | unmatched
     salt = F.when(salted, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")
-    many = left.join(F.broadcast(hot), list(keys), "left").withColumn("_salt", salt).drop("_hot")
+    many = left.join(F.broadcast(hot), by, "left").withColumn("_salt", salt).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    few = right.join(F.broadcast(hot), list(keys), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    few = right.join(F.broadcast(hot), by, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return many.join(few, [*keys, "_salt"], how).drop("_salt")
 
 
-def matches_any_pattern(df: DataFrame, column: str, patterns: DataFrame, pattern: str, flag: str) -> DataFrame:
-    """Flag rows whose text is LIKE any pattern row; NULL text gives NULL, no patterns give false.
+def _literals(pattern: Column) -> Column:
+    """The literal stretches of a LIKE pattern, between its unescaped wildcards."""
+    return F.transform(F.regexp_extract_all(pattern, F.lit(r"(?s)((?:[^%_\\]|\\.)+)"), F.lit(1)), lambda p: F.regexp_replace(p, r"(?s)\\(.)", "$1"))
 
-    Only distinct texts meet the patterns. Patterns of the form 'prefix%' are equality joins of the text's beginnings, in all lengths that
-    prefixes have; the others are compared one by one, as LIKE leaves no key to join on. The hits come back by a join on the text.
+
+def _grams(text: Column, size: Column) -> Column:
+    """The different substrings of a text with so many characters."""
+    letters = F.split(text, "")
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(letters, i, size), "")))
+
+
+def matching_texts(texts: DataFrame, text: str, patterns: DataFrame, pattern: str) -> DataFrame:
+    """The distinct texts (column ``_text``) that are LIKE one of the patterns; NULLs match nothing.
+
+    An index instead of a comparison of all pairs: a pattern of the form 'prefix%' is an equality join with the beginnings of texts, in the lengths
+    that prefixes have. Any other is found by one gram of its literals, three characters if it has that many in a row, else two or one: of its grams the one
+    that the fewest texts hold. Texts meet patterns by that gram, and LIKE decides. Patterns of wildcards alone ask for a length only.
     """
-    p = F.col(pattern)
-    start = F.expr(f"substr({pattern}, 1, length({pattern}) - 1)")
-    distinct = patterns.select(p.alias(pattern)).filter(p.isNotNull()).distinct()
-    marked = distinct.withColumn("_prefix", F.when(p.endswith("%") & ~start.rlike(r"[%_\\]"), start))
-    prefixes = marked.filter(F.col("_prefix").isNotNull()).select("_prefix")
-    others = marked.filter(F.col("_prefix").isNull()).select(p.alias("_pattern"))
-    texts = df.select(F.col(column).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
+    p = F.col("_pattern")
+    start = F.expr("substr(_pattern, 1, length(_pattern) - 1)")
+    listed = patterns.select(F.col(pattern).alias("_pattern")).filter(p.isNotNull()).distinct()
+    listed = listed.withColumn("_prefix", F.when(p.endswith("%") & ~start.rlike(r"[%_\\]") & (F.length(p) > 1), start))
+    rest = listed.filter(F.col("_prefix").isNull()).select("_pattern", _literals(p).alias("_parts"))
+    texts = texts.select(F.col(text).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
+
+    prefixes = listed.select("_prefix").filter(F.col("_prefix").isNotNull())
     lengths = sorted(r[0] for r in prefixes.select(F.length("_prefix")).distinct().collect())  # one number per length of a prefix
     beginnings = F.array(*[F.substring("_text", 1, n) for n in lengths]) if lengths else F.array().cast("array<string>")
     hits = texts.select("_text", F.explode(beginnings).alias("_prefix")).join(prefixes, "_prefix", "left_semi").select("_text")
-    hits = hits.union(texts.join(others, F.expr("_text like _pattern"), "left_semi")).distinct().withColumn("_hit", F.lit(True))
+
+    size = F.least(F.lit(3), F.array_max(F.transform("_parts", F.length)))
+    sized = rest.filter(F.size("_parts") > 0).select("_pattern", "_parts", size.alias("_size"))
+    in_pattern = F.explode(F.array_distinct(F.flatten(F.transform("_parts", lambda s: _grams(s, F.col("_size"))))))
+    wanted = sized.select("_pattern", in_pattern.alias("_gram"))
+    sizes = sorted(r[0] for r in sized.select("_size").distinct().collect())  # of 1, 2 and 3
+    in_text = F.explode(F.concat(*[_grams(F.col("_text"), F.lit(n)) for n in sizes]) if sizes else F.array().cast("array<string>"))
+    postings = texts.select("_text", in_text.alias("_gram")).join(wanted.select("_gram").distinct(), "_gram", "left_semi")
+    postings = materialize(postings, "pattern_postings")
+    often = postings.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    # A gram that no text holds drops its pattern, which then matches none.
+    rarest = wanted.join(often, "_gram", "left").groupBy("_pattern").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_rare"))
+    met = postings.join(rarest.filter("_rare.n > 0").select("_pattern", F.col("_rare.gram").alias("_gram")), "_gram").filter(F.expr("_text like _pattern"))
+
+    blank = rest.filter(F.size("_parts") == 0).select(F.length(F.translate("_pattern", "%", "")).alias("_least"), p.contains("%").alias("_more"))
+    exact = blank.filter(~F.col("_more")).select("_least").distinct()
+    least = blank.filter("_more").agg(F.min("_least")).scalar()
+    long_enough = texts.filter(F.length("_text") >= least)
+    as_long = texts.withColumn("_least", F.length("_text")).join(exact, "_least", "left_semi").select("_text")
+    return hits.union(met.select("_text")).union(long_enough).union(as_long).distinct()
+
+
+def matches_any_pattern(df: DataFrame, column: str, patterns: DataFrame, pattern: str, flag: str) -> DataFrame:
+    """Flag rows whose text is LIKE any pattern row; NULL text gives NULL, no patterns give false.
+
+    Only distinct texts meet the patterns, by an index of these (``matching_texts``). The hits come back by a join on the text.
+    """
+    hits = matching_texts(df, column, patterns, pattern).withColumn("_hit", F.lit(True))
     found = df.join(hits, F.col(column) == F.col("_text"), "left")
-    known = distinct.agg(F.count(F.lit(1)) > 0).scalar()
+    known = patterns.agg(F.count(pattern) > 0).scalar()
     value = F.when(F.col(column).isNotNull() | ~known, F.coalesce(F.col("_hit"), F.lit(False)))
     return found.withColumn(flag, value).drop("_text", "_hit")
 

@@ -26,6 +26,14 @@ def non_null_keys(keys: Sequence[str], prefix: str = "_") -> list[Column]:
     return out
 
 
+def same_keys(keys: Sequence[str], prefix: str) -> Column:
+    """Join condition: each key equals the column of its name behind ``prefix``, NULL equals NULL."""
+    out = F.lit(True)
+    for key in keys:
+        out = out & F.col(key).eqNullSafe(F.col(f"{prefix}{key}"))
+    return out
+
+
 def ordered_scan(
     df: DataFrame,
     keys: Sequence[str],

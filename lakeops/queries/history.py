@@ -12,6 +12,7 @@ from lakeops.queries.relational import money, n_rows
 from lakeops.queries.scalars import NEW_ARR_SQL, deal_new_arr, deals
 from lakeops.queries.views import CHANGES_SQL, changes
 from lakeops.sinks import merge as M
+from lakeops.sinks.buckets import KeyBuckets
 from lakeops.sources import increments as I
 
 day = lambda text_date: F.lit(text_date).cast("date")
@@ -266,6 +267,41 @@ def _(t):
     return C.visible(state, "ts", "op")
 
 
+BY_DAYS = ["2024-01-01", "2024-01-10", "2024-01-15", "2024-01-20", "2024-02-01"]
+
+
+@query("c4_bucketed_fold", """with changes as (
+  select nullif(user_id, 7) as user_id, event_id, event_type, value, props, case event_type when 'error' then 'D' when 'signup' then 'I' else 'U' end as op, ts from events)""" + CURRENT_SQL)
+def _(t):
+    """The log in four batches, the last two late and out of order, each folded into the stored key buckets it touches; one user has no id."""
+    log = changes(t).withColumn("user_id", F.nullif("user_id", F.lit(7).cast("long")))
+    table = KeyBuckets(t.spark, t.scratch("c4"), log.schema, LOG["keys"], 16)
+    for version, i in enumerate([0, 1, 3, 2]):
+        C.cdc_merge(table, log.filter((F.col("ts") >= day(BY_DAYS[i])) & (F.col("ts") < day(BY_DAYS[i + 1]))), version, LOG["ts"], LOG["op"], LOG["tie"])
+    return C.visible(table.read(), "ts", "op")
+
+
+@query("c1_text_times", """
+with changes as (
+  select user_id, event_id, value, case event_type when 'error' then 'D' else 'U' end as op,
+    case event_id % 3 when 0 then strftime(ts, '%Y-%m-%d %H:%M:%S.%f') when 1 then strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || 'Z'
+      else strftime(date_trunc('minute', ts) + interval 5 hour, '%Y-%m-%d %H:%M:%S') || '+05:00' end as stamp,
+    case event_id % 3 when 0 then ts when 1 then date_trunc('second', ts) else date_trunc('minute', ts) end as moment from events)
+select user_id, event_id, value, stamp from changes
+qualify row_number() over (partition by user_id order by moment desc, case op when 'D' then 1 else 0 end, event_id desc) = 1 and op <> 'D'""")
+def _(t):
+    """Times as text of several precisions and zones, which do not sort as text."""
+    zoned = lambda c, pattern, end: F.concat(F.date_format(c, pattern), F.lit(end))
+    at = (
+        F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        .when(F.col("event_id") % 3 == 1, zoned("ts", "yyyy-MM-dd'T'HH:mm:ss", "Z"))
+        .otherwise(zoned(F.date_trunc("minute", "ts") + F.expr("interval 5 hours"), "yyyy-MM-dd HH:mm:ss", "+05:00"))
+    )
+    log = t.events.select("user_id", "event_id", "value", F.when(F.col("event_type") == "error", "D").otherwise("U").alias("op"), at.alias("stamp"))
+    latest = C.cdc_latest(log, ["user_id"], "stamp", "op", ["event_id"], ts_type="timestamp")
+    return latest.filter("op <> 'D'").drop("op")
+
+
 @query("c5_baseline", """
 with changes as (
   select user_id, event_type, case event_type when 'error' then 'D' else 'U' end as op, ts, event_id from events
@@ -331,6 +367,28 @@ def _(t):
     return _versions(_checked(t, True), "c_custkey", F.col("c_mktsegment").alias("segment"))
 
 
+@query("h3_split_history", f"""
+with p as (select nullif(p_partkey, 7) as id, p_partkey as k, p_size as size, p_brand as brand from part)
+select id, size, brand, {VERSIONS} from (
+  select id, size, brand, timestamp '2024-01-01' as valid_from,
+    case when k % 7 = 1 then timestamp '2024-01-02' when k % 11 = 2 then timestamp '2024-01-03' end as valid_to, k % 7 <> 1 and k % 11 <> 2 as is_current from p
+  union all select id, size + 1, null, timestamp '2024-01-02', case when k % 11 = 2 then timestamp '2024-01-03' end, k % 11 <> 2 from p where k % 7 = 1
+  union all select id + 1000000000, size, brand, timestamp '2024-01-02', timestamp '2024-01-03', false from p where k % 5 = 0)""")
+def _(t):
+    """Parts over three days, stored: on the second a seventh changes, on the third an eleventh and all that the second added are gone. One part has no key."""
+    rows = t.part.select(F.nullif("p_partkey", F.lit(7).cast(t.part.schema["p_partkey"].dataType)).alias("id"), F.col("p_partkey").alias("k"), F.col("p_size").alias("size"), F.col("p_brand").alias("brand"))
+    moved = F.col("k") % 7 == 1
+    second = rows.withColumn("size", F.when(moved, F.col("size") + 1).otherwise(F.col("size"))).withColumn("brand", F.when(~moved, F.col("brand")))
+    added = rows.filter("k % 5 = 0").withColumn("id", F.col("id") + 1000000000)
+    third = second.filter("k % 11 <> 2")
+    schema = H.start_history(rows.drop("k"), F.lit(None).cast("timestamp_ntz")).schema
+    history = H.SplitHistory(KeyBuckets(t.spark, t.scratch("h3"), schema, ["id"], 16), t.scratch("h3-closed"))
+    for version, (batch, closes) in enumerate([(rows, True), (second.unionByName(added), False), (third, True), (third, True)]):
+        at = day(f"2024-01-0{min(version, 2) + 1}").cast("timestamp_ntz")
+        history.run(batch.drop("k"), version, H.differs(["size"]), at, at if closes else None)
+    return _versions(history.read(), "id", "size", "brand")
+
+
 @query("h4_expression_key", "select l_orderkey || '-' || l_linenumber as key, count(*) as n from lineitem group by 1")
 def _(t):
     return t.lineitem.groupBy(H.expression_key(F.col("l_orderkey"), F.col("l_linenumber")).alias("key")).agg(n_rows("n"))

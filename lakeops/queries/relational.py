@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.dates import seconds_between, weekly_window
@@ -114,6 +115,40 @@ def _(t):
     return J.matches_any_pattern(t.part, "p_name", starts.union(ends), "pattern", "matched").select("p_partkey", "matched")
 
 
+@query("j7_pattern_index", """
+with texts as (select p_partkey, p_name || '-' || p_partkey as name from part),
+patterns as (
+  select '%' || right(p_name, 3) || '-' || p_partkey % 100 as pattern from part where p_size > 40
+  union all select '%' || substr(p_name, 3, 4) || '_' || '%' || p_partkey % 50 from part where p_size between 30 and 32
+  union all select left(p_name, 2) || '_%_-' || p_partkey % 7 || '_' from part where p_size < 4
+  union all select '%q%' union all select '__________')
+select p_partkey, exists (select 1 from patterns where name like pattern) as matched from texts""")
+def _(t):
+    """Suffixes, pieces with wildcards between them, single letters and a bare length; about a fifth of the parts gives a pattern each."""
+    key = lambda n: (F.col("p_partkey") % n).cast("string")
+    rows = t.part.select("p_partkey", F.concat("p_name", F.lit("-"), F.col("p_partkey").cast("string")).alias("name"))
+    some = [
+        t.part.filter("p_size > 40").select(F.concat(F.lit("%"), F.right("p_name", F.lit(3)), F.lit("-"), key(100)).alias("pattern")),
+        t.part.filter("p_size between 30 and 32").select(F.concat(F.lit("%"), F.substring("p_name", 3, 4), F.lit("_%"), key(50)).alias("pattern")),
+        t.part.filter("p_size < 4").select(F.concat(F.left("p_name", F.lit(2)), F.lit("_%_-"), key(7), F.lit("_")).alias("pattern")),
+        t.spark.createDataFrame([("%q%",), ("__________",)], "pattern string"),
+    ]
+    return J.matches_any_pattern(rows, "name", reduce(DataFrame.unionByName, some), "pattern", "matched").select("p_partkey", "matched")
+
+
+@query("j6_hierarchical_periods", """
+select e.user_id, e.event_type, count(*) as n, sum(p.o_orderkey) as orders from events e join (
+  select o_orderkey, o_custkey % 20 as user_id, o_orderdate + interval 28 year as started, o_orderdate + interval 28 year + interval (o_orderkey % 900) hour as ended from orders) p
+  on e.user_id % 20 = p.user_id and e.ts between p.started and p.ended group by all""")
+def _(t):
+    """Events inside periods of an hour to weeks of twenty keys, so every key has many of both."""
+    started = (F.col("o_orderdate") + F.expr("interval 28 years")).alias("started")
+    periods = t.orders.select("o_orderkey", (F.col("o_custkey") % 20).alias("k"), started).withColumn("ended", F.expr("started + make_dt_interval(0, cast(o_orderkey % 900 as int))"))
+    points = t.events.select("user_id", "event_type", (F.col("user_id") % 20).alias("k"), "ts")
+    met = J.range_join(points, periods, ["k"], "ts", "started", "ended", "hour")
+    return met.groupBy("user_id", "event_type").agg(n_rows("n"), F.sum("o_orderkey").alias("orders"))
+
+
 @query("j8_dimension_join", """
 select c_custkey, c_name, cast(coalesce(m.orders_count, 0) as bigint) as orders_count from customer
 join (select o_custkey, count(*) as orders_count from orders group by 1) m on c_custkey = o_custkey""")

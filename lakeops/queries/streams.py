@@ -39,9 +39,9 @@ def _(t):
 def _(t):
     op = F.when(F.col("event_type") == "error", "D").when(F.col("event_type") == "signup", "I").otherwise("U")
     log = t.stream("events").select("user_id", "event_id", "event_type", "value", "props", op.alias("op"), "ts")
-    state = t.scratch("r2")
-    R.fold_change_log(log, state, t.scratch("r2-ledger"), **LOG)
-    return R.current_state(t.spark, state, log.schema, **LOG)
+    state = R.FoldedLog(t.scratch("r2"), log.schema, **LOG)
+    R.fold_change_log(log, state, t.scratch("r2-ledger"))
+    return R.current_state(t.spark, state)
 
 
 def _mark(t):

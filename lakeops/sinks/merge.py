@@ -12,20 +12,23 @@ from pyspark.sql import functions as F
 
 
 def unique_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The source of a merge; a key that it has twice fails the job, as it would a MERGE. NULL keys match nothing and may repeat."""
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
-    null = F.lit(False)
+    """The source of a merge; a key that it has twice fails the job, as it would a MERGE. NULL keys match nothing and may repeat.
+
+    Keys are counted apart from the rows, which combines before the shuffle; the rows themselves are not moved.
+    """
+    whole = F.lit(True)
     for k in keys:
-        null = null | F.col(k).isNull()
-    once = F.when(null | (F.col("_nth") == 1), True).otherwise(F.raise_error(F.lit(f"a key of {', '.join(keys)} is twice in the source of a merge")).cast("boolean"))
-    return source.withColumn("_nth", nth).filter(once).drop("_nth")
+        whole = whole & F.col(k).isNotNull()
+    twice = source.filter(whole).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    error = F.raise_error(F.lit(f"a key of {', '.join(keys)} is twice in the source of a merge"))
+    none = twice.filter(error.cast("boolean")).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in source.schema.fields])
+    return source.unionByName(none)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Matched keys take the source row, other source rows are added; a key that the source has twice is an error."""
-    source = unique_source(source, keys)
     kept = target.join(source.select(*keys), list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(source)
+    return kept.select(*target.columns).unionByName(unique_source(source, keys))
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -35,7 +38,8 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
 
 def update_payload(target: DataFrame, source: DataFrame, keys: Sequence[str], payload: str, empty: str = "{}") -> DataFrame:
-    """Update one column of matched rows, unless the inbound value is empty; add unmatched rows whole."""
+    """Update one column of matched rows, unless the inbound value is empty; add unmatched rows whole. A key that the source has twice is an error."""
+    source = unique_source(source, keys)
     rest = [c for c in target.columns if c not in keys]
     t = target.select(*keys, F.struct(*rest).alias("_t"))
     s = source.select(*keys, F.struct(*rest).alias("_s"))

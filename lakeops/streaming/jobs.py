@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeops.operators.cdc import cdc_latest, visible
+from lakeops.operators.cdc import cdc_latest, cdc_merge, visible
+from lakeops.sinks.buckets import KeyBuckets, folders, remove
 from lakeops.sources.files import list_files
 
 # Upper bounds in hours and labels of landing-lag buckets.
@@ -50,37 +52,64 @@ def refresh_metrics(spark: SparkSession, metrics: str) -> DataFrame:
     return spark.read.schema(schema).parquet(metrics) if list_files(spark, metrics, 1) else spark.createDataFrame([], schema)
 
 
-def fold_change_log(
-    log: DataFrame, state: str, checkpoint: str, keys: Sequence[str], ts: str, op: str, tie: Sequence[str] = ()
-) -> None:
+@dataclass(frozen=True)
+class FoldedLog:
+    """Where a change-log stream keeps its state, and how it is folded: folds of batches in ``pending``, newest rows in key buckets."""
+
+    root: str
+    schema: StructType
+    keys: Sequence[str]
+    ts: str
+    op: str
+    tie: Sequence[str] = ()
+    buckets: int = 64
+    compact_every: int = 8
+
+    def table(self, spark: SparkSession) -> KeyBuckets:
+        return KeyBuckets(spark, f"{self.root}/buckets", self.schema, self.keys, self.buckets)
+
+    def pending(self, spark: SparkSession) -> dict[int, str]:
+        return folders(spark, f"{self.root}/pending", "batch=")
+
+
+def fold_change_log(log: DataFrame, state: FoldedLog, checkpoint: str) -> None:
     """Change-log stream to a folded state.
 
     Each micro-batch is folded to its newest row per key and written, deletes included, to the folder
-    of its own batch number: the work is that of the batch, a replayed batch overwrites itself, and
-    ``current_state`` folds the folders, so a late older row cannot undo a delete.
+    of its own batch number: the work is that of the batch, and a replayed batch overwrites itself. Every ``compact_every`` batches the
+    waiting folders are merged into the key buckets they touch, so readers meet few of them. Folding a row twice changes nothing, so a
+    broken-off merge does no harm.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        cdc_latest(batch, keys, ts, op, tie).write.mode("overwrite").parquet(f"{state}/batch={number}")
+        cdc_latest(batch, state.keys, state.ts, state.op, state.tie).write.mode("overwrite").parquet(f"{state.root}/pending/batch={number}")
+        if (number + 1) % state.compact_every == 0:
+            compact_state(batch.sparkSession, state, number)
 
     run_available(log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
 
 
-def folded_state(spark: SparkSession, state: str, schema: StructType, keys: Sequence[str], ts: str, op: str, tie: Sequence[str] = ()) -> DataFrame:
-    """Newest row per key over all batches, tombstones included."""
-    if not list_files(spark, state, 1):
-        return spark.createDataFrame([], schema)
-    batches = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(state)
-    return cdc_latest(batches, keys, ts, op, tie)
+def compact_state(spark: SparkSession, state: FoldedLog, version: int) -> None:
+    """Merge the waiting batches into the key buckets that they touch, and remove them. A version that is committed already is only tidied."""
+    waiting = state.pending(spark)
+    table = state.table(spark)
+    if waiting and version not in table.committed():
+        cdc_merge(table, spark.read.schema(state.schema).parquet(*waiting.values()), version, state.ts, state.op, state.tie)
+    for path in waiting.values():
+        remove(spark, path)
 
 
-def current_state(spark: SparkSession, state: str, schema: StructType, keys: Sequence[str], ts: str, op: str, tie: Sequence[str] = ()) -> DataFrame:
-    return visible(folded_state(spark, state, schema, keys, ts, op, tie), ts, op)
+def folded_state(spark: SparkSession, state: FoldedLog) -> DataFrame:
+    """Newest row per key over the buckets and the waiting batches, tombstones included."""
+    waiting = state.pending(spark)
+    rows = state.table(spark).read()
+    if not waiting:
+        return rows
+    return cdc_latest(rows.unionByName(spark.read.schema(state.schema).parquet(*waiting.values())), state.keys, state.ts, state.op, state.tie)
 
 
-def compact_state(spark: SparkSession, state: str, target: str, schema: StructType, keys: Sequence[str], ts: str, op: str, tie: Sequence[str] = ()) -> None:
-    """Write the folded batches as batch -1 of a new state folder, to which later batches are added."""
-    folded_state(spark, state, schema, keys, ts, op, tie).write.mode("overwrite").parquet(f"{target}/batch=-1")
+def current_state(spark: SparkSession, state: FoldedLog) -> DataFrame:
+    return visible(folded_state(spark, state), state.ts, state.op)
 
 
 def stream_sessions(views: DataFrame, visitor: str, ts: str, gap: str = "30 minutes", lateness: str = "48 hours", measures: Sequence[Column] = ()) -> DataFrame:

@@ -1,4 +1,6 @@
+import math
 import random
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -154,6 +156,32 @@ def test_range_join_equals_brute_force(spark):
     assert sorted(rows(got, "p", "q")) == expected
 
 
+def test_dyadic_bins_cover_exactly(spark):
+    rng = random.Random(4)
+    ranges = [(a, a + rng.choice([0, 1, 2, 3, 7, 8, 100, 1000])) for a in [*range(-9, 9), *(rng.randrange(-10_000, 10_000) for _ in range(80))]]
+    df = spark.createDataFrame(ranges, "a long, b long").select("a", "b", J.dyadic_bins(F.col("a"), F.col("b")).alias("bins"))
+    for r in df.collect():
+        covered = sorted(x for b in r["bins"] for x in range(b["bin"] << b["level"], (b["bin"] + 1) << b["level"]))
+        assert covered == list(range(r["a"], r["b"] + 1))
+        assert len(r["bins"]) <= 2 * math.log2(r["b"] - r["a"] + 2)
+
+
+@pytest.mark.parametrize("unit, hot_rows", [("second", 1_000_000), ("hour", 20), ("week", 5)])
+def test_range_join_of_times(spark, unit, hot_rows):
+    """Times to the microsecond, also before 1970; long and short periods; bounds that meet; hot keys salted."""
+    rng = random.Random(2)
+    moment = lambda: datetime(1969, 6, 1) + timedelta(microseconds=rng.randrange(400 * 86_400) * 1_000_000 + rng.randrange(3))
+    points = [(rng.choice(["hot", "hot", "a", None]), i, moment()) for i in range(300)] + [("a", 999, None)]
+    starts = [*(p[2] for p in points[:30]), *(moment() for _ in range(40))]
+    periods = [(rng.choice(["hot", "a", None]), i, s, s + timedelta(seconds=rng.choice([0, 1, 3_600, 86_400, 20_000_000]))) for i, s in enumerate(starts)] + [("a", 999, None, None)]
+    got = J.range_join(
+        spark.createDataFrame(points, "k string, p int, at timestamp_ntz"), spark.createDataFrame(periods, "k string, q int, s timestamp_ntz, e timestamp_ntz"),
+        ["k"], "at", "s", "e", unit, hot_rows=hot_rows, salts=4,
+    )
+    expected = sorted((p, q) for k, p, at in points for k2, q, s, e in periods if k and at and s and k == k2 and s <= at <= e)
+    assert sorted(rows(got, "p", "q")) == expected and len(expected) > 100
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, how):
     left = spark.range(400).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50)).alias("k"), F.col("id").alias("i"))
@@ -201,6 +229,34 @@ def test_many_patterns(spark):
     assert rows(J.matches_any_pattern(texts, "t", patterns, "p", "hit")) == [("1499xq", True), ("1500x", False), ("a77xb", True), (None, None)]
 
 
+def test_pattern_index_equals_like(spark):
+    """All kinds of patterns: anchored at one side, with literals of one to many characters, escapes, wildcards only, empty, none that matches."""
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("ab%_\\é𝔘c") for _ in range(n))
+    texts = ["", "a", "%", "_", "a_b", "line\nbreak", *(word(rng.randrange(1, 9)) for _ in range(150))]
+    quote = lambda w: re.sub(r"([%_\\])", r"\\\1", w)
+    patterns = [["%zz%"], [""], ["______"], ["________%_"], ["%a\nb%"], ["%e\nb%"], ["é%"], [r"%\_b"], ["_", "%b_b_"]]
+    patterns += [["".join(rng.choice(["%", "_", "", ""]) + quote(word(rng.randrange(0, 4))) for _ in range(rng.randrange(1, 4))) + rng.choice(["%", ""])] for _ in range(120)]
+
+    def like(text: str, pattern: str) -> bool:
+        tokens = re.findall(r"(?s)\\.|.", pattern)
+        return re.fullmatch("(?s)" + "".join(".*" if t == "%" else "." if t == "_" else re.escape(t[-1]) for t in tokens), text) is not None
+
+    all_texts = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    for some in patterns:
+        listed = spark.createDataFrame([(p,) for p in some], "p string")
+        got = J.matching_texts(all_texts, "t", listed, "p") if some in patterns[:12] else None
+        if got is not None:
+            assert {r[0] for r in got.collect()} == {t for t in texts if any(like(t, p) for p in some)}, some
+    every = spark.createDataFrame([(p,) for some in patterns[9:] for p in some if "%" in p[1:] or "_" in p], "p string")
+    listed = [r[0] for r in every.collect()]
+    wanted = {t for t in texts if any(like(t, p) for p in listed)}
+    got = J.matching_texts(all_texts, "t", every, "p")
+    assert {r[0] for r in got.collect()} == wanted
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_unit_members(spark):
     held = spark.createDataFrame([(1, "7;9"), (1, "7"), (2, None), (3, "8;;x")], "k int, ids string")
     units = spark.range(600).select("id", F.concat(F.lit("u"), "id").alias("name"))
