@@ -26,7 +26,7 @@ from lakeops.session import materialize
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
-#: Buckets up to this size give all their pairs, larger ones are linked through leaders first.
+#: Buckets up to this size give pairs of texts, larger ones blocks of them.
 SMALL = 8
 #: Texts and bytes of shingles of a block of a larger bucket.
 BLOCK_TEXTS, BLOCK_BYTES = 1_000, 32_000_000
@@ -220,10 +220,11 @@ def common_elements(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np
     return common.astype(np.float64), sizes[: len(left)], sizes[len(left) :]
 
 
-def _pairs(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-    """Each unordered pair of different keys that meet in a bucket, once."""
-    both = left.select(on, F.col("key").alias("_l")).join(right.select(on, F.col("key").alias("_r")), on).filter(F.col("_l") != F.col("_r"))
-    return both.select(F.least("_l", "_r").alias("a"), F.greatest("_l", "_r").alias("b")).distinct()
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Each unordered pair of keys of other groups that meet in a bucket, once."""
+    left, right = (rows.select("bucket", F.col("key").alias(k), F.col("group").alias(g)) for k, g in (("a", "_g"), ("b", "_h")))
+    both = left.join(right, "bucket").filter((F.col("a") < F.col("b")) & (F.col("_g") != F.col("_h")))
+    return both.select("a", "b").distinct()
 
 
 def near_duplicates(documents: DataFrame, **parameters) -> DataFrame:
@@ -250,9 +251,9 @@ def duplicate_classes(
 
     Equal word sequences collapse before anything is compared. Two different texts become candidates when a
     band of their signatures agrees: with 25 bands of 5, a pair at 0.8 is missed with probability 5e-5, at 0.85 with
-    1e-6. In a bucket of at most ``small`` texts all pairs are compared. In a larger one every text meets the bucket's
-    leader, drawn by a hash; then texts outside the bucket's largest group meet every text of another group, in blocks.
-    No partner is capped.
+    1e-6. Every text of a bucket meets its leader first, drawn by a hash that is the same in all buckets. Only buckets that then hold
+    several groups go on: in those of at most ``small`` texts all pairs between groups are compared, in larger ones texts outside the
+    largest group meet every text of another group, in blocks. No partner is capped.
     """
     texts = documents.filter(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     made = map_texts(
@@ -261,23 +262,26 @@ def duplicate_classes(
     made = materialize(made, "bag_signatures")
     nodes = materialize(made.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "bag_nodes")
     spread = nodes.select("key", F.explode("bands").alias("bucket"))
-    turn = F.struct(F.xxhash64("key", "bucket").alias("h"), F.col("key").alias("key"))
+    # The leader has the smallest hash of its own, so the buckets of a cluster share it and their pairs with it are the same.
+    turn = F.struct(F.xxhash64("key").alias("h"), F.col("key").alias("key"))
     shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(turn).alias("_lead")).filter("n > 1")
     members = materialize(spread.join(shared, "bucket").select("bucket", "key", "n", F.col("_lead.key").alias("lead")), "bag_buckets")
-    few = members.filter(F.col("n") <= small)
-    large = members.filter(F.col("n") > small)
-    star = large.filter(F.col("key") != F.col("lead")).select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b"))
-    pairs = materialize(_pairs(few, few, "bucket").union(star).distinct(), "bag_pairs")
-    links = materialize(verified(pairs, nodes, documents, threshold, size), "bag_links")
+    star = members.filter(F.col("key") != F.col("lead")).select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b"))
+    links = materialize(verified(materialize(star.distinct(), "bag_pairs"), nodes, documents, threshold, size).select("a", "b"), "bag_links")
     groups = connected(links)
 
-    # Large buckets whose texts are not all linked yet.
-    grouped = large.select("bucket", "key").join(groups, "key", "left").withColumn("group", F.coalesce("group", "key"))
+    # What is left are buckets whose texts are not in one group yet, and in these the pairs between groups.
+    grouped = members.select("bucket", "key", "n").join(groups, "key", "left").withColumn("group", F.coalesce("group", "key"))
     sizes = grouped.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "group")).alias("_most"), F.count(F.lit(1)).alias("groups")).filter("groups > 1")
     mixed = materialize(grouped.join(main.select("bucket", F.col("_most.group").alias("_main")), "bucket").withColumn("apart", F.col("group") != F.col("_main")).drop("_main"), "bag_mixed")
+    few, large = mixed.filter(F.col("n") <= small), mixed.filter(F.col("n") > small).drop("n")
+    if not few.isEmpty():
+        pairs = materialize(_pairs(few).join(star, ["a", "b"], "left_anti"), "bag_pairs")
+        links = links.union(materialize(verified(pairs, nodes, documents, threshold, size).select("a", "b"), "bag_links"))
+    if not large.isEmpty():
+        links = links.union(materialize(links_in_blocks(large, nodes, documents, threshold, size), "bag_links"))
     if not mixed.isEmpty():
-        links = links.select("a", "b").union(materialize(links_in_blocks(mixed, nodes, documents, threshold, size), "bag_links"))
         groups = connected(links)
     return made.select("doc_id", "text_hash", "key").join(groups, "key", "left").select("doc_id", "text_hash", "key", F.coalesce("group", "key").alias("group"))
 
