@@ -54,15 +54,18 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         docs.select("_metadata.row_index")
     except AnalysisException:  # not read from files
         docs = materialize(docs, "shard_docs")
+    path = F.col("_metadata.file_path")
+    # The number of a part file counts, not its text: from 100,000 files on numbers have six digits.
+    part = F.coalesce(F.regexp_extract(path, r"/part-([0-9]{1,9})[^/]*$", 1).try_cast("int"), F.lit(-1))
     rows = docs.select(
-        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"), F.lit(0).alias("_all"),
+        path.alias("_file"), part.alias("_part"), F.col("_metadata.row_index").alias("_row"), F.lit(0).alias("_all"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
     )
-    rows = materialize(numbered(materialize(rows, "shard_rows"), ["_all"], "_file", ["_row"], {"_at": "size"}), "shard_line")
+    rows = materialize(numbered(materialize(rows, "shard_rows"), ["_all"], "_part", ["_file", "_row"], {"_at": "size"}), "shard_line")
     total = rows.agg(F.sum("size")).first()[0] or 1
-    rows = rows.select("_file", "_row", "size", F.col("_rank").alias("mix_position"), F.floor(F.col("_at") / F.lit(total) * OLD_SHARDS).cast("int").alias("old_shard"))
+    rows = rows.select("_file", "_part", "_row", "size", F.col("_rank").alias("mix_position"), F.floor(F.col("_at") / F.lit(total) * OLD_SHARDS).cast("int").alias("old_shard"))
     rows = rows.withColumn("old_shard", F.least("old_shard", F.lit(OLD_SHARDS - 1)))
-    placed = reshard(rows, 16, old="old_shard", size="size", slice_by="_file", order=["_row"], in_runs=True)
+    placed = reshard(rows, 16, old="old_shard", size="size", slice_by="_part", order=["_file", "_row"], in_runs=True).drop("_part")
     whole = packed(docs, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row_index"))
     added = ["size", "mix_position", "old_shard", "moved", "shard", "slot"]
     met = whole.join(placed.withColumnRenamed("_row", "_row_index"), ["_file", "_row_index"])
