@@ -33,7 +33,7 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_TO_WORDS).split()
 
 
-def windows(items: Iterator[tuple[str, bytes]], size: int) -> Iterator[tuple[str, tuple[bytes, ...]]]:
+def windows(items: Iterator[tuple[str | None, bytes]], size: int) -> Iterator[tuple[str | None, tuple[bytes, ...]]]:
     """(item, window) for every run of ``size`` words; an item of fewer words, but not none, is one window."""
     for item, text in items:
         w = words(text)
@@ -66,7 +66,7 @@ def prefix_index(block: list[tuple[str, tuple[bytes, ...]]], frequency: dict[byt
         first, second = order[0], order[min(1, len(order) - 1)]
         entry = (first, len(window), second, window[second], window)
         index.setdefault(window[first], {}).setdefault(entry, []).append(item)
-    return {w: [(*e, tuple(dict.fromkeys(i))) for e, i in held.items()] for w, held in index.items()}
+    return {w: [(*e, tuple(dict.fromkeys(x for x in i if x is not None))) for e, i in held.items()] for w, held in index.items()}
 
 
 def find_windows(text: list[bytes], index: dict) -> Iterator[tuple[int, int, tuple[str, ...]]]:
@@ -87,7 +87,7 @@ class Finder:
     """
 
     def __init__(self, documents: DataFrame, benchmark: DataFrame, window: int, block: int) -> None:
-        items = own_columns(benchmark, "item_id", "text").filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
+        items = own_columns(benchmark, "item_id", "text").filter(F.col("text").isNotNull()).select(
             F.col("item_id").cast("string").alias("item_id"), F.encode("text", "UTF-8").alias("text")
         )
         pairs = windows(((r["item_id"], bytes(r["text"])) for r in items.toLocalIterator()), window)
@@ -129,8 +129,8 @@ def benchmark_overlap(documents: DataFrame, benchmark: DataFrame, *, window: int
 
     A word is hit when it lies in an occurrence of a window of some item; ``items`` are the ids, as text and sorted, of the items with
     such windows. A document is contaminated when one in ``one_in`` of its words or more are hit, and not none.
-    A NULL or empty text has no words. Items without words have no window, rows without an item_id are no items; rows that repeat an
-    item_id are one item with the windows of all its texts. Repeated documents are judged each.
+    A NULL or empty text has no words. Items without words have no window; windows of an item without an id count for the words hit, but it is
+    not among the items. Rows that repeat an item_id are one item with the windows of all its texts. Repeated documents are judged each.
 
     The documents are read once for the word frequencies and once for the search, and never shuffled.
     """

@@ -81,7 +81,7 @@ with dw as (
   from (select doc_id, row_number() over () rid, coalesce(text, '') "text" from documents)),
 bw as (
   select cast(item_id as varchar) item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') w
-  from benchmark where item_id is not null and text is not null),
+  from benchmark where text is not null),
 win as (
   select distinct item, least(13, len(w)) k, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') g
   from (select item, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) i from bw where len(w) > 0)),
@@ -91,7 +91,7 @@ occ as (
         from (select rid, w, k, unnest(range(1, len(w) - k + 2)) i from dw, (select distinct k from win) where len(w) >= k)) d
   join win on win.k = d.k and win.g = d.g),
 hit as (select rid, count(distinct p) n from (select rid, unnest(range(i, i + k)) p from (select distinct rid, i, k from occ)) group by rid),
-its as (select rid, count(*) n, string_agg(item, ',' order by item) s from (select distinct rid, item from occ) group by rid)
+its as (select rid, count(item) n, string_agg(item, ',' order by item) s from (select distinct rid, item from occ) group by rid)
 select doc_id, cast(len(w) as bigint) n_words, coalesce(hit.n, 0) n_hit, coalesce(its.n, 0) n_items, sha256(coalesce(its.s, '')) items_sha256,
   coalesce(hit.n, 0) > 0 and 20 * coalesce(hit.n, 0) >= len(w) contaminated
 from dw left join hit using (rid) left join its using (rid)

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.llm.common import numbered
 from lakeops.session import materialize
+from lakeops.sinks.buckets import commit, folders, is_committed, remove
 
 
 def equal_capacities(total: int, shards: int) -> list[int]:
@@ -150,11 +151,31 @@ def affected_shards(placed: DataFrame, old: str) -> DataFrame:
     return moved.select("shard").union(moved.select(F.col(old).cast("int"))).distinct()
 
 
-def rewrite_shards(documents: DataFrame, path: str, affected: DataFrame) -> None:
-    """Write the affected shards of ``documents``, which have ``shard`` and ``slot``, to ``path``; the folders of other shards stay as they are.
+def rewrite_shards(documents: DataFrame, path: str, affected: DataFrame, version: int) -> None:
+    """Write the affected shards of ``documents``, which have ``shard`` and ``slot``, as a new version below ``path``; files of other shards stay.
 
-    Each shard is spread over tasks by runs of slots, whose files follow each other by name.
+    A shard that has no rows any more becomes an empty folder of the version. The version counts once its commit file is there, so a run
+    that breaks off changes nothing and can be repeated; ``read_shards`` takes the newest committed version of each shard. Each shard is spread over
+    tasks by runs of slots, whose files follow each other by name.
     """
+    spark, root = documents.sparkSession, f"{path}/v={version}"
     some = documents.join(F.broadcast(affected), "shard", "left_semi")  # a row for each shard at most
     tuned = some.repartitionByRange(F.col("shard"), F.col("slot")).sortWithinPartitions("shard", "slot")
-    tuned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+    remove(spark, root)
+    tuned.write.mode("append").partitionBy("shard").parquet(root)
+    for empty in {r[0] for r in affected.collect()} - set(folders(spark, root, "shard=")):
+        spark.createDataFrame([], documents.drop("shard").schema).write.parquet(f"{root}/shard={empty}")
+    commit(spark, root)
+
+
+def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The documents of all shards, each from its newest committed version; ``schema`` has ``shard`` as well."""
+    newest: dict[int, str] = {}
+    for _, root in sorted(folders(spark, path, "v=").items()):
+        if is_committed(spark, root):
+            newest |= folders(spark, root, "shard=")
+    inner = T.StructType([f for f in schema.fields if f.name != "shard"])
+    out = spark.createDataFrame([], schema)
+    for shard, folder in sorted(newest.items()):
+        out = out.unionByName(spark.read.schema(inner).parquet(folder).withColumn("shard", F.lit(shard)))
+    return out

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.common import hash_slice
 from lakeops.llm.queries import QUERIES
-from lakeops.llm.resharding import affected_shards, equal_capacities, minimum_cost_flow, reshard, rewrite_shards
+from lakeops.llm.resharding import affected_shards, equal_capacities, minimum_cost_flow, read_shards, reshard, rewrite_shards
 
 ROOT = "/root/testdata/sf0.001"
 
@@ -68,5 +68,31 @@ def test_rows_that_tie_empty_tables_and_files(spark, tmp_path, n):
     assert max(counts) - min(counts) <= 1
     if n:
         path = str(tmp_path / "shards")
-        rewrite_shards(placed, path, affected_shards(placed, "old"))
-        assert spark.read.parquet(path).count() == n
+        rewrite_shards(placed, path, affected_shards(placed, "old"), 0)
+        assert read_shards(spark, path, placed.schema).count() == n
+
+
+@pytest.mark.parametrize("first, second", [(16, 12), (12, 16), (5, 1)])
+def test_files_after_growing_and_shrinking(spark, tmp_path, first, second):
+    """The files hold every document once, in its shard, after two rewrites of one folder; shards that lose all rows are empty, those of neither side keep their files."""
+    path = str(tmp_path / "shards")
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), (F.col("id") % 7 + 1).alias("size"), F.lit(0).alias("old"), hash_slice(F.xxhash64("id")).alias("_slice"))
+    for version, shards in enumerate([first, second]):
+        placed = reshard(rows, shards, old="old", size="size", slice_by="_slice", order=["doc_id"])
+        placed = placed.cache()
+        everywhere = spark.createDataFrame([(j,) for j in range(shards)], "shard int")
+        rewrite_shards(placed, path, everywhere if version == 0 else affected_shards(placed, "old"), version)
+        stored = read_shards(spark, path, placed.schema)
+        assert {(r["doc_id"], r["shard"], r["slot"]) for r in stored.collect()} == {(r["doc_id"], r["shard"], r["slot"]) for r in placed.collect()}
+        assert stored.count() == 400
+        rows = placed.select("doc_id", "size", F.col("shard").alias("old"), "_slice")
+    assert {r[0] for r in stored.select("shard").distinct().collect()} == set(range(second))
+
+
+def test_a_rewrite_without_commit_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    placed = spark.createDataFrame([(1, 0, 0), (2, 1, 0)], "doc_id long, shard int, slot long")
+    rewrite_shards(placed, path, placed.select("shard"), 0)
+    rewrite_shards(placed.withColumn("shard", F.lit(0)), path, placed.select("shard"), 1)
+    (tmp_path / "shards/v=1/_COMMITTED").unlink()
+    assert {(r["doc_id"], r["shard"]) for r in read_shards(spark, path, placed.schema).collect()} == {(1, 0), (2, 1)}
