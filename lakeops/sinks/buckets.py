@@ -35,6 +35,17 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def commit(spark: SparkSession, path: str) -> None:
+    """Create the commit file of a version's folder."""
+    fs, mark = _fs(spark, f"{path}/{COMMITTED}")
+    fs.create(mark, True).close()
+
+
+def is_committed(spark: SparkSession, path: str) -> bool:
+    fs, mark = _fs(spark, f"{path}/{COMMITTED}")
+    return fs.exists(mark)
+
+
 @dataclass(frozen=True)
 class KeyBuckets:
     """``schema`` are the rows' columns; ``keys`` some of them, NULL is a key like any other. Lists of buckets have ``buckets`` numbers at most."""
@@ -55,11 +66,7 @@ class KeyBuckets:
     def committed(self, before: int | None = None) -> dict[int, str]:
         """{version: folder} of the committed versions, older than ``before`` if given."""
         found = folders(self.spark, self.root, "v=")
-        return {v: p for v, p in found.items() if (before is None or v < before) and self._is_committed(p)}
-
-    def _is_committed(self, path: str) -> bool:
-        fs, mark = _fs(self.spark, f"{path}/{COMMITTED}")
-        return fs.exists(mark)
+        return {v: p for v, p in found.items() if (before is None or v < before) and is_committed(self.spark, p)}
 
     def current(self, before: int | None = None) -> dict[int, str]:
         """{bucket: folder} of each bucket's newest version."""
@@ -83,8 +90,7 @@ class KeyBuckets:
         clustered(rows.withColumn(BUCKET, self.bucket()), [BUCKET]).write.mode("append").partitionBy(BUCKET).parquet(path)
         for empty in set(touched) - set(folders(self.spark, path, f"{BUCKET}=")):
             self.spark.createDataFrame([], self.schema).write.parquet(f"{path}/{BUCKET}={empty}")
-        fs, mark = _fs(self.spark, f"{path}/{COMMITTED}")
-        fs.create(mark, True).close()
+        commit(self.spark, path)
         for folder in earlier.values():
             held = folders(self.spark, folder, f"{BUCKET}=")
             old = [p for b, p in held.items() if kept[b] != p]
