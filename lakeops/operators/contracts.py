@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.operators.joins import range_join
@@ -12,10 +12,6 @@ from lakeops.session import materialize
 QUANTITIES = {"credits": "%Credits%", "minutes": "%Minutes%"}
 
 
-def _won(opportunities: DataFrame) -> DataFrame:
-    return opportunities.filter(F.col("is_closed") & F.col("is_won"))
-
-
 def _quantities(prefix: str) -> list[Column]:
     return [
         F.coalesce(F.sum(F.when(F.col("product_name").like(p), F.col("quantity"))), F.lit(0)).alias(prefix + n)
@@ -23,37 +19,51 @@ def _quantities(prefix: str) -> list[Column]:
     ]
 
 
-def _quoted_lines(opportunities: DataFrame, quotes: DataFrame, lines: DataFrame) -> DataFrame:
+def sold_by_term(opportunities: DataFrame, quotes: DataFrame, lines: DataFrame) -> DataFrame:
+    """Credits and minutes of won opportunities of all kinds per term, from the lines of their syncing quotes.
+
+    One row per opportunity and term: the lines are read and aggregated once for what was quoted and what was upsold.
+    """
+    won = opportunities.filter(F.col("is_closed") & F.col("is_won")).select("opportunity_id", "account_id", "opportunity_type", "close_date")
     syncing = quotes.filter("is_syncing").select("quote_id", "opportunity_id")
-    return opportunities.join(syncing, "opportunity_id").join(lines, "quote_id")
+    rows = won.join(syncing, "opportunity_id").join(lines, "quote_id")
+    return rows.groupBy("opportunity_id", "account_id", "opportunity_type", "close_date", "term").agg(*_quantities(""))
+
+
+def quoted_terms(sold: DataFrame, since_year: int = 2024) -> DataFrame:
+    """What ``sold_by_term`` has of new business and renewals."""
+    kept = sold.filter(F.col("opportunity_type").isin("New Business", "Renewal") & (F.year("close_date") >= since_year))
+    return kept.select("opportunity_id", "term", *[F.col(n).alias(f"quoted_contracted_{n}") for n in QUANTITIES])
+
+
+def upsold(sold: DataFrame) -> DataFrame:
+    """What ``sold_by_term`` has of upsells, per opportunity."""
+    kept = sold.filter(F.col("opportunity_type") == "Upsell")
+    return kept.groupBy("opportunity_id", "account_id", "close_date").agg(*[F.sum(n).alias(f"upsell_{n}") for n in QUANTITIES])
 
 
 def quoted_by_term(opportunities: DataFrame, quotes: DataFrame, lines: DataFrame, since_year: int = 2024) -> DataFrame:
     """Quoted credits and minutes per opportunity and term, for won new business and renewals."""
-    deals = _won(opportunities).filter(
-        F.col("opportunity_type").isin("New Business", "Renewal") & (F.year("close_date") >= since_year)
-    )
-    rows = _quoted_lines(deals.select("opportunity_id"), quotes, lines)
-    return rows.groupBy("opportunity_id", "term").agg(*_quantities("quoted_contracted_"))
+    return quoted_terms(sold_by_term(opportunities, quotes, lines), since_year)
 
 
 def align_terms(contracts: DataFrame, quoted: DataFrame) -> DataFrame:
-    """The nth contract of an opportunity by start date gets its nth quoted term."""
+    """The nth contract of an opportunity by start date gets its nth quoted term.
+
+    Quoted terms are distinct small numbers, a few dozen for an opportunity at most, so a plain window numbers them.
+    """
     numbered = ordered_scan(
         contracts, ["opportunity_id"], ["contract_start_date", "contract_id"], F.year("contract_start_date"),
         row_number="term_order",
     )
-    terms = ordered_scan(
-        quoted, ["opportunity_id"], ["term"], F.floor(F.col("term") / 16), row_number="term_order"
-    ).drop("term")
+    nth = F.row_number().over(Window.partitionBy("opportunity_id").orderBy(F.col("term").asc_nulls_last()))
+    terms = quoted.withColumn("term_order", nth).drop("term")
     return numbered.join(terms, ["opportunity_id", "term_order"], "left")
 
 
 def upsell_by_opportunity(opportunities: DataFrame, quotes: DataFrame, lines: DataFrame) -> DataFrame:
     """Upsold credits and minutes per won upsell."""
-    deals = _won(opportunities).filter(F.col("opportunity_type") == "Upsell")
-    rows = _quoted_lines(deals.select("opportunity_id", "account_id", "close_date"), quotes, lines)
-    return rows.groupBy("opportunity_id", "account_id", "close_date").agg(*_quantities("upsell_"))
+    return upsold(sold_by_term(opportunities, quotes, lines))
 
 
 def match_upsells(upsells: DataFrame, contracts: DataFrame) -> DataFrame:
@@ -112,13 +122,14 @@ def contract_credits(
 ) -> DataFrame:
     """All of the above: contracts with quoted, upsold and cumulated credits and minutes.
 
-    Results that later steps read more than once are written in between.
+    Two narrow aggregates that later steps read more than once are written in between: what was sold by opportunity and term, and the amounts of the
+    contracts, whose cumulation goes over them twice.
     """
-    upsells = materialize(upsell_by_opportunity(opportunities, quotes, lines), "upsells")
+    sold = materialize(sold_by_term(opportunities, quotes, lines), "sold")
+    upsells = upsold(sold)
     last = last_contract_of(contracts, match_upsells(upsells, contracts))
-    quoted = materialize(quoted_by_term(opportunities, quotes, lines, since_year), "quoted")
-    amounts = materialize(contract_amounts(align_terms(contracts, quoted), upsell_by_contract(upsells, last)), "amounts")
-    return contract_sums(amounts)
+    aligned = align_terms(contracts, quoted_terms(sold, since_year))
+    return contract_sums(materialize(contract_amounts(aligned, upsell_by_contract(upsells, last)), "amounts"))
 
 
 def account_capacity(credits: DataFrame, account_id: object | None = None) -> DataFrame:

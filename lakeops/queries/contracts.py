@@ -34,10 +34,15 @@ def inputs(t):
         (F.col("opportunity_id") * 10 + F.col("l_linenumber")).alias("contract_id"), "opportunity_id", "account_id",
         start.alias("contract_start_date"), F.date_sub(F.add_months(start, 12), 1).alias("contract_end_date"),
     )
-    contracts = materialize(contracts, "contracts")
     return contracts, opportunities, quotes, lines
 
 
+def all_inputs(t):
+    """The same for queries that read the contracts several times: they are written once."""
+    contracts, *others = inputs(t)
+    return materialize(contracts, "contracts"), *others
+
+
 INPUTS_SQL = f"""
 opportunities as (select o_orderkey as opportunity_id, o_custkey as account_id, {KIND_SQL} as opportunity_type,
   o_orderstatus <> 'P' as is_won, cast(o_orderdate as date) as close_date, o_orderpriority <> '5-LOW' as is_syncing from orders),
@@ -131,7 +136,7 @@ select contract_id, opportunity_id, account_id, cast(contract_start_date as varc
   uc_before as sum_prior_terms_upsell_credits, uc_after as sum_future_terms_upsell_credits,
   um_before as sum_prior_terms_upsell_minutes, um_after as sum_future_terms_upsell_minutes from sums""")
 def k7_contract_credits(t):
-    rows = K.contract_credits(*inputs(t), SINCE)
+    rows = K.contract_credits(*all_inputs(t), SINCE)
     for c in ("contract_start_date", "contract_end_date"):
         rows = rows.withColumn(c, F.col(c).cast("string"))
     return rows
@@ -141,7 +146,7 @@ def k7_contract_credits(t):
 select account_id, contract_id, cast(contract_start_date as varchar) as contract_start_date, cast(contract_end_date as varchar) as contract_end_date,
   qc + uc as total_credits, qm + um as total_minutes from sums""")
 def _(t):
-    rows = K.account_capacity(K.contract_credits(*inputs(t), SINCE))
+    rows = K.account_capacity(K.contract_credits(*all_inputs(t), SINCE))
     return rows.select("account_id", "contract_id", text("contract_start_date"), text("contract_end_date"), "total_credits", "total_minutes")
 
 

@@ -82,7 +82,7 @@ def _(t):
         part = t.events.filter((F.col("ts") < day("2024-01-15")) == F.lit(older))
         part.write.mode("append").parquet(root)
         S.load_new_files(t.spark, root, target, ledger, schema, pattern="*.parquet")
-    return _by_day(t.spark.read.parquet(target).withColumn("day", F.to_date("ts")))
+    return _by_day(S.read_loaded(t.spark, target, schema).withColumn("day", F.to_date("ts")))
 
 
 @query("s7_forced_reload", "select strftime(l_shipdate, '%Y') as year, count(*) as n, count(*) filter (year(l_shipdate) = 1997) as reloaded from lineitem group by 1")
@@ -143,7 +143,7 @@ def _(t):
             rows.write.mode("append").parquet(source)
         audit = S.load_new_files(t.spark, source, target, ledger, t.events.schema)
         said.append((run, audit["files_loaded"] > 0, audit["rows_loaded"], audit["total_rows"]))
-    whole = S.load_audit(t.spark.read.parquet(target)).select(F.col("rows_loaded").alias("_rows"))
+    whole = S.load_audit(S.read_loaded(t.spark, target, t.events.schema)).select(F.col("rows_loaded").alias("_rows"))
     runs = t.spark.createDataFrame(said, "run int, has_files boolean, rows_loaded long, total_rows long")
     return runs.join(F.broadcast(whole), F.lit(True)).select("run", "has_files", "rows_loaded", F.when(F.col("run") < 3, F.col("total_rows")).otherwise(F.col("_rows")).alias("total_rows"))
 

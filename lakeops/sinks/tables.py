@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 POINTER = "_CURRENT"
@@ -65,6 +65,13 @@ def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
     return f"{root}/{name}"
 
 
+def write_counted(df: DataFrame, path: str) -> int:
+    """Write a folder and return its rows, observed while they are written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return seen.get["rows"]
+
+
 def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Replace exactly the partitions that occur in the DataFrame (dynamic partition overwrite)."""
     clustered(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakeops.sinks.tables import write_counted
+
 CORRUPT = "_corrupt_record"
 
 
@@ -138,30 +140,48 @@ def stream_files(spark: SparkSession, path: str, schema: StructType, fmt: str =
     return reader.load(path)
 
 
+AUDIT_SCHEMA = "number long, rows long"
+
+
+def read_loaded(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
+    """The rows of a table of ``load_new_files``."""
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{target}/rows") if list_files(spark, f"{target}/rows", 1) else spark.createDataFrame([], schema)
+
+
 def load_new_files(
     spark: SparkSession, source: str, target: str, checkpoint: str, schema: StructType, fmt: str = "parquet",
     pattern: str | None = None,
 ) -> dict[str, int]:
     """Append files not loaded before to a parquet table, each exactly once across runs.
 
-    The ledger of loaded files is the checkpoint; the sink's own log makes a retried batch idempotent.
-    Returns the files and rows of this run and the rows of the table, counted before and after it.
+    The stream's checkpoint is the ledger of files, and each of its batches owns a folder of the table and one of its audit, so a retried
+    batch replaces both. Rows are observed while they are written: no run counts the table. Returns the files and rows of this run and the
+    rows of the table, which are the sum of the audit's rows, one for each batch.
     """
-    rows = stream_files(spark, source, schema, fmt, pattern)
-    def loaded() -> tuple[int, int]:
-        """Files in the ledger and rows of the table."""
-        listed = f"{checkpoint}/sources/0"
-        files = 0
-        if list_files(spark, listed, 1):
-            paths = spark.read.text(listed).select(F.get_json_object("value", "$.path").alias("path"))
-            files = paths.filter(F.col("path").isNotNull()).distinct().count()
-        return files, spark.read.schema(schema).parquet(target).count() if list_files(spark, target, 1) else 0
-
-    before = loaded()
-    writer = rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-    writer.trigger(availableNow=True).start().awaitTermination()
-    files, total = loaded()
-    return {"files_loaded": files - before[0], "rows_loaded": total - before[1], "total_rows": total}
+    listed = f"{checkpoint}/sources/0"
+
+    def files() -> int:
+        if not list_files(spark, listed, 1):
+            return 0
+        paths = spark.read.text(listed).select(F.get_json_object("value", "$.path").alias("path"))
+        return paths.filter(F.col("path").isNotNull()).distinct().count()
+
+    def audited() -> DataFrame:
+        return spark.read.schema(AUDIT_SCHEMA).option("recursiveFileLookup", True).parquet(f"{target}/audit") if list_files(spark, f"{target}/audit", 1) else spark.createDataFrame([], AUDIT_SCHEMA)
+
+    done: list[int] = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = write_counted(batch, f"{target}/rows/batch={number}")
+        batch.sparkSession.createDataFrame([(number, rows)], AUDIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{target}/audit/batch={number}")
+        done.append(number)
+
+    before = files()
+    stream = stream_files(spark, source, schema, fmt, pattern).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    stream.trigger(availableNow=True).start().awaitTermination()
+    own = F.coalesce(F.sum(F.when(F.col("number").isin(done), F.col("rows"))), F.lit(0)) if done else F.lit(0)
+    loaded, total = audited().agg(own, F.coalesce(F.sum("rows"), F.lit(0))).first()
+    return {"files_loaded": files() - before, "rows_loaded": loaded, "total_rows": total}
 
 
 def load_audit(df: DataFrame) -> DataFrame:

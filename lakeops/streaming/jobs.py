@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from lakeops.operators.cdc import cdc_latest, cdc_merge, visible
 from lakeops.sinks.buckets import KeyBuckets, folders, remove
+from lakeops.sinks.tables import write_counted
 from lakeops.sources.files import list_files
 
 # Upper bounds in hours and labels of landing-lag buckets.
@@ -32,16 +33,15 @@ def append_to_table(rows: DataFrame, target: str, checkpoint: str) -> None:
 def append_with_metrics(rows: DataFrame, target: str, metrics: str, checkpoint: str) -> None:
     """Stream to a table with a folder for each batch, and a row of metrics for each batch to another.
 
-    A replayed batch overwrites both, so all batches of all runs are counted once.
+    A replayed batch overwrites both, so all batches of all runs are counted once. The rows are observed while they are written.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         began = time.monotonic()
-        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
-        written = batch.sparkSession.read.schema(batch.schema).parquet(f"{target}/batch={number}").agg(F.count(F.lit(1)).alias("rows"))
-        action = F.when(F.col("rows") > 0, "INCREMENTAL").otherwise("NO_DATA")
-        took = F.lit(int((time.monotonic() - began) * 1000)).cast("long")
-        written.select("rows", action.alias("action"), took.alias("duration_ms")).write.mode("overwrite").parquet(f"{metrics}/batch={number}")
+        rows = write_counted(batch, f"{target}/batch={number}")
+        took = int((time.monotonic() - began) * 1000)
+        row = [(rows, "INCREMENTAL" if rows else "NO_DATA", took)]
+        batch.sparkSession.createDataFrame(row, "rows long, action string, duration_ms long").coalesce(1).write.mode("overwrite").parquet(f"{metrics}/batch={number}")
 
     run_available(rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
 

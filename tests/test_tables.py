@@ -100,12 +100,25 @@ def test_files_load_once(spark, tmp_path):
     assert S.load_new_files(spark, source, target, ledger, schema)["rows_loaded"] == 0
     spark.range(5, 8).write.mode("append").parquet(source)
     assert S.load_new_files(spark, source, target, ledger, schema)["rows_loaded"] == 3
-    assert rows(spark.read.parquet(target)) == [(i,) for i in range(8)]
+    assert rows(S.read_loaded(spark, target, schema)) == [(i,) for i in range(8)]
     spark.range(8, 138).repartition(130, "id").write.mode("append").parquet(source)
     again = S.load_new_files(spark, source, target, ledger, schema)
     assert again["rows_loaded"] == 130 and again["total_rows"] == 138 and 60 < again["files_loaded"] < len(S.list_files(spark, source))
 
 
+def test_a_load_does_not_read_its_table(spark, tmp_path):
+    """Once files are loaded, their folder in the table is not needed by later runs: it is replaced by one that cannot be read."""
+    source, target, ledger = (str(tmp_path / n) for n in ("in", "out", "ledger"))
+    schema = spark.range(1).schema
+    spark.range(5).write.mode("append").parquet(source)
+    S.load_new_files(spark, source, target, ledger, schema)
+    for file in (tmp_path / "out/rows/batch=0").glob("part-*"):
+        file.write_bytes(b"no parquet")
+    spark.range(5, 8).write.mode("append").parquet(source)
+    audit = S.load_new_files(spark, source, target, ledger, schema)
+    assert audit["rows_loaded"] == 3 and audit["total_rows"] == 8 and audit["files_loaded"] > 0
+
+
 def test_csv_quoting(spark, tmp_path):
     path = str(tmp_path / "csv")
     W.export_csv(spark.createDataFrame([(1, 'a,"b"', None)], "id int, t string, n string").coalesce(1), path)
