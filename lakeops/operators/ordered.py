@@ -1,7 +1,7 @@
 """Ordered computations over keys of any size.
 
-A plain window puts all rows of a key in one task. Here each key is cut into slices along the order,
-rows are numbered and summed inside their slice, one small row per slice carries the totals of the
+A plain window puts all rows of a key in one task, with one exchange of the rows. That is how keys of up to some million rows are
+computed. Larger keys are cut into slices along the order: rows are numbered and summed inside their slice, one small row per slice carries the totals of the
 slices before and after it, and the two meet in a join on (key, slice). A key with a third of all rows
 is then spread over as many tasks as it has slices.
 """
@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows of a key that one task sorts.
+HOT_ROWS = 5_000_000
+
+
 def non_null_keys(keys: Sequence[str], prefix: str = "_") -> list[Column]:
     """Pairs (text or '', is null) that equal-join NULL keys to each other.
 
@@ -48,20 +52,55 @@ def ordered_scan(
     before: Mapping[str, str] | None = None,
     after: Mapping[str, str] | None = None,
     sums: Mapping[str, str] | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Add ordered columns per key, computed slice by slice.
+    """Add ordered columns per key.
 
     ``slice_by`` must grow with ``order`` (a day or hour of a time order, the leading part of a number);
     ``order`` must be unique within a key, NULLs come last. Mappings are {new column: source column}. ``running`` is the
     sum up to and with the row, ``before`` and ``after`` the sums of the rows on one side (0 for none).
-    """
-    lag, first, running = dict(lag or {}), dict(first or {}), dict(running or {})
-    before, after, sums = dict(before or {}), dict(after or {}), dict(sums or {})
-    summed = sorted(set(running.values()) | set(before.values()) | set(after.values()) | set(sums.values()))
-    carried = list(df.columns)
 
-    rows = df.select("*", *non_null_keys(keys), slice_by.alias("_slice")).select("*", *non_null_keys(["_slice"], "_s"))
+    Keys with more than ``hot_rows`` rows are computed slice by slice, all others by a window, with the same results; None slices all.
+    Rows are counted per key first, from the key columns alone and combined before the shuffle. The list of hot keys is broadcast: it has at most
+    (rows / hot_rows) entries. Without any the sliced part falls away at run time.
+    """
+    asked = dict(
+        row_number=row_number, total=total, lag=dict(lag or {}), first=dict(first or {}), running=dict(running or {}), before=dict(before or {}),
+        after=dict(after or {}), sums=dict(sums or {}),
+    )
+    rows = df.select("*", *non_null_keys(keys))
     join_cols = [c for i in range(len(keys)) for c in (f"_k{i}", f"_n{i}")]
+    if hot_rows is None:
+        return _sliced(df.columns, rows, join_cols, order, slice_by, **asked)
+    counted = df.select(*non_null_keys(keys)).groupBy(*join_cols).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = F.broadcast(counted.filter(F.col("_rows") > hot_rows).drop("_rows"))
+    cold = _windowed(df.columns, rows.join(hot, join_cols, "left_anti"), join_cols, order, **asked)
+    return cold.union(_sliced(df.columns, rows.join(hot, join_cols, "left_semi"), join_cols, order, slice_by, **asked))
+
+
+def _windowed(carried, rows, join_cols, order, *, row_number, total, lag, first, running, before, after, sums) -> DataFrame:
+    whole = Window.partitionBy(*join_cols)
+    along = whole.orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    all_of = lambda c: F.coalesce(F.sum(c).over(whole), F.lit(0))
+    upto_of = lambda c: F.coalesce(F.sum(c).over(upto), F.lit(0))
+    out: list[Column] = [F.col(c) for c in carried]
+    if row_number:
+        out.append(F.row_number().over(along).cast("bigint").alias(row_number))
+    if total:
+        out.append(F.count(F.lit(1)).over(whole).alias(total))
+    out += [F.lag(c).over(along).alias(n) for n, c in lag.items()]
+    out += [F.first(c).over(upto).alias(n) for n, c in first.items()]
+    out += [upto_of(c).alias(n) for n, c in running.items()]
+    out += [(upto_of(c) - F.coalesce(F.col(c), F.lit(0))).alias(n) for n, c in before.items()]
+    out += [(all_of(c) - upto_of(c)).alias(n) for n, c in after.items()]
+    out += [all_of(c).alias(n) for n, c in sums.items()]
+    return rows.select(*out)
+
+
+def _sliced(carried, rows, join_cols, order, slice_by, *, row_number, total, lag, first, running, before, after, sums) -> DataFrame:
+    summed = sorted(set(running.values()) | set(before.values()) | set(after.values()) | set(sums.values()))
+    rows = rows.select("*", slice_by.alias("_slice")).select("*", *non_null_keys(["_slice"], "_s"))
     part_cols = [*join_cols, "_sk0", "_sn0"]
     stamp = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))])
 

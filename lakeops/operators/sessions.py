@@ -183,6 +183,25 @@ def sessionize(
     return rows.select(*out)
 
 
+def merge_sessions(parts: DataFrame, visitor: str, gap: int = 1800, sums: Sequence[str] = ("views",)) -> DataFrame:
+    """Whole sessions from parts of sessions: (visitor, session_start_at, session_end_at, sums).
+
+    Parts come from views that were dealt over salts, times or batches; a part is an interval whose views are at most ``gap`` seconds apart. Parts of a visitor
+    that start within one gap of each other are one session, so they are first summed per slice of a gap, which combines before the
+    shuffle. What is left has at most one row for each gap of the calendar and visitor, and only these are put in order: no number of parts
+    or views of one visitor meets in a task. NULL is a visitor like any other.
+    """
+    second = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
+    bounds = [F.min("session_start_at").alias("session_start_at"), F.max("session_end_at").alias("session_end_at")]
+    totals = [F.sum(c).alias(c) for c in sums]
+    slices = parts.groupBy(visitor, F.floor(second("session_start_at") / gap).alias("_slice")).agg(*bounds, *totals)
+    along = Window.partitionBy(visitor).orderBy("_slice")
+    before = F.max(second("session_end_at")).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(second("session_start_at") - before <= gap, 0).otherwise(1)
+    numbered = slices.withColumn("_new", fresh).withColumn("_session", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(visitor, "_session").agg(*bounds, *totals).drop("_session")
+
+
 def sessionize_page_visits(
     views: DataFrame,
     referrers: DataFrame,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeops.operators.sessions import merge_sessions
 from lakeops.queries.files import EVENTS_BY_DAY
 from lakeops.queries.history import CURRENT_SQL, LOG
 from lakeops.queries.registry import query, text
@@ -59,6 +60,20 @@ def _(t):
     return sessions.select("user_id", text("session_start_at"), text("session_end_at"), "views")
 
 
+@query("r3_unknown_visitors", """
+with v as (select case when user_id % 3 > 0 then user_id end as visitor, ts, event_id from events),
+n as (select *, case when date_diff('second', lag(ts) over (partition by visitor order by ts, event_id), ts) <= 1800 then 0 else 1 end as fresh from v),
+s as (select *, sum(fresh) over (partition by visitor order by ts, event_id rows unbounded preceding) as number from n)
+select visitor, cast(min(ts) as varchar) as session_start_at, cast(max(ts) as varchar) as session_end_at, count(*) as views from s group by visitor, number""")
+def _(t):
+    """A third of the events has no visitor: dealt to sixteen state keys, their sessions merged."""
+    viewed = lambda df: _zoned(df).withColumn("visitor", F.when(F.col("user_id") % 3 > 0, F.col("user_id")))
+    salt = F.when(F.col("visitor").isNull(), F.pmod(F.xxhash64("event_id"), F.lit(16))).otherwise(0).cast("int")
+    closed = _written(t, "r3u", R.stream_sessions(viewed(t.stream("events")), "visitor", "ts", salt=salt).writeStream)
+    parts = closed.unionByName(R.open_sessions(viewed(t.events), "visitor", "ts", _mark(t), salt=salt, closed=closed))
+    return merge_sessions(parts, "visitor").select("visitor", text("session_start_at"), text("session_end_at"), "views")
+
+
 @query("r4_stream_deduplicated", EVENTS_BY_DAY)
 def _(t):
     twice = _zoned(t.stream("events")).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))

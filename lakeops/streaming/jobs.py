@@ -112,28 +112,43 @@ def current_state(spark: SparkSession, state: FoldedLog) -> DataFrame:
     return visible(folded_state(spark, state), state.ts, state.op)
 
 
-def stream_sessions(views: DataFrame, visitor: str, ts: str, gap: str = "30 minutes", lateness: str = "48 hours", measures: Sequence[Column] = ()) -> DataFrame:
+def stream_sessions(
+    views: DataFrame, visitor: str, ts: str, gap: str = "30 minutes", lateness: str = "48 hours", measures: Sequence[Column] = (), salt: Column | None = None,
+) -> DataFrame:
     """Sessions of a stream of views: start, end, number of views.
 
-    Merging session windows needs only their bounds and sums as state, not the views.
+    Merging session windows needs only their bounds and sums as state, not the views. With a ``salt`` the views of a visitor are dealt to so many state
+    keys, and the sessions, which then have a column ``salt``, are parts for ``merge_sessions``: views without a visitor, or of a
+    very busy one, are not one key of the state.
     """
     # Gaps count whole seconds, and a row exactly one gap later still belongs to the session, both as in
     # the batch operator.
     at = views.withColumn("_at", F.date_trunc("second", ts)).withWatermark("_at", lateness)
-    windowed = at.groupBy(visitor, F.session_window("_at", gap).alias("w"))
+    salted = [] if salt is None else [salt.alias("salt")]
+    windowed = at.groupBy(visitor, *salted, F.session_window("_at", gap).alias("w"))
     counted = windowed.agg(F.min(ts).alias("session_start_at"), F.max(ts).alias("session_end_at"), F.count(F.lit(1)).alias("views"), *measures)
     return counted.drop("w")
 
 
-def open_sessions(views: DataFrame, visitor: str, ts: str, mark: Column, gap: str = "30 minutes", measures: Sequence[Column] = ()) -> DataFrame:
+def open_sessions(
+    views: DataFrame, visitor: str, ts: str, mark: Column, gap: str = "30 minutes", measures: Sequence[Column] = (), salt: Column | None = None,
+    closed: DataFrame | None = None,
+) -> DataFrame:
     """The sessions that a stream with its watermark at ``mark`` still holds, from the table of its views.
 
-    Only visitors with a view since the mark, less the gap, can have one; their views are read whole, as a session may reach back.
+    Only keys with a view since the mark, less the gap, can have one; a session may reach back. With the ``closed`` sessions of the stream only the views after
+    a key's last closed session are read.
     """
-    late = views.filter(F.date_trunc("second", ts) + F.expr(f"interval {gap}") > mark).select(F.col(visitor).alias("_visitor")).distinct()
-    theirs = views.join(late, F.col(visitor).eqNullSafe(F.col("_visitor")), "left_semi")
-    sessions = stream_sessions(theirs, visitor, ts, gap, measures=measures)
-    return sessions.filter(F.date_trunc("second", "session_end_at") + F.expr(f"interval {gap}") > mark)
+    keyed = views.withColumn("salt", F.lit(0) if salt is None else salt)
+    late = keyed.filter(F.date_trunc("second", ts) + F.expr(f"interval {gap}") > mark).select(F.col(visitor).alias("_visitor"), F.col("salt").alias("_salt")).distinct()
+    same = F.col(visitor).eqNullSafe(F.col("_visitor")) & (F.col("salt") == F.col("_salt"))
+    theirs = keyed.join(late, same, "left_semi")
+    if closed is not None:
+        ends = closed.groupBy(F.col(visitor).alias("_visitor"), (F.lit(0) if salt is None else F.col("salt")).alias("_salt")).agg(F.max("session_end_at").alias("_end"))
+        theirs = theirs.join(ends, same, "left").filter(F.col("_end").isNull() | (F.col(ts) > F.col("_end"))).drop("_visitor", "_salt", "_end")
+    sessions = stream_sessions(theirs, visitor, ts, gap, measures=measures, salt=F.col("salt"))
+    sessions = sessions.filter(F.date_trunc("second", "session_end_at") + F.expr(f"interval {gap}") > mark)
+    return sessions.drop("salt") if salt is None else sessions
 
 
 def without_duplicates(rows: DataFrame, key: Sequence[str], ts: str, lateness: str = "48 hours") -> DataFrame:

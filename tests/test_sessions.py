@@ -1,10 +1,11 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators.attribution import SiteHosts, page_attribution_category
-from lakeops.operators.sessions import sessionize
+from lakeops.operators.sessions import merge_sessions, sessionize
 from lakeops.operators.ordered import ordered_scan
 
 START = datetime(2024, 1, 1)
@@ -126,8 +127,9 @@ def test_categories(spark, expected, values):
     assert category(spark, **values) == expected
 
 
-def test_ordered_scan_equals_plain_windows(spark):
-    """One key has most rows; NULL keys form a group of their own."""
+@pytest.mark.parametrize("hot_rows", [None, 0, 60, 5_000_000])
+def test_ordered_scan_equals_plain_windows(spark, hot_rows):
+    """One key has most rows; NULL keys form a group of their own. All keys sliced, the large ones, none."""
     import random
 
     rng = random.Random(3)
@@ -135,7 +137,7 @@ def test_ordered_scan_equals_plain_windows(spark):
     df = spark.createDataFrame(rows, "k string, o int, i int, v int")
     got = ordered_scan(
         df, ["k"], ["o", "i"], F.floor(F.col("o") / 7), row_number="rn", total="n", lag={"p": "v"}, first={"f": "i"}, running={"r": "v"},
-        before={"b": "v"}, after={"a": "v"}, sums={"s": "v"},
+        before={"b": "v"}, after={"a": "v"}, sums={"s": "v"}, hot_rows=hot_rows,
     ).collect()
     groups = {}
     for k, o, i, v in sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[2])):
@@ -146,3 +148,29 @@ def test_ordered_scan_equals_plain_windows(spark):
         for n, (i, v) in enumerate(members):
             expected[i] = (n + 1, len(members), members[n - 1][1] if n else None, members[0][0], sum(values[: n + 1]), sum(values[:n]), sum(values[n + 1:]), sum(values))
     assert {r["i"]: (r["rn"], r["n"], r["p"], r["f"], r["r"], r["b"], r["a"], r["s"]) for r in got} == expected
+
+
+@pytest.mark.parametrize("salts", [1, 7])
+def test_merged_parts_are_whole_sessions(spark, salts):
+    """A third of the views has no visitor; parts over salts and late parts; gaps of exactly one gap and a second more."""
+    rng = random.Random(6)
+    start = datetime(2024, 1, 1)
+    views = [(rng.choice([None, None, "a", "b"]), start + timedelta(seconds=rng.randrange(4 * 86_400))) for _ in range(500)]
+    views += [("edge", start + timedelta(seconds=s)) for s in (0, 1_800, 3_601, 5_401, 9_000)]
+    parts: dict = {}
+    for i, (v, ts) in enumerate(sorted(views, key=lambda x: x[1])):
+        held = parts.setdefault((v, i % salts), [])
+        if held and (ts - held[-1][1]).total_seconds() <= 1_800:
+            held[-1][1:] = [ts, held[-1][2] + 1]
+        else:
+            held.append([ts, ts, 1])
+    listed = [(v, *p) for (v, _), own in parts.items() for p in own]
+    got = merge_sessions(spark.createDataFrame(listed, "v string, session_start_at timestamp, session_end_at timestamp, views long"), "v").collect()
+    whole: dict = {}
+    for v, ts in sorted(views, key=lambda x: x[1]):
+        own = whole.setdefault(v, [])
+        if own and (ts - own[-1][1]).total_seconds() <= 1_800:
+            own[-1][1:] = [ts, own[-1][2] + 1]
+        else:
+            own.append([ts, ts, 1])
+    assert sorted(map(tuple, got), key=str) == sorted(((v, *p) for v, own in whole.items() for p in own), key=str)

@@ -183,6 +183,8 @@ def test_open_sessions_complete_the_closed_ones(spark):
     mark = F.lit(at(60)).cast("timestamp")
     left = R.open_sessions(views, "v", "ts", mark)
     assert rows(left.select("v", "views")) == [("a", 3), ("c", 1), (None, 1)]
+    closed = spark.createDataFrame([("c", at(10), at(10), 1), ("b", at(0), at(0), 1)], "v string, session_start_at timestamp, session_end_at timestamp, views long")
+    assert rows(R.open_sessions(views, "v", "ts", mark, closed=closed).select("v", "views")) == [("a", 3), ("c", 1), (None, 1)]
 
 
 def test_ties_at_the_cap_are_not_lost(spark):
