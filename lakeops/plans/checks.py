@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -145,6 +146,39 @@ def stale(df: DataFrame, column: str, now: Column, max_age: str) -> DataFrame:
     return newest.filter(~F.coalesce(fresh, F.lit(False)))
 
 
+#: SQL types by the name that they have in a contract.
+CONTRACT_TYPES = {"BIGINT": "integer", "DECIMAL": "decimal", "FLOAT": "decimal", "DOUBLE": "decimal", "STRING": "text", "BOOLEAN": "boolean", "ARRAY": "array", "OBJECT": "object"}
+
+
+def found_fields(rows: DataFrame, record: str) -> DataFrame:
+    """(column_name, actual, n_rows): which fields the JSON records of a table have, of which types, in how many records.
+
+    Fields are found by name in every record, one pass that counts before it shuffles. A null field counts as missing, and so does any field of
+    a record that is no object or malformed.
+    """
+    parsed = rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.try_parse_json(F.col(record).outer()))).filter(F.col("key").isNotNull())
+    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+    named = F.create_map(*[F.lit(x) for pair in CONTRACT_TYPES.items() for x in pair])
+    typed = parsed.select(F.col("key").alias("column_name"), kind.alias("_kind")).filter(F.col("_kind") != "VOID")
+    return typed.groupBy("column_name", F.coalesce(named[F.col("_kind")], F.lower("_kind")).alias("actual")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def contract_violations(rows: DataFrame, record: str, contract: DataFrame) -> DataFrame:
+    """(column_name, expected, actual, n_rows): how many JSON records break a contract of (column_name, expected), and by what.
+
+    A record breaks it by a field of another type, by a field that the contract does not have (``expected`` is NULL), and by the lack of one it has
+    (``actual`` is NULL). Types are those of ``CONTRACT_TYPES``. The records are read twice and only counts are shuffled.
+    """
+    found = found_fields(rows, record)
+    wanted = contract.select("column_name", "expected")
+    met = found.join(wanted, "column_name", "full_outer")
+    wrong = met.filter(F.col("actual").isNotNull() & ~F.col("actual").eqNullSafe(F.col("expected"))).select("column_name", "expected", "actual", "n_rows")
+    total = rows.agg(F.count(F.lit(1)).alias("_all"))
+    held = met.filter(F.col("expected").isNotNull()).groupBy("column_name", "expected").agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("_held"))
+    lacking = held.join(F.broadcast(total), F.col("_held") < F.col("_all"))  # one row
+    return wrong.unionByName(lacking.select("column_name", "expected", F.lit(None).cast("string").alias("actual"), (F.col("_all") - F.col("_held")).alias("n_rows")))
+
+
 def schema_violations(df: DataFrame, expected: StructType) -> DataFrame:
     """Columns that are missing, additional or of another type than the contract."""
     have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -196,8 +230,78 @@ class Check:
     severity: str = "ERROR"
 
 
-def run_checks(checks: Sequence[Check]) -> DataFrame:
-    """One row per check: name, passed, severity, failing rows. All checks run as one Spark job."""
+@dataclass(frozen=True)
+class Rule:
+    """A check that a single pass over its table decides.
+
+    ``failing`` is true for a failing row; of a ``whole`` rule it is an aggregate that is true when the table fails. NULL does not fail.
+    """
+
+    name: str
+    failing: Column
+    severity: str = "ERROR"
+    whole: bool = False
+
+
+def numeric_rule(name: str, column: str, severity: str = "ERROR") -> Rule:
+    return Rule(name, F.col(column).cast("string").try_cast("decimal(38,9)").isNull(), severity)
+
+
+def accepted_rule(name: str, column: str, accepted: Sequence[str], severity: str = "ERROR") -> Rule:
+    return Rule(name, ~base_plan_type(F.col(column)).isin(list(accepted)), severity)
+
+
+def matching_rule(name: str, column: str, pattern: str, deleted: Column | None = None, severity: str = "ERROR") -> Rule:
+    """As ``not_matching``: NULL fails, deleted rows do not."""
+    failing = ~F.coalesce(F.col(column).rlike(pattern), F.lit(False))
+    return Rule(name, failing if deleted is None else failing & ~F.coalesce(deleted, F.lit(False)), severity)
+
+
+def required_rule(name: str, column: str, where: Column | None = None, severity: str = "ERROR") -> Rule:
+    failing = F.col(column).isNull()
+    return Rule(name, failing if where is None else failing & where, severity)
+
+
+def filled_rule(name: str, severity: str = "WARN") -> Rule:
+    """The table has a row."""
+    return Rule(name, F.count(F.lit(1)) == 0, severity, True)
+
+
+def fresh_rule(name: str, column: str, now: Column, max_age: str, severity: str = "ERROR") -> Rule:
+    """As ``stale``: no row at all is stale."""
+    return Rule(name, ~F.coalesce(F.max(column) >= now - F.expr(f"interval {max_age}"), F.lit(False)), severity, True)
+
+
+def share_rule(name: str, flag: Column, max_rows: int = 100, max_percent: float = 5.0, severity: str = "ERROR") -> Rule:
+    """At most so many rows, and such a share of all, have the flag."""
+    flagged = F.count_if(flag)
+    return Rule(name, (flagged > max_rows) | (flagged * 100.0 > F.count(F.lit(1)) * max_percent), severity, True)
+
+
+def run_rules(df: DataFrame, rules: Sequence[Rule], key: str | None = None, samples: int = 3) -> DataFrame:
+    """One row per rule: name, passed, severity, failing rows and, with a ``key``, up to ``samples`` keys of failing rows as text.
+
+    All rules of a table are conditional aggregates of one scan. The sample is the smallest failing key of each of so many hash classes.
+    """
+    aggs, out = [], []
+    for i, rule in enumerate(rules):
+        failing = F.coalesce(rule.failing, F.lit(False))
+        aggs.append((F.when(failing, 1).otherwise(0).cast("bigint") if rule.whole else F.count_if(failing)).alias(f"_n{i}"))
+        kept = []
+        if key is not None and not rule.whole:
+            for j in range(samples):
+                aggs.append(F.min(F.when(failing & (F.pmod(F.xxhash64(key), F.lit(samples)) == j), F.col(key))).cast("string").alias(f"_s{i}_{j}"))
+                kept.append(F.col(f"_s{i}_{j}"))
+        keys = F.array_sort(F.array_compact(F.array(*kept))) if kept else F.array().cast("array<string>")
+        out.append(F.struct(
+            F.lit(rule.name).alias("check_name"), (F.col(f"_n{i}") == 0).alias("passed"), F.lit(rule.severity).alias("severity"),
+            F.col(f"_n{i}").alias("failing_rows"), keys.alias("sample_keys"),
+        ))
+    return df.agg(*aggs).select(F.inline(F.array(*out)))
+
+
+def run_checks(checks: Sequence[Check], tables: Sequence[tuple[DataFrame, Sequence[Rule]]] = ()) -> DataFrame:
+    """One row per check: name, passed, severity, failing rows. All run as one Spark job, the rules of a table as one pass over it."""
     parts = [
         c.failing.agg(F.count(F.lit(1)).alias("failing_rows")).select(
             F.lit(c.name).alias("check_name"), (F.col("failing_rows") == 0).alias("passed"),
@@ -205,7 +309,5 @@ def run_checks(checks: Sequence[Check]) -> DataFrame:
         )
         for c in checks
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    parts += [run_rules(df, rules).drop("sample_keys") for df, rules in tables]
+    return reduce(DataFrame.unionByName, parts)

@@ -64,6 +64,19 @@ def classify(model: SemanticModel) -> dict[str, str]:
     return out
 
 
+def field_class(name: Column, is_time: Column, in_key: Column, used: Column) -> Column:
+    """The class of a field as ``classify`` gives it, for rows of a table of fields; NULL flags count as false."""
+    no = F.lit(False)
+    plain = ~(F.coalesce(is_time, no) | F.coalesce(in_key, no) | name.endswith("_id") | name.startswith("is_"))
+    return F.when(plain & F.coalesce(used, no), "fact").otherwise("dimension")
+
+
+def classify_fields(fields: DataFrame, metrics: DataFrame) -> DataFrame:
+    """``fields`` (name, is_time, in_key and what else they have) with ``field_class``; metrics name the ``field`` they compute with."""
+    used = metrics.select(F.col("field").alias("name")).distinct().withColumn("_used", F.lit(True))
+    return fields.join(used, "name", "left").withColumn("field_class", field_class(F.col("name"), F.col("is_time"), F.col("in_key"), F.col("_used"))).drop("_used")
+
+
 def metric_query(
     df: DataFrame, model: SemanticModel, metrics: Sequence[str], dims: Sequence[str] = (), where: Column | None = None
 ) -> DataFrame:

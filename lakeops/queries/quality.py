@@ -136,13 +136,25 @@ def _(t):
 
 
 @query("q17_schema_contract", """
-select c_mktsegment, count(*) as n, 'c_balance:decimal(10,2):;c_custkey:string:bigint;c_acctbal::double;c_mktsegment::string;c_name::string' as violations from customer group by 1""")
-def _(t):
-    contract = StructType.fromDDL("c_balance decimal(10,2), c_custkey string, c_nationkey int")
-    rows = Q.schema_violations(t.customer, contract).collect()
-    wanted = [r for r in rows if r.expected] + sorted((r for r in rows if not r.expected), key=lambda r: r.column_name)
-    listed = ";".join(f"{r.column_name}:{r.expected or ''}:{r.actual or ''}" for r in wanted)
-    return t.customer.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n")).withColumn("violations", F.lit(listed))
+with j as (select json_object('c_custkey', case when c_nationkey = 3 then to_json(c_custkey || '') else to_json(c_custkey) end, 'c_name', c_name, 'c_nationkey', c_nationkey,
+    'c_balance', case when c_acctbal > 0 then c_acctbal end, 'c_extra', case when c_nationkey < 2 then c_nationkey > 0 end) as j from customer),
+f as (select unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_balance', 'c_extra']) as column_name),
+t as (select column_name, case json_type(j, '$.' || column_name) when 'VARCHAR' then 'text' when 'DOUBLE' then 'decimal' when 'BOOLEAN' then 'boolean' when 'NULL' then null else 'integer' end as actual from j, f),
+g as (select column_name, actual, count(*) as n_rows from t where actual is not null group by all),
+c as (select * from (values ('c_custkey', 'integer'), ('c_name', 'text'), ('c_nationkey', 'integer'), ('c_balance', 'decimal'), ('c_phone', 'text')) v(column_name, expected))
+select column_name, expected, actual, n_rows from g left join c using (column_name) where actual is distinct from expected
+union all select column_name, expected, null, n - held from (select column_name, expected, coalesce(sum(n_rows), 0) as held, (select count(*) from j) as n from c left join g using (column_name) group by all) where held < n""")
+def _(t):
+    """Customers as JSON records: one nation sends its keys as text, debts are left out, two nations send a field too much, and nobody the phone."""
+    nation = F.col("c_nationkey")
+    record = F.to_json(F.struct(
+        F.when(nation != 3, F.col("c_custkey")).alias("c_custkey"), "c_name", "c_nationkey",
+        F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("c_balance"), F.when(nation < 2, nation > 0).alias("c_extra"),
+    ))
+    as_text = F.regexp_replace(record, r"^\{", F.concat(F.lit('{"c_custkey":"'), F.col("c_custkey").cast("string"), F.lit('",')))
+    records = t.customer.select(F.when(nation == 3, as_text).otherwise(record).alias("record"))
+    contract = t.spark.createDataFrame([("c_custkey", "integer"), ("c_name", "text"), ("c_nationkey", "integer"), ("c_balance", "decimal"), ("c_phone", "text")], "column_name string, expected string")
+    return Q.contract_violations(records, "record", contract)
 
 
 @query("q18_missing_descriptions", """
@@ -173,3 +185,39 @@ def _(t):
         Q.Check("customers with a segment", Q.not_matching(t.customer, "c_mktsegment", "^(?!BUILDING)"), "WARN"),
         Q.Check("urgent orders known", Q.orphan_keys(t.orders, t.customer.filter("c_nationkey <> 3"), "o_custkey", "c_custkey")),
     ])
+
+
+@query("q20_one_pass_rules", """
+with o as (select *, replace(o_orderpriority, '-', '_') as plan from orders),
+r as (
+  select 1 as i, 'plan is known' as check_name, 'ERROR' as severity, count(*) filter (split_part(plan, '_', 1) not in ('1', '2', '3')) as n, min(o_orderkey) filter (split_part(plan, '_', 1) not in ('1', '2', '3')) as k from o
+  union all select 2, 'status is a number', 'WARN', count(*) filter (try_cast(o_orderstatus as decimal(38, 9)) is null), min(o_orderkey) filter (try_cast(o_orderstatus as decimal(38, 9)) is null) from o
+  union all select 3, 'priority is upper case', 'ERROR', count(*) filter (not regexp_matches(o_orderpriority, '^[0-9]-[A-Z ]+$')), min(o_orderkey) filter (not regexp_matches(o_orderpriority, '^[0-9]-[A-Z ]+$')) from o
+  union all select 4, 'urgent orders are open', 'ERROR', count(*) filter (o_orderpriority = '1-URGENT' and o_orderstatus <> 'O'), min(o_orderkey) filter (o_orderpriority = '1-URGENT' and o_orderstatus <> 'O') from o
+  union all select 5, 'prices are positive', 'ERROR', count(*) filter (o_totalprice <= 0), min(o_orderkey) filter (o_totalprice <= 0) from o
+  union all select 6, 'large orders have a clerk', 'WARN', count(*) filter (o_totalprice > 400000), min(o_orderkey) filter (o_totalprice > 400000) from o
+  union all select 7, 'has rows', 'WARN', (count(*) = 0)::int, null from o
+  union all select 8, 'is fresh', 'ERROR', (max(o_orderdate) < timestamp '2030-01-01' - interval 9 hour)::int, null from o
+  union all select 9, 'few are failed', 'ERROR', (count(*) filter (o_orderstatus = 'F') > 1000000000 or count(*) filter (o_orderstatus = 'F') * 100.0 > count(*) * 5)::int, null from o
+  union all select 10, 'few are pending', 'ERROR', (count(*) filter (o_orderstatus = 'P') > 1000000000 or count(*) filter (o_orderstatus = 'P') * 100.0 > count(*) * 90)::int, null from o)
+select check_name, n = 0 as passed, severity, cast(n as bigint) as failing_rows, cast(k as varchar) as example from r""")
+def _(t):
+    """Ten rules over the orders in one pass."""
+    orders = t.orders.withColumn("plan", F.replace("o_orderpriority", F.lit("-"), F.lit("_")))
+    rows = Q.run_rules(orders, order_rules(), "o_orderkey", samples=1)
+    return rows.select("check_name", "passed", "severity", "failing_rows", F.get("sample_keys", F.lit(0)).alias("example"))
+
+
+def order_rules() -> list[Q.Rule]:
+    return [
+        Q.accepted_rule("plan is known", "plan", ["1", "2", "3"]),
+        Q.numeric_rule("status is a number", "o_orderstatus", "WARN"),
+        Q.matching_rule("priority is upper case", "o_orderpriority", "^[0-9]-[A-Z ]+$"),
+        Q.Rule("urgent orders are open", (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") != "O")),
+        Q.Rule("prices are positive", F.col("o_totalprice") <= 0),
+        Q.Rule("large orders have a clerk", F.col("o_totalprice") > 400_000, "WARN"),
+        Q.filled_rule("has rows"),
+        Q.fresh_rule("is fresh", "o_orderdate", F.lit("2030-01-01").cast("timestamp_ntz"), "9 hours"),
+        Q.share_rule("few are failed", F.col("o_orderstatus") == "F", 1_000_000_000),
+        Q.share_rule("few are pending", F.col("o_orderstatus") == "P", 1_000_000_000, 90.0),
+    ]

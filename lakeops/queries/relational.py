@@ -12,7 +12,8 @@ from lakeops.functions.dates import seconds_between, weekly_window
 from lakeops.operators import aggregates as A
 from lakeops.operators import joins as J
 from lakeops.operators.ordered import first_per_key, ordered_scan
-from lakeops.plans.semantic import Field, Metric, SemanticModel, classify, metric_query
+from lakeops.plans.checks import found_fields
+from lakeops.plans.semantic import Field, Metric, SemanticModel, classify_fields, metric_query
 from lakeops.queries.registry import query, text
 
 
@@ -335,11 +336,24 @@ def _(t):
 
 
 @query("a19_field_classes", """
-select status, count(distinct o_orderkey) as order_count, 'dimension' as status_class, 'fact' as cents_class from (select o_orderstatus as status, o_orderkey from orders) group by 1""")
-def _(t):
-    kinds = classify(ORDERS_MODEL)
-    rows = metric_query(t.orders, ORDERS_MODEL, ["order_count"], ["status"])
-    return rows.withColumn("status_class", F.lit(kinds["status"])).withColumn("cents_class", F.lit(kinds["cents"]))
+with f as (
+  select * from (values ('l_orderkey', false, true), ('l_linenumber', false, true), ('l_part_id', false, false), ('l_suppkey', false, false), ('l_quantity', false, false),
+    ('l_extendedprice', false, false), ('is_returned', false, false), ('l_returnflag', false, false), ('l_shipdate', true, false)) v(name, is_time, in_key)),
+n as (select count(*) as n, count(*) filter (l_returnflag = 'R') as returned from lineitem)
+select name, case when name in ('l_quantity', 'l_extendedprice') then 'fact' else 'dimension' end as field_class, case when name = 'is_returned' then returned else n end as n_rows from f, n""")
+def _(t):
+    """The fields that the lines have as records, found in the rows, and metrics over some of them: numbers that are keys, ids or flags are no facts."""
+    line = F.struct(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("l_part_id"), "l_suppkey", "l_quantity", "l_extendedprice",
+        F.when(F.col("l_returnflag") == "R", 1).alias("is_returned"), "l_returnflag", F.col("l_shipdate").cast("string").alias("l_shipdate"),
+    )
+    found = found_fields(t.lineitem.select(F.to_json(line).alias("record")), "record")
+    name = F.col("column_name").alias("name")
+    fields = found.groupBy(name).agg(F.sum("n_rows").alias("n_rows")).select(
+        "name", "n_rows", F.col("name").endswith("date").alias("is_time"), F.col("name").isin("l_orderkey", "l_linenumber").alias("in_key")
+    )
+    metrics = found.filter(F.col("actual").isin("integer", "decimal") & ~F.col("column_name").endswith("suppkey")).select(F.col("column_name").alias("field"))
+    return classify_fields(fields, metrics).select("name", "field_class", "n_rows")
 
 
 @query("a20_reconciliation", """
