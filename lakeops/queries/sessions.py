@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops.operators.attribution import (
+    SEARCH_REFERRERS,
+    SiteHosts,
     campaign_identifier,
     is_paid_category,
     page_attribution_category,
@@ -14,7 +16,7 @@ from lakeops.operators.attribution import (
 )
 from lakeops.operators.sessions import sessionize, sessionize_page_visits
 from lakeops.queries.registry import Tables, query, text
-from lakeops.queries.views import HOST_SQL, PAGE_VIEWS_SQL, page_views, referrers
+from lakeops.queries.views import HOST_SQL, PAGE_VIEWS_SQL, page_views, page_views_sql, referrers
 
 NUMBERED_SQL = """
 numbered as (
@@ -116,14 +118,16 @@ select p.event_id, p.page_view_number, p.session_number, p.session_id, p.page_at
   p.page_number_in_session, p.total_pages_in_session, entry.* exclude (session_id), stats.* exclude (session_id){{campaign}}
 from p left join entry using (session_id) left join stats using (session_id)"""
 
-CAMPAIGN_SQL = """,
+CAMPAIGN_IDENTIFIER_SQL = """
   case when try_cast(utm_campaign as decimal(38,0)) is not null then utm_campaign
     when try_cast(utm_campaign_second as decimal(38,0)) is not null then utm_campaign_second
     when campaign_name = '9124225-25-03-ABM_Airflow' and campaign_content = 'airlift_guide' then '2202694925580706257'
     when campaign_name = '9124225-25-03-ABM_Airflow' then '2187501160110163210'
     when campaign_source = 'email' and campaign_medium = 'sponsorship'
       then 'email_sponsorship_name_' || campaign_name || '_content_' || campaign_content
-    else coalesce(campaign_name, utm_campaign, utm_content) end as campaign_identifier,
+    else coalesce(campaign_name, utm_campaign, utm_content) end as campaign_identifier"""
+
+PAID_PLATFORM_SQL = """
   case when not is_paid_category then null
     when lower(campaign_source) = 'bing' then 'bing'
     when lower(campaign_source) like 'dzone%' then 'dzone'
@@ -132,6 +136,8 @@ CAMPAIGN_SQL = """,
     when msclkid is not null then 'microsoft' when twclid is not null then 'twitter'
     when reddit_cid is not null then 'reddit' end as paid_campaign_platform"""
 
+CAMPAIGN_SQL = f",{CAMPAIGN_IDENTIFIER_SQL},{PAID_PLATFORM_SQL}"
+
 _SESSION_COLUMNS = [
     "event_id", "page_view_number", "session_number", "session_id", "page_attribution_category", "is_paid_category",
     "page_number_in_session", "total_pages_in_session", "session_attribution_category", "session_campaign_source",
@@ -160,9 +166,9 @@ def _(t):
     return _session_output(sessionize_page_visits(page_views(t), referrers(t), tie=["event_id"], by_ip=True))
 
 
-def _attributed(t: Tables):
+def _attributed(t: Tables, hosts: SiteHosts | None = None):
     pages = with_referrer_medium(page_views(t), referrers(t))
-    pages = pages.withColumn("page_attribution_category", page_attribution_category())
+    pages = pages.withColumn("page_attribution_category", page_attribution_category(hosts))
     return pages.withColumn("is_paid_category", is_paid_category(F.col("page_attribution_category")))
 
 
@@ -171,20 +177,32 @@ def _(t):
     return _attributed(t).select("event_id", "page_attribution_category")
 
 
+_OWNER_SQL = page_views_sql(
+    "when referrer_host like '%pills%' then 'manual' when referrer_host like 'th%h.example.com' then 'academy'",
+    "when referrer_host like '%.example.com' then 'own-referrer' when referrer_host like '%.example.net' then 'app-referrer'",
+)
+
+
+@query("x9_owner_hosts", f"with {_OWNER_SQL} select event_id, page_attribution_category from attributed")
+def _(t):
+    """Hosts of the site's owner, by kind: documentation, courses, own sites, the product."""
+    hosts = SiteHosts(docs=["%pills%"], learning=["th%h.example.com"], own=["%.example.com"], product=["%.example.net"], docs_label="manual", learning_label="academy", product_label="app-referrer")
+    return _attributed(t, hosts).select("event_id", "page_attribution_category")
+
+
 @query("x10_paid_flag", f"with {PAGE_VIEWS_SQL} select page_attribution_category in ('cpc', 'paidsocial', 'sponsorship') as is_paid_category, count(*) as views from attributed group by 1")
 def _(t):
     return _attributed(t).groupBy("is_paid_category").agg(F.count(F.lit(1)).alias("views"))
 
 
-@query("x11_campaign_identifier", f"""with {PAGE_VIEWS_SQL}, a as (select *, false as is_paid_category from page_views)
-select event_id{CAMPAIGN_SQL.split(', \n  case when not')[0].split(',\n  case when not')[0]} from a""")
+@query("x11_campaign_identifier", f"with {PAGE_VIEWS_SQL} select event_id, {CAMPAIGN_IDENTIFIER_SQL} from page_views")
 def _(t):
     return page_views(t).select("event_id", campaign_identifier().alias("campaign_identifier"))
 
 
 @query("x12_paid_platform", f"""with {PAGE_VIEWS_SQL},
 a as (select *, page_attribution_category in ('cpc', 'paidsocial', 'sponsorship') as is_paid_category from attributed)
-select event_id{',\n  case when not' + CAMPAIGN_SQL.split(',\n  case when not')[1]} from a""")
+select event_id, {PAID_PLATFORM_SQL} from a""")
 def _(t):
     return _attributed(t).select("event_id", paid_platform().alias("paid_campaign_platform"))
 
@@ -200,3 +218,21 @@ select event_id, coalesce(referrer, case search when '?utm_source=feed' then 'ht
 def _(t):
     found = referrer_from_search(F.col("search"), F.col("referrer"), {"?utm_source=feed": "https://feed.example.com/"})
     return page_views(t).select("event_id", found.alias("referrer"))
+
+
+_SEARCHES_SQL = " ".join(f"when {i} then '{search}'" for i, search in enumerate(SEARCH_REFERRERS))
+_SITES_SQL = ", ".join(f"('{search}', '{site}')" for search, site in SEARCH_REFERRERS.items())
+
+
+@query("x14_all_search_referrers", f"""
+with v as (select event_id, case event_id % {len(SEARCH_REFERRERS) + 2} {_SEARCHES_SQL} when {len(SEARCH_REFERRERS)} then '?ref=else' end as search,
+  case when event_type = 'click' then 'https://kept.example.com/' end as referrer from events)
+select event_id, coalesce(v.referrer, site) as referrer from v left join (values {_SITES_SQL}) m(search, site) using (search)""")
+def _(t):
+    """Every pair of the mapping, a search it does not know, and none."""
+    turn = F.col("event_id") % (len(SEARCH_REFERRERS) + 2)
+    search = F.when(turn == len(SEARCH_REFERRERS), "?ref=else")
+    for i, text_of in enumerate(SEARCH_REFERRERS):
+        search = search.when(turn == i, text_of)
+    referrer = F.when(F.col("event_type") == "click", "https://kept.example.com/")
+    return t.events.select("event_id", referrer_from_search(search, referrer).alias("referrer"))

@@ -62,7 +62,12 @@ HOST_SQL = (
     "split_part(split_part(regexp_replace(regexp_replace({0}, '^[a-zA-Z0-9+.-]+://', ''), '^www\\.', '', 'i'), '/', 1), '?', 1)"
 )
 
-PAGE_VIEWS_SQL = f"""
+def page_views_sql(early: str = "", late: str = "") -> str:
+    """The views of ``page_views`` and their categories; ``early`` and ``late`` are the cases of the owner's documentation and own hosts."""
+    return _VIEWS_SQL + _CATEGORY_SQL.format(early=early, late=late)
+
+
+_VIEWS_SQL = f"""
 raw_views as (
   select e.*, p.url, cast(json_extract_string(e.props, '$.k') as integer) as k
   from events e left join pages p on e.event_id % (select count(*) from pages) = p.page_id
@@ -100,7 +105,9 @@ referrers as (
   select host, case when host like 'spam-farm%' then 'search' when host like 'blog.%' then 'social'
     when host like 'm.%' then 'ai' when host like '%example.org' then 'search' end as medium
   from hosts
-),
+),"""
+
+_CATEGORY_SQL = """
 attributed as (
   select v.*, r.medium as referrer_medium,
     case
@@ -116,14 +123,18 @@ attributed as (
       when r.medium = 'search' and path like '/blog%' then 'search-blog'
       when r.medium = 'search' then 'search-other'
       when r.medium is not null then r.medium
+      {early}
       when path like '/blog%' and referrer_host is null then 'blog'
       when path like '/events%' then 'events'
       when coalesce(campaign_source, campaign_medium, campaign_name, utm_term) is not null then 'other-campaign'
+      {late}
       when referrer_host is not null then 'other-referrer'
       else 'uncategorized' end as page_attribution_category
   from page_views v left join (select * from referrers where medium is not null) r on v.referrer_host = r.host
 )"""
 
+PAGE_VIEWS_SQL = page_views_sql()
+
 
 def changes(t: Tables) -> DataFrame:
     """Events as a change log keyed by user."""

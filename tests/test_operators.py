@@ -144,6 +144,10 @@ def test_contract_example(spark):
     assert rows(K.account_capacity(out, 7), "contract_id", "total_credits") == [(1, 1_000_000), (2, 1_000_000), (3, 1_500_000)]
 
 
+def at(minutes):
+    return datetime(2024, 1, 1) + timedelta(minutes=minutes)
+
+
 def test_range_join_equals_brute_force(spark):
     rng = random.Random(1)
     day = lambda n: date(2024, 1, 1) + timedelta(days=n)
@@ -341,3 +345,36 @@ def test_series_merge_fills_gaps(spark):
     a = spark.createDataFrame([(1, 5), (2, 6)], "k int, a int")
     b = spark.createDataFrame([(2, 7), (3, 8)], "k int, b int")
     assert rows(J.merge_series({"a": a, "b": b}, "k")) == [(1, 5, 0), (2, 6, 7), (3, 0, 8)]
+
+
+def test_rules_run_in_one_pass(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    spark.createDataFrame([(1, "1_a", 5, at(0)), (2, "9_a", None, at(1)), (3, None, -1, None), (4, "x", 7, at(2))], "id int, plan string, n int, ts timestamp_ntz").write.parquet(path)
+    df = spark.read.parquet(path)
+    rules = [
+        Q.accepted_rule("known", "plan", ["1", "2"]), Q.matching_rule("pattern", "plan", "^[0-9]_", F.col("id") == 4), Q.required_rule("required", "n", F.col("id") < 3, "WARN"),
+        Q.numeric_rule("number", "plan"), Q.Rule("positive", F.col("n") < 0), Q.filled_rule("filled"), Q.share_rule("share", F.col("n") > 4, 10, 49.0),
+        Q.fresh_rule("fresh", "ts", F.lit(at(100)).cast("timestamp_ntz"), "1 hour"), Q.fresh_rule("fresh enough", "ts", F.lit(at(100)).cast("timestamp_ntz"), "2 hours"),
+        Q.share_rule("few", F.col("n") > 4, 1, 100.0),
+    ]
+    out = Q.run_rules(df, rules, "id", samples=8)
+    got = {r["check_name"]: (r["passed"], r["failing_rows"], r["sample_keys"]) for r in out.collect()}
+    assert got == {
+        "known": (False, 2, ["2", "4"]), "pattern": (False, 1, ["3"]), "required": (False, 1, ["2"]), "number": (False, 4, ["1", "2", "3", "4"]), "positive": (False, 1, ["3"]),
+        "filled": (True, 0, []), "share": (False, 1, []), "fresh": (False, 1, []), "fresh enough": (True, 0, []), "few": (False, 1, []),
+    }
+    both = Q.run_checks([Q.Check("unique", Q.not_unique(df, ["id"]))], [(df, rules)])
+    assert both.count() == 11 and both.columns == ["check_name", "passed", "severity", "failing_rows"]
+    assert Q.run_rules(df, rules, "id")._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    none = {r["check_name"]: r["passed"] for r in Q.run_rules(df.limit(0), rules).collect()}
+    assert none == {r.name: r.name not in ("filled", "fresh", "fresh enough") for r in rules}
+
+
+def test_contract_of_records(spark):
+    records = ['{"a":1,"b":"x"}', '{"a":"1","b":null}', '{"a":2.5,"c":[1],"d":{"e":1},"f":true}', "[1]", "{broken", None, "7"]
+    contract = spark.createDataFrame([("a", "integer"), ("b", "text"), ("c", "array"), ("z", "text")], "column_name string, expected string")
+    got = Q.contract_violations(spark.createDataFrame([(r,) for r in records], "r string"), "r", contract)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([
+        ("a", "integer", "text", 1), ("a", "integer", "decimal", 1), ("d", None, "object", 1), ("f", None, "boolean", 1),
+        ("a", "integer", None, 4), ("b", "text", None, 6), ("c", "array", None, 6), ("z", "text", None, 7),
+    ], key=str)
