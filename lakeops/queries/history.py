@@ -12,6 +12,7 @@ from lakeops.queries.relational import money, n_rows
 from lakeops.queries.scalars import NEW_ARR_SQL, deal_new_arr, deals
 from lakeops.queries.views import CHANGES_SQL, changes
 from lakeops.sinks import merge as M
+from lakeops.sinks import tables as W
 from lakeops.sinks.buckets import KeyBuckets
 from lakeops.sources import increments as I
 
@@ -106,6 +107,20 @@ def _(t):
     return M.upsert(t.customer, _renamed(t).unionByName(_added(t)), ["c_custkey"]).select("c_custkey", "c_name")
 
 
+@query("m1_bucketed_upsert", """
+select o_orderkey, o_orderstatus, case when o_orderstatus = 'O' then o_totalprice + 1 else o_totalprice end as o_totalprice from orders
+union all select o_orderkey + 1000000000, o_orderstatus, o_totalprice + 1 from orders where o_orderstatus = 'O'""")
+def _(t):
+    """A bucketed table, merged twice where it lies: first the open orders at new prices, then as many new ones."""
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    dearer = rows.filter("o_orderstatus = 'O'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    root = t.scratch("m1")
+    W.publish_bucketed(rows, root, ["o_orderkey"], 8)
+    for source in (dearer, dearer.withColumn("o_orderkey", F.col("o_orderkey") + 1000000000)):
+        W.publish_bucketed(M.upsert(W.read_bucketed(t.spark, root, rows.schema, ["o_orderkey"], 8), source, ["o_orderkey"]), root, ["o_orderkey"], 8)
+    return W.read_bucketed(t.spark, root, rows.schema, ["o_orderkey"], 8)
+
+
 @query("m2_insert_missing", "select c_custkey, c_name from customer union all select c_custkey + 1000000000, c_name || '-2' from customer where c_nationkey < 8")
 def _(t):
     return M.insert_missing(t.customer, _renamed(t).unionByName(_added(t)), ["c_custkey"]).select("c_custkey", "c_name")

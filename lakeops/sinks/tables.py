@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 POINTER = "_CURRENT"
 
@@ -49,6 +50,12 @@ def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
     spark = df.sparkSession
     name = f"v-{uuid.uuid4().hex}"
     clustered(df, partition_by).write.partitionBy(*partition_by).parquet(f"{root}/{name}")
+    _point(spark, root, name)
+    return f"{root}/{name}"
+
+
+def _point(spark: SparkSession, root: str, name: str) -> None:
+    """Make a version folder the current one, in one step."""
     fs, draft = _fs(spark, f"{root}/.{name}.pointer")
     stream = fs.create(draft, True)
     stream.writeUTF(name)
@@ -62,9 +69,38 @@ def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
     options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     context.rename(draft, pointer, options)
+
+
+def publish_bucketed(df: DataFrame, root: str, keys: Sequence[str], buckets: int = 64) -> str:
+    """Write a new version whose rows are bucketed and sorted by their keys, one file a bucket, and make it current.
+
+    Merges on the keys then join the table where it lies: only the source is shuffled, to as many partitions.
+    """
+    spark = df.sparkSession
+    name = f"v_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{root}/{name}").saveAsTable(f"lakeops_{name}")
+    _point(spark, root, name)
     return f"{root}/{name}"
 
 
+def read_bucketed(spark: SparkSession, root: str, schema: StructType, keys: Sequence[str], buckets: int = 64) -> DataFrame | None:
+    """The current version of a table of ``publish_bucketed``, with its buckets; schema, keys and number of buckets are those it was written with.
+
+    The session's catalog learns of the version on first use; None for a table that does not exist.
+    """
+    path = current_path(spark, root)
+    if path is None:
+        return None
+    name = f"lakeops_{path.rsplit('/', 1)[-1]}"
+    if not spark.catalog.tableExists(name):
+        quoted = ", ".join(f"`{k}`" for k in keys)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        location = path.replace("'", "\\'")
+        spark.sql(f"create table {name} ({columns}) using parquet clustered by ({quoted}) sorted by ({quoted}) into {int(buckets)} buckets location '{location}'")
+    return spark.table(name)
+
+
 def write_counted(df: DataFrame, path: str) -> int:
     """Write a folder and return its rows, observed while they are written."""
     seen = Observation()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lakeops.operators import cdc as C
 from lakeops.operators import snapshots as H
 from lakeops.sinks import merge as M
+from lakeops.sinks import tables as W
 from lakeops.sinks.buckets import KeyBuckets
 
 LOG = "id int, v string, op string, ts timestamp_ntz, n int"
@@ -156,3 +157,27 @@ def test_every_merge_rejects_a_key_twice_in_the_source(spark):
         assert merge(fine).filter("id is null").count() == 3
     plan = M.unique_source(fine, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+@pytest.mark.parametrize("merge", [M.upsert, M.insert_missing, M.replace_keys])
+def test_merges_do_not_shuffle_a_bucketed_target(spark, tmp_path, merge):
+    root, keys = str(tmp_path / "bucketed"), ["id", "part"]
+    target = spark.range(200).select(F.col("id"), (F.col("id") % 3).cast("string").alias("part"), F.lit("old").alias("v"))
+    source = spark.range(150, 260).select(F.col("id"), (F.col("id") % 3).cast("string").alias("part"), F.lit("new").alias("v"))
+    assert W.read_bucketed(spark, root, target.schema, keys, 4) is None
+    W.publish_bucketed(target, root, keys, 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge(W.read_bucketed(spark, root, target.schema, keys, 4), source, keys)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        join = plan[plan.index("SortMergeJoin") :]
+        sides = [s for s in join.split("\n") if "Exchange" in s or "FileScan" in s or "Range (" in s]
+        near = [i for i, s in enumerate(sides) if "FileScan" in s and "Bucketed: true" in s]
+        assert near and all(i == 0 or "FileScan" in sides[i - 1] or "Range (" in sides[i - 1] for i in near), plan
+        assert by_text(merged) == by_text(merge(target, source, keys))
+        W.publish_bucketed(merged, root, keys, 4)
+        spark.sql(f"drop table if exists lakeops_{os.path.basename(W.current_path(spark, root))}")  # another session does not know the version
+        assert by_text(W.read_bucketed(spark, root, target.schema, keys, 4)) == by_text(merge(target, source, keys))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
