@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,15 +116,19 @@ class LanguageModel:
     prototypes: np.ndarray
 
 
-def fit_languages(documents: DataFrame, *, fit_rows: int = 20_000, dimensions: int = DIMENSIONS) -> LanguageModel:
+def fit_languages(documents: DataFrame, *, fit_rows: int = 20_000, least_rows: int = 500, dimensions: int = DIMENSIONS) -> LanguageModel:
     """Sum the profiles of documents with a lang, whose id's crc32 modulo 5 is not 0.
 
-    About ``fit_rows`` of them are used, drawn by a hash of the id and text; all, when there are fewer. The driver gets one vector for
-    each language. A NULL or empty text has no letters and adds nothing.
+    About ``fit_rows`` of them are used, drawn by a hash of the id and text, but about ``least_rows`` of each language, or all where it has fewer:
+    a rare language keeps its profile at any size. The driver gets one vector for each language. A NULL or empty text has no letters and
+    adds nothing.
     """
     rows = own_columns(documents, "doc_id", "text", "lang").filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    n = rows.select("lang").count()
-    drawn = rows.filter(unit(F.col("doc_id"), F.xxhash64("text")) < min(1.0, fit_rows / max(1, n))).select("lang", "text")
+    per = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    whole = F.sum("_n").over(Window.partitionBy(F.lit(0)))  # over a row for each language
+    rates = per.select("lang", F.greatest(F.lit(fit_rows) / whole, F.lit(least_rows) / F.col("_n")).alias("_rate"))
+    met = rows.join(F.broadcast(rates), "lang")
+    drawn = met.filter(unit(F.col("doc_id"), F.xxhash64("text")) < F.col("_rate")).select("lang", "text")
 
     def run(batches):
         total: dict[str, np.ndarray] = {}

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +17,7 @@ from lakeops.llm.common import map_texts, own_columns
 
 #: Kinds in the order of spans that start together: the base kinds first, then those the method adds.
 BASE = ("email", "ip", "card", "phone")
-ADDED = ("iban", "ssn", "local_phone")
+ADDED = ("iban", "ssn", "local_phone", "secret")
 KINDS = BASE + ADDED
 
 # Lengths of the account numbers of the ISO 13616 registry.
@@ -40,15 +42,22 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+().-])(?<!\) )\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])")
 
+#: A credential: a name of one, a sign, and a value; or a value whose shape alone says so.
+_NAMED = ("token", "secret", "passw", "api_key", "apikey", "api-key", "access_key", "access-key", "credential")
+_SECRET = re.compile(r"""(?i)(?:token|secret|passwo?r?d|api[_-]?key|access[_-]?key|credentials?)["']?\s{0,3}[=:]\s{0,3}["']?([A-Za-z0-9+/_.-]{12,}+)""")
+_SHAPED = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[oprsu]_[A-Za-z0-9]{36,255})(?![A-Za-z0-9])")
+#: Bits of entropy a character that a value needs to count as drawn at random.
+LEAST_BITS = 3.0
+
 #: Words that raise a span's score when they stand within CONTEXT characters of it, by kind.
 CONTEXT_WORDS = {
     "email": ("mail", "contact", "correo", "courriel"), "ip": ("ip", "host", "server", "address", "adresse"), "card": ("card", "credit", "visa", "karte", "carte", "tarjeta"),
     "phone": ("phone", "call", "tel", "mobile", "telefon", "fax"), "iban": ("iban", "bank", "account", "konto", "compte", "cuenta"),
-    "ssn": ("ssn", "social", "security"), "local_phone": ("phone", "call", "tel", "mobile", "telefon", "fax"),
+    "ssn": ("ssn", "social", "security"), "local_phone": ("phone", "call", "tel", "mobile", "telefon", "fax"), "secret": ("auth", "login", "bearer", "private"),
 }
 CONTEXT = 40
 #: Score of a match of the pattern, what a passed check adds and what a context word adds. An added span must reach LEAST.
-SCORES = {"email": 0.8, "ip": 0.5, "card": 0.3, "phone": 0.6, "iban": 0.3, "ssn": 0.3, "local_phone": 0.3}
+SCORES = {"email": 0.8, "ip": 0.5, "card": 0.3, "phone": 0.6, "iban": 0.3, "ssn": 0.3, "local_phone": 0.3, "secret": 0.3}
 CHECKED, IN_CONTEXT, LEAST = 0.5, 0.3, 0.6
 
 
@@ -76,6 +85,17 @@ def mod97(account: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def entropy_bits(value: str) -> float:
+    """Shannon entropy of the value's characters, in bits a character."""
+    n = len(value)
+    return -sum(c / n * math.log2(c / n) for c in Counter(value).values())
+
+
+def looks_random(value: str) -> bool:
+    """The check on secrets: letters and digits mixed, of ``LEAST_BITS`` a character."""
+    return any(c.isdigit() for c in value) and any(c.isalpha() for c in value) and entropy_bits(value) >= LEAST_BITS
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Matches of ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+``, found from their @."""
     done = 0
@@ -124,6 +144,12 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int, bool]]:
             yield "ssn", *m.span(), False
     for m in _LOCAL_PHONE.finditer(text):
         yield "local_phone", *m.span(), False
+    low = text.lower() if "=" in text or ":" in text else ""
+    named = [m.span(1) for m in _SECRET.finditer(text)] if any(name in low for name in _NAMED) else []
+    ends = {end for _, end in named}
+    shaped = [m.span() for m in _SHAPED.finditer(text) if m.end() not in ends] if "AKIA" in text or "gh" in text else []
+    for start, end in named + shaped:
+        yield "secret", start, end, looks_random(text[start:end])
 
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -132,9 +158,9 @@ _WORD = re.compile(r"[^\W\d_]+")
 def find_personal_data(text: str) -> list[Span]:
     """Spans by start and then in the order of ``KINDS``; base kinds always, added ones from a score of ``LEAST``.
 
-    An added span that lies in a base one of its start is left out.
+    An added span that a check has confirmed stays beside base ones that it overlaps; another one is left out where it does.
     """
-    out = []
+    out: list[Span] = []
     base: list[tuple[int, int]] = []
     for kind, start, end, confirmed in _proposed(text):
         score = SCORES[kind] + CHECKED * confirmed
@@ -143,7 +169,7 @@ def find_personal_data(text: str) -> list[Span]:
             score += IN_CONTEXT
         if kind in BASE:
             base.append((start, end))
-        elif score < LEAST or any(a < end and start < b for a, b in base):
+        elif score < LEAST or not confirmed and any(a < end and start < b for a, b in base):
             continue
         out.append(Span(kind, start, end, min(1.0, score)))
     return sorted(out, key=lambda s: (s.start, KINDS.index(s.kind)))
@@ -154,12 +180,12 @@ def joined(spans: list[Span]) -> str:
 
 
 def masked(text: str, spans: list[Span]) -> str:
-    """The text with each span replaced by its kind in angle brackets; of overlapping spans the first that starts."""
+    """The text with each span replaced by its kind in angle brackets; spans that overlap are replaced together, by the kind of the first."""
     out, at = [], 0
     for s in spans:
         if s.start >= at:
             out += [text[at : s.start], f"<{s.kind}>"]
-            at = s.end
+        at = max(at, s.end)
     return "".join([*out, text[at:]])
 
 
@@ -167,9 +193,9 @@ SPAN_TYPE = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.S
 
 
 def personal_data(documents: DataFrame, mask: bool = False) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, found) for each row of ``documents``, and ``masked_text`` if asked for.
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans, n_secret, found) for each row of ``documents``, and ``masked_text`` if asked for.
 
-    Counts and hash are of the base kinds, ``spans`` and ``found`` (with scores) of all. A NULL text counts as empty: no spans. Repeated
+    The first counts and the hash are of the base kinds, ``spans``, their number and ``found`` (with scores) of all. A NULL text counts as empty: no spans. Repeated
     rows are searched each. Texts are searched whole, one at a time.
     """
 
@@ -180,10 +206,12 @@ def personal_data(documents: DataFrame, mask: bool = False) -> DataFrame:
         out = {f"n_{k}": [sum(s.kind == k for s in spans) for spans in base] for k in BASE}
         out["base_sha256"] = [hashlib.sha256(joined(spans).encode()).hexdigest() for spans in base]
         out["spans"] = [joined(spans) for spans in found]
+        out["n_spans"] = [len(spans) for spans in found]
+        out["n_secret"] = [sum(s.kind == "secret" for s in spans) for spans in found]
         out["found"] = [[{"kind": s.kind, "start": s.start, "end": s.end, "score": s.score} for s in spans] for spans in found]
         if mask:
             out["masked_text"] = [masked(t, s) for t, s in zip(texts, found, strict=True)]
         return out
 
-    adds = [*[(f"n_{k}", T.LongType()) for k in BASE], ("base_sha256", T.StringType()), ("spans", T.StringType()), ("found", SPAN_TYPE)]
+    adds = [*[(f"n_{k}", T.LongType()) for k in BASE], ("base_sha256", T.StringType()), ("spans", T.StringType()), ("n_spans", T.LongType()), ("n_secret", T.LongType()), ("found", SPAN_TYPE)]
     return map_texts(own_columns(documents, "doc_id", "text"), work, [*adds, *([("masked_text", T.StringType())] if mask else [])])

@@ -1,5 +1,8 @@
+import zlib
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lakeops.llm.language import DIMENSIONS, fit_languages, identify_languages, letter_vector, profiles
 
@@ -34,6 +37,42 @@ def test_held_out_accuracy(spark):
     assert (held.lang_pred == held.lang).mean() > 0.98
 
 
+def test_a_rare_language_keeps_its_profile(spark):
+    """Drawn at one rate over all rows, a language of 30 in 30,000 would get about one of 1,000 draws."""
+    rare = ["kwizz kwozz qwax zzek", "qwox kwazz zzik kwux"]
+    rows = spark.range(30_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 1_000 == 0, F.lit(rare[0])).otherwise(F.concat(F.lit("the stone carries light "), F.col("id"))).alias("text"),
+        F.when(F.col("id") % 1_000 == 0, "rare").otherwise("common").alias("lang"),
+    )
+    model = fit_languages(rows, fit_rows=1_000, least_rows=20)
+    assert model.languages == ("common", "rare")
+    texts = spark.createDataFrame([(0, rare[1]), (1, "light of a stone")], "doc_id long, text string")
+    assert [r["lang_pred"] for r in identify_languages(texts, model).orderBy("doc_id").collect()] == ["rare", "common"]
+
+
+def test_predictions_equal_plain_version(spark, small):
+    """Prototypes summed and cosines taken one text at a time."""
+    docs, texts = small
+    langs = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    sums: dict = {}
+    made = {i: plain_profile(t or "") for i, t in texts.items() if len(t or "") < 3_000}
+    model = fit_languages(docs.filter(F.col("doc_id").isin(list(made))))
+    for i, profile in made.items():
+        if langs[i] is not None and zlib.crc32(str(i).encode()) % 5:
+            sums[langs[i]] = sums.get(langs[i], 0) + profile
+    cosine = lambda a, b: float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b)))
+    rows = {r["doc_id"]: r for r in identify_languages(docs.filter(F.col("doc_id").isin(list(made))), model).collect()}
+    assert len(rows) == len(made) > 100
+    for i, profile in made.items():
+        if not any(c.isalpha() for c in texts[i] or ""):
+            assert rows[i]["lang_pred"] == "und"
+            continue
+        scores = {lang: cosine(profile, own) for lang, own in sums.items()}
+        best = max(sorted(scores), key=scores.get)
+        assert abs(rows[i]["score"] - min(1, max(0, scores[best]))) < 1e-6
+        assert rows[i]["lang_pred"] == best or scores[best] - scores[rows[i]["lang_pred"]] < 1e-6
+
+
 def test_odd_rows(odd_documents, no_documents):
     model = fit_languages(odd_documents)
     rows = identify_languages(odd_documents, model).collect()

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from lakeops.llm.mixing import earliest_deadline_first, exact_schedule, mixed_documents, mixed_order, schedule, source_weights, whole_shares
+from lakeops.llm.mixing import exact_schedule, mixed_documents, mixed_order, source_weights
 
 
 def deviation(order: list, shares: dict) -> float:
@@ -17,7 +17,7 @@ def test_every_source_stays_within_a_block_of_its_share():
     r = random.Random(2)
     for _ in range(300):
         shares = {f"s{i}": r.choice([1, 1, 2, 7, 30, 300]) for i in range(r.randrange(1, 9))}
-        order = earliest_deadline_first(shares)
+        order = list(exact_schedule({s: (n, n) for s, n in shares.items()}))
         assert sorted(order) == sorted((s, k) for s, n in shares.items() for k in range(n))
         assert deviation(order, shares) < 1
         slots = sum(shares.values())
@@ -25,27 +25,6 @@ def test_every_source_stays_within_a_block_of_its_share():
             assert k * slots // shares[s] <= at < -(-(k + 1) * slots // shares[s])
 
 
-def test_shares():
-    assert whole_shares({"a": 1, "b": 2, "c": 0}, 9) == {"a": 3, "b": 6}
-    assert whole_shares({"a": 1e-9, "b": 1}, 10) == {"a": 1, "b": 9}
-    assert sum(whole_shares({str(i): i + 0.5 for i in range(30)}, 7).values()) == 30
-
-
-@pytest.mark.parametrize("blocks", [{"a": 10, "b": 4, "c": 1}, {"a": 100, "b": 30, "c": 30}, {"a": 6, "b": 2, "c": 2}, {"a": 0, "b": 5, "c": 0}])
-def test_rounds_in_which_sources_run_out(spark, blocks):
-    shares = {"a": 3, "b": 1, "c": 1}
-    made = schedule(spark.createDataFrame(list(blocks.items()), "source string, blocks long"), spark.createDataFrame(list(shares.items()), "source string, share long")).collect()
-    left, want, first = dict(blocks), [], dict.fromkeys(blocks, 0)
-    while any(left.values()):  # round after round
-        now = {s: min(n, shares[s]) for s, n in left.items() if n}
-        want += [(s, first[s] + k) for s, k in earliest_deadline_first(now)]
-        for s, n in now.items():
-            left[s] -= n
-            first[s] += n
-    assert [(r["source"], r["block"]) for r in sorted(made, key=lambda r: r["slot"])] == want
-    assert sorted(r["slot"] for r in made) == list(range(len(want)))
-
-
 def test_documents(spark, small):
     docs, texts = small
     rows = mixed_order(docs, source_weights(docs), block_rows=2).collect()

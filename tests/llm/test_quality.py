@@ -1,6 +1,10 @@
+import math
+import struct
 import zlib
 
 import numpy as np
+import xxhash
+import zstandard
 
 from lakeops.llm.quality import QualityModel, fit_quality, good_documents, logistic_curve, score_quality, size_difference
 from tests.llm.conftest import prose
@@ -38,6 +42,61 @@ def test_sizes_and_curve():
     assert abs(-a / b - 0.2) < 0.05 and logistic_curve(np.array([]), np.array([])) == (0.0, 0.0)
 
 
+def spark_hash(*values: int) -> int:
+    """Spark's xxhash64 of numbers: longs of 8 bytes and ints, given as such, of 4, each seeded by the hash before."""
+    seed = 42
+    for v in values:
+        raw = struct.pack("<i", int(v)) if isinstance(v, np.int32) else struct.pack("<q", v)
+        seed = xxhash.xxh64(raw, seed=seed % 2**64).intdigest()
+    return seed - 2**64 if seed >= 2**63 else seed
+
+
+def test_every_score_equals_a_plain_recomputation(spark):
+    """Draws, chunks, dictionaries, compressed sizes and the curve in plain Python over the smallest tables."""
+    root = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{root}/documents.parquet"), spark.read.parquet(f"{root}/labels.parquet")
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    marks = {r["doc_id"]: r["quality"] for r in labels.collect() if r["quality"] in (0, 1) and zlib.crc32(str(r["doc_id"]).encode()) % 5}
+    unit = lambda i, role: spark_hash(i, np.int32(role)) % 2**30 / 2**30
+    curve = [i for i in marks if texts.get(i) and unit(i, 2) < 1 / 3]
+    samples: dict = {0: [], 1: []}
+    for i, label in marks.items():
+        if texts.get(i) and i not in curve:
+            samples[label] += [(spark_hash(i, np.int32(n)), texts[i][at : at + 2048]) for n, at in enumerate(range(0, len(texts[i]), 2048))]
+    dictionary = {}
+    for label, own in samples.items():
+        chunks = [c for _, c in sorted(own)][:4_000]
+        size = sum(map(len, chunks))
+        if len(chunks) >= 50 and size >= 8_192:
+            dictionary[label] = zstandard.train_dictionary(min(65_536, size // 4), chunks, k=200, d=8).as_bytes()
+        else:
+            dictionary[label] = b"\n".join(chunks)[-65_536:]
+
+    def packed(text: bytes, label: int) -> int:
+        made = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary[label]), write_checksum=False, write_content_size=False, write_dict_id=False)
+        return sum(len(made.compress(text[at : at + 2048])) for at in range(0, len(text), 2048))
+
+    difference = {i: (packed(t, 0) - packed(t, 1)) / len(t) if t else 0.0 for i, t in texts.items()}
+    scale = float(np.std([difference[i] for i in curve]))
+
+    def loss(a: float, b: float) -> float:
+        """Penalised log likelihood, of which the fitted curve is the maximum."""
+        total = -0.005 * b * b
+        for i in curve:
+            z = a + b * difference[i] / scale
+            total += (z if marks[i] else 0.0) - (math.log1p(math.exp(-abs(z))) + max(z, 0.0))
+        return total
+
+    model = fit_quality(docs, labels)
+    a, b = model.intercept, model.slope * scale
+    assert b > 0 and len(curve) > 10
+    top = loss(a, b)
+    assert all(loss(a + x, b + y) <= top + 1e-9 for x in (-0.05, 0, 0.05) for y in (-0.05, 0, 0.05))
+    for r in score_quality(docs, model).collect():
+        assert abs(r["size_difference"] - difference[r["doc_id"]]) < 1e-12
+        assert abs(r["score"] - 1 / (1 + math.exp(-(a + b * difference[r["doc_id"]] / scale)))) < 1e-9
+
+
 def test_odd_rows(spark, odd_documents, no_documents):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (None, 1), (4, None), (99, 7), (7, 1)], "doc_id long, quality int")
     model = fit_quality(odd_documents, labels)
