@@ -101,13 +101,14 @@ def flakiness(
 def status_breakdown(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count and percent of rows per value of several status columns, NULL statuses not counted.
 
-    Columns are counted side by side in one pass over the data; the total rides along as a NULL status.
+    Columns are counted side by side in one pass over the data. A column's total, NULL statuses included, is summed from its counts, combined before the
+    shuffle, and comes back as a row for each column; the statuses themselves, however many, meet in no task.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("status_column"), F.col(c).cast("string").alias("status")) for c in columns])
     counted = df.select(F.explode(pairs).alias("p")).groupBy("p.status_column", "p.status").agg(F.count(F.lit(1)).alias("n"))
-    every = F.sum("n").over(Window.partitionBy("status_column"))
-    out = counted.withColumn("percent", F.round(F.col("n") * 100.0 / every, 1))
-    return out.filter(F.col("status").isNotNull())
+    every = counted.groupBy("status_column").agg(F.sum("n").alias("_every"))  # a row for each column of the argument
+    out = counted.filter(F.col("status").isNotNull()).join(F.broadcast(every), "status_column")
+    return out.select("status_column", "status", "n", F.round(F.col("n") * 100.0 / F.col("_every"), 1).alias("percent"))
 
 
 def optional_sums(df: DataFrame, payload: Column, fields: Sequence[str]) -> DataFrame:

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.ordered import ordered_scan
+from lakeops.session import scratch_dir
 from lakeops.sources.files import list_files
 
 
@@ -82,6 +83,19 @@ def feature_matrix(
     return wide.select(*keep, *[F.col(f"`{n}`") for n in sorted([*names, *numeric, *flags])])
 
 
+def sparse_features(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], flags: Sequence[str]) -> PipelineModel:
+    """A fitted pipeline that adds ``features``, a sparse vector, for any number of categories.
+
+    Categories are indexed by Spark ML, values unseen in the fit and NULL by an index of their own, and one-hot encoded; the wide form has a column per category and is
+    for few of them. Numbers are used as they are, NULL as 0: standardize them first.
+    """
+    filled = SQLTransformer(statement="select *, " + ", ".join(f"coalesce(cast(`{c}` as double), 0.0) as `_x_{c}`" for c in (*numeric, *flags)) + " from __THIS__")
+    index = StringIndexer(inputCols=list(categorical), outputCols=[f"_i_{c}" for c in categorical], handleInvalid="keep", stringOrderType="alphabetAsc")
+    hot = OneHotEncoder(inputCols=[f"_i_{c}" for c in categorical], outputCols=[f"_h_{c}" for c in categorical], handleInvalid="keep", dropLast=True)
+    parts = VectorAssembler(inputCols=[*[f"_h_{c}" for c in categorical], *[f"_x_{c}" for c in (*numeric, *flags)]], outputCol="features")
+    return Pipeline(stages=[filled, index, hot, parts]).fit(df)
+
+
 def align_features(df: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Exactly the training columns: missing ones are 0, others are dropped."""
     have = set(df.columns)
@@ -148,63 +162,46 @@ def feature_importance(model: PipelineModel, spark: SparkSession, features: Sequ
     return spark.createDataFrame([(r + 1, f, i) for r, (f, i) in enumerate(pairs)], "rank int, feature string, importance double")
 
 
-def _tree_arrays(model: GBTClassificationModel) -> list[list[tuple]]:
-    """Trees as node lists (feature, threshold, left, right, value), read once on the driver."""
-    trees = []
-    for tree in model.trees:
-        nodes: list[tuple] = []
-
-        def walk(node) -> int:
-            at = len(nodes)
-            nodes.append(())
-            if node.numDescendants() == 0:
-                nodes[at] = (-1, 0.0, -1, -1, float(node.prediction()))
-            else:
-                left, right = walk(node.leftChild()), walk(node.rightChild())
-                nodes[at] = (node.split().featureIndex(), float(node.split().threshold()), left, right, 0.0)
-            return at
+def leaf_values(model: PipelineModel, spark: SparkSession) -> list[list[float]]:
+    """The value of every leaf of every tree, from left to right, which is how Spark ML numbers leaves.
 
-        walk(tree._call_java("rootNode"))
-        trees.append(nodes)
-    return trees
+    Read from the model as it is saved, where a tree's nodes are numbered from the root, left before right: as many numbers as the model has leaves.
+    """
+    path = scratch_dir(spark, "trees")
+    model.stages[-1].write().overwrite().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").filter("leftChild < 0")
+    out: list[list[float]] = [[] for _ in range(model.stages[-1].getNumTrees)]
+    for r in nodes.select("treeID", "id", "prediction").orderBy("treeID", "id").collect():
+        out[r["treeID"]].append(r["prediction"])
+    return out
+
+
+def tree_margins(model: PipelineModel, scored: DataFrame, name: str = "margins") -> DataFrame:
+    """Add the weighted value of each tree for each row, an array: Spark ML finds the leaves, a lookup their values."""
+    gbt: GBTClassificationModel = model.stages[-1].copy()
+    for setter in (gbt.setRawPredictionCol, gbt.setProbabilityCol, gbt.setPredictionCol):
+        setter("")
+    leaves = gbt.setLeafCol("_leaves").transform(scored).withColumn("_leaves", vector_to_array("_leaves"))
+    weighted = [[w * v for v in values] for w, values in zip(gbt.treeWeights, leaf_values(model, scored.sparkSession), strict=True)]
+    table = F.from_json(F.lit(json.dumps(weighted)), "array<array<double>>")  # a constant of the plan
+    return leaves.withColumn(name, F.transform("_leaves", lambda leaf, tree: F.get(F.get(table, tree), leaf.cast("int")))).drop("_leaves")
 
 
 def ensemble_spread(model: PipelineModel, scored: DataFrame, samples: int = 50, seed: int = 42, name: str = "spread") -> DataFrame:
     """Deviation of the probability over random half-ensembles.
 
-    The margin of every tree is computed once per row in a vectorised function; half-ensembles are then
-    one matrix product. The ensemble is small (rounds x nodes) and travels with the function.
+    A half-ensemble is the mean margin of half of the trees, drawn once; all of it is built-in array functions on the rows' margins.
     """
-    gbt: GBTClassificationModel = model.stages[-1]
-    trees = _tree_arrays(gbt)
-    rate = list(gbt.treeWeights)
-    pick = np.random.default_rng(seed)
-    half = max(1, len(trees) // 2)
-    masks = np.zeros((len(trees), samples))
-    for s in range(samples):
-        masks[pick.choice(len(trees), size=half, replace=False), s] = 1.0 / half
-
-    @F.pandas_udf("double")
-    def spread(vectors: pd.Series) -> pd.Series:
-        x = np.vstack(vectors.to_numpy()) if len(vectors) else np.zeros((0, 1))
-        margins = np.zeros((len(x), len(trees)))
-        for t, nodes in enumerate(trees):
-            table = np.array([n[:4] for n in nodes])
-            values = np.array([n[4] for n in nodes])
-            feature, threshold = table[:, 0].astype(int), table[:, 1]
-            left, right = table[:, 2].astype(int), table[:, 3].astype(int)
-            at = np.zeros(len(x), dtype=int)
-            while True:
-                inner = feature[at] >= 0
-                if not inner.any():
-                    break
-                go = x[np.arange(len(x)), np.maximum(feature[at], 0)] <= threshold[at]
-                at = np.where(inner, np.where(go, left[at], right[at]), at)
-            margins[:, t] = values[at] * rate[t]
-        probability = 1.0 / (1.0 + np.exp(-(margins @ masks)))
-        return pd.Series(probability.std(axis=1))
-
-    return scored.withColumn(name, spread(vector_to_array("features")))
+    trees = model.stages[-1].getNumTrees
+    pick, half = np.random.default_rng(seed), max(1, trees // 2)
+    drawn = [sorted(int(t) for t in pick.choice(trees, size=half, replace=False)) for _ in range(samples)]
+    halves = F.from_json(F.lit(json.dumps(drawn)), "array<array<int>>")
+    rows = tree_margins(model, scored, "_margins")
+    mean = lambda own: F.aggregate(own, F.lit(0.0), lambda acc, tree: acc + F.get("_margins", tree)) / half
+    rows = rows.withColumn("_odds", F.transform(halves, lambda own: 1 / (1 + F.exp(-mean(own)))))
+    rows = rows.withColumn("_mean", F.aggregate("_odds", F.lit(0.0), lambda acc, x: acc + x) / samples)
+    variance = F.aggregate("_odds", F.lit(0.0), lambda acc, x: acc + (x - F.col("_mean")) * (x - F.col("_mean"))) / samples
+    return rows.withColumn(name, F.sqrt(variance)).drop("_margins", "_odds", "_mean")
 
 
 def exact_percentile(df: DataFrame, column: str, share: float) -> DataFrame:
