@@ -186,7 +186,9 @@ def near_words(words: DataFrame, block: int = BLOCK) -> DataFrame:
             tile(packed, None, *at, found)
         yield told(found)
 
-    parts = units.repartition(*sort).sortWithinPartitions(*sort)
+    # Narrow rows with much work each: more tasks than their bytes would give.
+    tasks = 4 * int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = units.repartition(tasks, *sort).sortWithinPartitions(*sort)
     tiles = parts.mapInArrow(run, "word string, n_near long, best_n long, best string")
     top = F.min(F.struct((-F.col("best_n")).alias("m"), F.col("best").alias("w"))).alias("_top")
     return tiles.groupBy("word").agg(F.sum("n_near").alias("n_near"), top).select("word", "n_near", (-F.col("_top.m")).alias("best_n"), F.col("_top.w").alias("best"))
