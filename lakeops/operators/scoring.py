@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -196,12 +196,22 @@ def ensemble_spread(model: PipelineModel, scored: DataFrame, samples: int = 50,
     pick, half = np.random.default_rng(seed), max(1, trees // 2)
     drawn = [sorted(int(t) for t in pick.choice(trees, size=half, replace=False)) for _ in range(samples)]
     halves = F.from_json(F.lit(json.dumps(drawn)), "array<array<int>>")
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+
+    def odds_of(margins: Column) -> Column:
+        mean = lambda own: F.aggregate(own, F.lit(0.0), lambda acc, tree: acc + F.get(margins, tree)) / half
+        return F.transform(halves, lambda own: 1 / (1 + F.exp(-mean(own))))
+
+    def deviation(odds: Column) -> Column:
+        return _once(total(odds) / samples, lambda mean: F.sqrt(F.aggregate(odds, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean)) / samples))
+
     rows = tree_margins(model, scored, "_margins")
-    mean = lambda own: F.aggregate(own, F.lit(0.0), lambda acc, tree: acc + F.get("_margins", tree)) / half
-    rows = rows.withColumn("_odds", F.transform(halves, lambda own: 1 / (1 + F.exp(-mean(own)))))
-    rows = rows.withColumn("_mean", F.aggregate("_odds", F.lit(0.0), lambda acc, x: acc + x) / samples)
-    variance = F.aggregate("_odds", F.lit(0.0), lambda acc, x: acc + (x - F.col("_mean")) * (x - F.col("_mean"))) / samples
-    return rows.withColumn(name, F.sqrt(variance)).drop("_margins", "_odds", "_mean")
+    return rows.withColumn(name, _once(F.col("_margins"), lambda margins: _once(odds_of(margins), deviation))).drop("_margins")
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often body's lambdas use it: a column of its own would be merged back into them."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def exact_percentile(df: DataFrame, column: str, share: float) -> DataFrame:
