@@ -26,11 +26,12 @@ from lakeops.operators.attribution import (
 
 _VISITOR = ["_visitor", "_unknown"]
 NARROW_SECONDS = 60
-UNTIMED = 2**62  # slice of views without a timestamp, after all others
+UNTIMED = 2**62  # first slice of views without a timestamp, after all others
 
 
-def _sliced(df: DataFrame, visitor: str, ts: str, seconds: int, hot_rows: int | None) -> DataFrame:
+def _sliced(df: DataFrame, visitor: str, ts: str, seconds: int, hot_rows: int | None, untimed_slice: Column | None) -> DataFrame:
     """Views with their visitor, never NULL, and the start second of their slice."""
+    untimed = F.lit(UNTIMED) if untimed_slice is None else F.lit(UNTIMED) + F.coalesce(untimed_slice.cast("bigint"), F.lit(0))
     at = F.unix_seconds(F.col(ts).cast("timestamp"))
     start = lambda width: F.floor(at / width) * width
     narrow = min(seconds, NARROW_SECONDS)
@@ -39,7 +40,7 @@ def _sliced(df: DataFrame, visitor: str, ts: str, seconds: int, hot_rows: int |
         F.coalesce(F.col(visitor).cast("string"), F.lit("")).alias("_visitor"),
         F.col(visitor).isNull().alias("_unknown"),
         # Views without a visitor are one group however many there are.
-        F.coalesce(F.when(F.col(visitor).isNull(), start(narrow)).otherwise(start(seconds)), F.lit(UNTIMED)).alias("_slice"),
+        F.coalesce(F.when(F.col(visitor).isNull(), start(narrow)).otherwise(start(seconds)), untimed).alias("_slice"),
     )
     if hot_rows is None:
         return views
@@ -85,6 +86,7 @@ def sessionize(
     by_ip: bool = False,
     slice_seconds: int | None = None,
     hot_rows: int | None = None,
+    untimed_slice: Column | None = None,
     helpers: bool = False,
 ) -> DataFrame:
     """Add session columns to page views.
@@ -95,11 +97,12 @@ def sessionize(
     columns are NULL; with ``by_ip`` they get an id like any other address. A view without a timestamp
     comes last and is a session of its own. Visitor ids should have one
     length, or two visitors could share a session id. ``slice_seconds`` narrows all slices; ``hot_rows``
-    counts first and cuts only slices with more views to single seconds. ``helpers`` keeps the previous timestamp, inactivity and new-session flag.
+    counts first and cuts only slices with more views to single seconds. Views without a timestamp are one slice of their visitor, in the order of ``tie``;
+    ``untimed_slice``, a number from 0 that grows with it, cuts them into several, so that many of them do not meet in a task. ``helpers`` keeps the previous timestamp, inactivity and new-session flag.
     """
     entry = dict(entry or {})
     seconds = min(slice_seconds or gap, gap)
-    views = _sliced(df, visitor, ts, seconds, hot_rows)
+    views = _sliced(df, visitor, ts, seconds, hot_rows, untimed_slice)
     order = [ts, *tie]
 
     aggs = [
@@ -119,8 +122,9 @@ def sessionize(
         slices.withColumn("_before", F.lag("_last").over(along))
         .withColumn("_views_before", F.coalesce(F.sum("_views").over(earlier), F.lit(0)))
         .withColumn("_views_all", F.sum("_views").over(Window.partitionBy(*_VISITOR)))
-        .withColumn("_new", F.when(seconds_between(F.col("_before"), F.col("_first")) <= gap, 0).otherwise(1))
-        .withColumn("session_number", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        # Each view of an untimed slice is a session: the slice has the number of its first one.
+        .withColumn("_new", F.when(F.col("_slice") >= UNTIMED, F.col("_views")).when(seconds_between(F.col("_before"), F.col("_first")) <= gap, 0).otherwise(1))
+        .withColumn("session_number", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.when(F.col("_slice") >= UNTIMED, F.col("_new") - 1).otherwise(0))
     )
     # The slices are partitioned by visitor already, so the windows over sessions need no shuffle.
     session = Window.partitionBy(*_VISITOR, "session_number")
@@ -146,11 +150,11 @@ def sessionize(
         F.lag(ts).over(in_slice).alias("_prev"),
     ).join(slices, [*_VISITOR, "_slice"])
 
-    untimed = F.col("_slice") == UNTIMED
+    untimed = F.col("_slice") >= UNTIMED
     rows = rows.withColumn("session_number", F.col("session_number") + F.when(untimed, F.col("_rn") - 1).otherwise(0))
     known = F.lit(True) if by_ip else ~F.col("_unknown")
     session_only = lambda c: F.when(known, c)
-    previous = F.coalesce("_prev", "_before")
+    previous = F.when(F.col("_rn") == 1, F.col("_before")).otherwise(F.col("_prev"))
     out = [
         *df.columns,
         (F.col("_views_before") + F.col("_rn")).alias("page_view_number"),

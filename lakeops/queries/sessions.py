@@ -53,6 +53,20 @@ def _(t):
     return _views(t).select("event_id", "session_number")
 
 
+@query("x3_untimed_views", """
+with v as (select event_id, case when event_id % 4 > 0 then user_id end as visitor, case when event_id % 3 > 0 then ts end as seen_at from events),
+n as (select *, row_number() over w as page_view_number, lag(seen_at) over w as previous from v window w as (partition by visitor order by seen_at nulls last, event_id)),
+f as (select *, case when date_diff('second', previous, seen_at) <= 1800 then 0 else 1 end as fresh from n),
+s as (select *, cast(sum(fresh) over (partition by visitor order by page_view_number) as bigint) as session_number from f)
+select event_id, page_view_number, session_number, cast(previous as varchar) as previous_tstamp,
+  case when visitor is null then page_view_number else row_number() over (partition by visitor, session_number order by page_view_number) end as page_number_in_session from s""")
+def _(t):
+    """A third of the views has no time and a quarter no visitor; the untimed ones are cut into slices of a thousand ids."""
+    views = t.events.select("event_id", F.when(F.col("event_id") % 4 > 0, F.col("user_id")).alias("visitor"), F.when(F.col("event_id") % 3 > 0, F.col("ts")).alias("at"))
+    rows = sessionize(views, "visitor", "at", tie=["event_id"], untimed_slice=F.floor(F.col("event_id") / 1000), helpers=True)
+    return rows.select("event_id", "page_view_number", "session_number", text("previous_tstamp"), "page_number_in_session")
+
+
 @query("x4_session_ids", f"with {NUMBERED_SQL} select event_id, md5(cast(user_id as varchar) || session_number) as session_id from sessioned")
 def _(t):
     return _views(t).select("event_id", "session_id")

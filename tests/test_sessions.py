@@ -174,3 +174,18 @@ def test_merged_parts_are_whole_sessions(spark, salts):
         else:
             own.append([ts, ts, 1])
     assert sorted(map(tuple, got), key=str) == sorted(((v, *p) for v, own in whole.items() for p in own), key=str)
+
+
+def test_untimed_views_in_slices(spark):
+    """One slice or many give the same numbers, with a third of the views in the unknown visitor's untimed ones."""
+    views = [(i, None if i % 3 else "a", None if i % 2 else START + timedelta(seconds=977 * i)) for i in range(120)]
+    df = spark.createDataFrame(views, "i int, v string, ts timestamp_ntz")
+    whole, cut = (
+        {r["i"]: tuple(r) for r in sessionize(df, "v", "ts", tie=["i"], untimed_slice=by, helpers=True).collect()} for by in (None, F.floor(F.col("i") / 7))
+    )
+    assert whole == cut and len(whole) == 120
+    for visitor in (None, "a"):
+        own = sorted((i for i, v, ts in views if v == visitor and ts is None))
+        first = whole[own[0]]
+        assert [whole[i][df.columns.index("ts") + 1] for i in own] == list(range(first[3], first[3] + len(own)))
+        assert [whole[i][4] for i in own] == list(range(first[4], first[4] + len(own)))
