@@ -3,8 +3,8 @@
 Terms whose inverse document frequency lies in a band are kept; what all texts use and what few texts use is ignored. The
 distinct terms of a text that fall in the band are put in order and hashed, once for each of several random parts of the lexicon.
 
-A term stands for itself through one of 2^20 hash classes, so the table of document frequencies has a fixed size. The band's lexicon is
-smaller still: a class that every 2^hi-th document holds can occur at most 2^hi times the mean number of terms of a document.
+Terms go by their 64-bit hash. Document frequencies are exact; of them only the band is kept, whose size does not follow the number of texts: a term that every 2^hi-th
+text holds occurs that often, so there are at most 2^hi times the mean number of terms of a text.
 """
 
 from __future__ import annotations
@@ -16,23 +16,19 @@ from lakeops.session import materialize
 
 #: The band in bits of idf: terms of at most one in 2 and at least one in 512 documents.
 BAND = (1.0, 9.0)
-CLASS_BITS = 20
 #: One lexicon keeps a term with probability 2^-halvings. The first are nearly whole lexicons, the last a few terms of a text.
 HALVINGS = (1, 1, 2, 3, 4, 5, 6, 6, 7, 7, 7, 7, 8, 8, 8, 8)
 
 
-def term_classes(text: Column, bits: int = CLASS_BITS) -> Column:
-    """Distinct hash classes of a text's terms: lower-cased runs of letters and digits."""
+def terms_of(text: Column) -> Column:
+    """Hashes of a text's distinct terms: lower-cased runs of letters and digits."""
     terms = F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+")), lambda t: t != "")
-    return F.array_distinct(F.transform(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(1 << bits)).cast("int")))
+    return F.transform(terms, lambda t: F.xxhash64(t))
 
 
-def lexicon(texts: DataFrame, band: tuple[float, float] = BAND, bits: int = CLASS_BITS) -> DataFrame:
-    """(term, parts): the classes in the band over all texts, with the lexicon parts a class belongs to as bits of a number.
-
-    At most 2^``bits`` rows of two integers.
-    """
-    held = texts.select(F.explode(term_classes(F.col("text"), bits)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def lexicon(texts: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
+    """(term, parts): the terms in the band over all texts, with the lexicon parts a term belongs to as bits of a number."""
+    held = texts.select(F.explode(terms_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = texts.count()
     inside = held.filter((F.col("df") * 2.0 ** band[0] <= n) & (F.col("df") * 2.0 ** band[1] >= n))
     parts = F.lit(0)
@@ -41,16 +37,22 @@ def lexicon(texts: DataFrame, band: tuple[float, float] = BAND, bits: int = CLAS
     return inside.select("term", parts.alias("parts"))
 
 
-def fingerprints(rows: DataFrame, keys: list[str], words: DataFrame, bits: int = CLASS_BITS) -> DataFrame:
+def fingerprints(rows: DataFrame, keys: list[str], words: DataFrame) -> DataFrame:
     """(keys, signature) for rows with a text: an array with a hash for each lexicon part, NULL where the text has no term of it.
 
-    A hash is the exclusive or of the hashes of the text's distinct terms in that part, which needs no order of the terms to be the
-    same for the same terms. Rows must differ in ``keys``; rows that are already together by a part of ``keys`` are not shuffled.
+    A text's terms in the band are put in order once; a part's hash is that of the ordered terms it has. Rows must differ in ``keys``; rows that are
+    already together by a part of ``keys`` are not shuffled.
     """
-    terms = rows.select(*keys, F.explode_outer(term_classes(F.col("text"), bits)).alias("term"))
-    met = terms.join(F.broadcast(words), "term", "left").withColumn("_hash", F.xxhash64("term", F.lit("term")))
-    made = met.groupBy(*keys).agg(*[F.bit_xor(F.when(F.col("parts").bitwiseAND(1 << k) != 0, F.col("_hash"))).alias(f"_{k}") for k in range(len(HALVINGS))])
-    return made.select(*keys, F.array(*[F.col(f"_{k}") for k in range(len(HALVINGS))]).alias("signature"))
+    terms = rows.select(*keys, F.explode_outer(terms_of(F.col("text"))).alias("term"))
+    met = terms.join(F.broadcast(words), "term", "left")
+    known = F.collect_list(F.when(F.col("parts").isNotNull(), F.struct("term", "parts")))
+    made = met.groupBy(*keys).agg(F.array_sort(known).alias("_terms"))
+
+    def part(k: int) -> Column:
+        own = F.filter("_terms", lambda t: t["parts"].bitwiseAND(1 << k) != 0)
+        return F.when(F.exists("_terms", lambda t: t["parts"].bitwiseAND(1 << k) != 0), F.xxhash64(F.transform(own, lambda t: t["term"])))
+
+    return made.select(*keys, F.array(*[part(k) for k in range(len(HALVINGS))]).alias("signature"))
 
 
 def fingerprint_text(signature: Column, text_hash: Column) -> Column:
@@ -100,7 +102,7 @@ def with_next(documents: DataFrame, rows_in_slice: int = 500) -> DataFrame:
     return both.select("slice", F.row_number().over(within).alias("at"), "extra", "doc_id", "text", F.lead("text").over(within).alias("next_text"))
 
 
-def edited_fingerprints(documents: DataFrame, band: tuple[float, float] = BAND, bits: int = CLASS_BITS) -> DataFrame:
+def edited_fingerprints(documents: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) for each row of ``documents``.
 
     The edited text is the text with its last half (rounded down, in code points) replaced by as much of the next document's beginning
@@ -108,7 +110,7 @@ def edited_fingerprints(documents: DataFrame, band: tuple[float, float] = BAND,
 
     Whole texts are shuffled once, by slices of ids; all that follows stays in the slice.
     """
-    words = materialize(lexicon(documents.select(F.coalesce("text", F.lit("")).alias("text")), band, bits), "imatch_lexicon")
+    words = materialize(lexicon(documents.select(F.coalesce("text", F.lit("")).alias("text")), band), "imatch_lexicon")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
@@ -119,7 +121,7 @@ def edited_fingerprints(documents: DataFrame, band: tuple[float, float] = BAND,
     )
     two = rows.select("slice", "at", "extra", "doc_id", "n_chars", F.explode(kinds).alias("k")).filter(~F.col("extra") | (F.col("k.kind") == 0))
     two = two.select("slice", "at", "extra", "doc_id", "n_chars", "k.kind", "k.text", "k.sha", F.xxhash64("k.text").alias("text_hash"))
-    made = fingerprints(two, ["slice", "at", "extra", "doc_id", "n_chars", "kind", "sha", "text_hash"], words, bits)
+    made = fingerprints(two, ["slice", "at", "extra", "doc_id", "n_chars", "kind", "sha", "text_hash"], words)
     side = F.struct("signature", "text_hash", "sha")
     joined = made.groupBy("slice", "at", "extra", "doc_id", "n_chars").agg(F.max(F.when(F.col("kind") == 0, side)).alias("own"), F.max(F.when(F.col("kind") == 1, side)).alias("edit"))
     following = joined.withColumn("next", F.lead("own").over(Window.partitionBy("slice").orderBy("at"))).filter(~F.col("extra"))

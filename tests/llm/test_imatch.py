@@ -4,35 +4,33 @@ import re
 
 import xxhash
 
-from lakeops.llm.imatch import BAND, CLASS_BITS, HALVINGS, edited_fingerprints
+from lakeops.llm.imatch import BAND, HALVINGS, edited_fingerprints
 
 
 def signed(n: int) -> int:
     return n - 2**64 if n >= 2**63 else n
 
 
-def hashed(*values) -> int:
-    """Spark's xxhash64 of texts and 32-bit integers."""
-    seed = 42
-    for v in values:
-        seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else v.to_bytes(4, "little", signed=True), seed)
-    return signed(seed)
+def part_hash(term: str, k: int) -> int:
+    """Spark's xxhash64 of the hash of a term, a long, and a 32-bit number."""
+    whole = xxhash.xxh64_intdigest(term.encode(), 42)
+    return signed(xxhash.xxh64_intdigest(k.to_bytes(4, "little"), xxhash.xxh64_intdigest(whole.to_bytes(8, "little"), 42)))
 
 
-def classes(text: str) -> set[int]:
-    return {hashed(t) % 2**CLASS_BITS for t in re.split(r"[^\w]|_", text.lower()) if t}
+def terms(text: str) -> set[str]:
+    return {t for t in re.split(r"[^\w]|_", text.lower()) if t}
 
 
 def plain(rows: list[tuple]) -> list[tuple]:
     """(id, edited hash, own terms by part, edited terms by part) by the definition."""
     texts = [(i, t or "") for i, t in rows]
     n = len(texts)
-    df: dict[int, int] = {}
+    df: dict[str, int] = {}
     for _, t in texts:
-        for c in classes(t):
+        for c in terms(t):
             df[c] = df.get(c, 0) + 1
     kept = {c for c, x in df.items() if 2.0 ** BAND[0] <= n / x <= 2.0 ** BAND[1]}
-    parts = lambda t: [frozenset(c for c in classes(t) & kept if hashed(c, k) % 2**h == 0) for k, h in enumerate(HALVINGS)]
+    parts = lambda t: [frozenset(c for c in terms(t) & kept if part_hash(c, k) % 2**h == 0) for k, h in enumerate(HALVINGS)]
     out = []
     for at, (i, t) in enumerate(texts):
         following = texts[(at + 1) % n][1]
