@@ -56,6 +56,23 @@ NOTICES: tuple[tuple[str, str], ...] = (
     ("ISC", "Licensed under the ISC License."),
     ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
     ("CC0-1.0", "This work is licensed under CC0 1.0 Universal."),
+    ("MIT-0", "Licensed under the MIT No Attribution License."),
+    ("MIT-0", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so. " + _AS_IS_MIT),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."),
+    ("Zlib", "Licensed under the zlib License."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("EPL-2.0", "Licensed under the Eclipse Public License, version 2.0."),
+    ("EPL-1.0", "Licensed under the Eclipse Public License, version 1.0."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Apache-2.0 OR MIT", "Apache License, Version 2.0 or MIT license at your option."),
+    ("Apache-2.0 OR MIT", "Apache License, Version 2.0 or the MIT license at your option."),
+    ("Apache-2.0 OR MIT", "Dual licensed under the MIT license and the Apache License, Version 2.0."),
+    ("MIT", "https://opensource.org/licenses/MIT"),
+    ("Apache-2.0", "https://www.apache.org/licenses/LICENSE-2.0"),
+    ("MPL-2.0", "https://www.mozilla.org/en-US/MPL/2.0/"),
+    ("CC0-1.0", "https://creativecommons.org/publicdomain/zero/1.0/"),
 )
 
 
@@ -73,6 +90,7 @@ def _creative_commons() -> list[tuple[str, str]]:
             made += [(label, f"This work is licensed under a Creative Commons {name} {version} {region} License.") for name in names]
             made.append((label, f"Licensed under the Creative Commons {names[0]} {version} License."))
             made.append((label, f"Licensed under CC {parts} {version}."))
+            made.append((label, f"https://creativecommons.org/licenses/{parts.lower()}/{version}/"))
     return made
 
 
@@ -82,7 +100,7 @@ def _gnu() -> list[tuple[str, str]]:
         label = f"{short}-{version if '.' in version else version + '.0'}"
         full = f"GNU {name}General Public License"
         made += [
-            (label, f"This work is licensed under the {full}, version {version}."), (label, f"Licensed under the {full} v{version}."),
+            (label, f"{full}, version {version}."), (label, f"This work is licensed under the {full}, version {version}."), (label, f"Licensed under the {full} v{version}."),
             (label, f"This program is free software: you can redistribute it and/or modify it under the terms of the {full} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."),
             (label, f"This program is free software; you can redistribute it and/or modify it under the terms of the {full} version {version} as published by the Free Software Foundation."),
         ]
@@ -109,9 +127,9 @@ TEMPLATES: tuple[tuple[str, str], ...] = tuple(
 DICE = 0.8
 #: A notice is up to so many words long, and a short license text up to so many; longer texts are told apart by their wording.
 NOTICE_WORDS, SHORT_TEXT_WORDS = 60, 400
-#: Words by which near templates differ: parts of names.
+#: Words by which near templates differ: parts of names, and of the clause that a license without attribution lacks.
 NAME_WORDS = frozenset(
-    b"noncommercial commercial noderivatives noderivs derivatives derivative nc nd sa sharealike alike lesser library affero gpl lgpl agpl endorse advertising".split()
+    b"noncommercial commercial noderivatives noderivs derivatives derivative nc nd sa sharealike alike lesser library affero gpl lgpl agpl endorse advertising substantial".split()
 )
 
 

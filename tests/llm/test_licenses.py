@@ -78,6 +78,22 @@ def test_notices_that_are_no_templates_get_their_own_name(scanner, text, name):
         assert max(b - a for a, b, _, _ in found) > 0.9 * len(words(text.encode()))
 
 
+@pytest.mark.parametrize(
+    ("text", "name"),
+    [
+        (dict(x[::-1] for x in TEMPLATES if x[0] == "MIT-0" and len(x[1]) > 300).popitem()[0].replace("persons", "people"), "MIT-0"),
+        ("Permission to use, copy, modify and/or distribute this code for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.", "0BSD"),
+        ("This library is distributed under the Boost Software License, Version 1.0.", "BSL-1.0"), ("It is licensed under the Eclipse Public License, version 2.0, since then.", "EPL-2.0"),
+        ("The crate is licensed under either of the Apache License, Version 2.0 or the MIT license at your option.", "Apache-2.0 OR MIT"),
+        ("see http://creativecommons.org/licenses/by-nc/3.0/ for terms", "CC-BY-NC-3.0"), ("terms: https://opensource.org/licenses/MIT", "MIT"), ("GNU General Public License, version 2.", "GPL-2.0"),
+        ("GNU Lesser General Public License, version 2.1.", "LGPL-2.1"), ("Released under the zlib license, that is: licensed under the zlib License.", "Zlib"),
+    ],
+)
+def test_other_families(scanner, text, name):
+    found = scanner.passages(words(f"{prose(1, 80)} {text} {prose(2, 80)}".encode()))
+    assert {f[2] for f in found} == {name}
+
+
 @pytest.mark.parametrize("text", ["This work is licensed under the GNU General Public License, version 7.", "This work is licensed under a Creative Commons Attribution-NonCommercial 9.0 International License."])
 def test_other_versions_get_no_near_name(scanner, text):
     assert scanner.passages(words(text.encode())) == []
