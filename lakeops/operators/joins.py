@@ -89,7 +89,7 @@ def range_join(
     at: str,
     start: str,
     end: str,
-    unit: str = "day",
+    unit: str = "week",
     hot_rows: int = 5_000_000,
     salts: int = 64,
 ) -> DataFrame:
