@@ -12,22 +12,21 @@ from lakeops.session import materialize
 QUANTITIES = {"credits": "%Credits%", "minutes": "%Minutes%"}
 
 
-def _quantities(prefix: str) -> list[Column]:
-    return [
-        F.coalesce(F.sum(F.when(F.col("product_name").like(p), F.col("quantity"))), F.lit(0)).alias(prefix + n)
-        for n, p in QUANTITIES.items()
-    ]
+def _amounts() -> list[Column]:
+    """The quantity of a line for each kind of product that it is."""
+    return [F.when(F.col("product_name").like(p), F.col("quantity")).alias(n) for n, p in QUANTITIES.items()]
 
 
 def sold_by_term(opportunities: DataFrame, quotes: DataFrame, lines: DataFrame) -> DataFrame:
     """Credits and minutes of won opportunities of all kinds per term, from the lines of their syncing quotes.
 
-    One row per opportunity and term: the lines are read and aggregated once for what was quoted and what was upsold.
+    One row per opportunity and term: the lines are read and aggregated once for what was quoted and what was upsold. Lines travel as ids and numbers, without the product's name.
     """
     won = opportunities.filter(F.col("is_closed") & F.col("is_won")).select("opportunity_id", "account_id", "opportunity_type", "close_date")
     syncing = quotes.filter("is_syncing").select("quote_id", "opportunity_id")
-    rows = won.join(syncing, "opportunity_id").join(lines, "quote_id")
-    return rows.groupBy("opportunity_id", "account_id", "opportunity_type", "close_date", "term").agg(*_quantities(""))
+    rows = won.join(syncing, "opportunity_id").join(lines.select("quote_id", "term", *_amounts()), "quote_id")
+    totals = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in QUANTITIES]
+    return rows.groupBy("opportunity_id", "account_id", "opportunity_type", "close_date", "term").agg(*totals)
 
 
 def quoted_terms(sold: DataFrame, since_year: int = 2024) -> DataFrame:
@@ -67,7 +66,10 @@ def upsell_by_opportunity(opportunities: DataFrame, quotes: DataFrame, lines: Da
 
 
 def match_upsells(upsells: DataFrame, contracts: DataFrame) -> DataFrame:
-    """Pairs (upsell, opportunity) where the upsell closed inside a contract of the same account."""
+    """Pairs (upsell, opportunity) where the upsell closed inside a contract of the same account.
+
+    Both are read more than once: hand in upsells and contracts that are written.
+    """
     points = upsells.select(F.col("opportunity_id").alias("upsell_id"), "account_id", "close_date")
     periods = contracts.select("account_id", "opportunity_id", "contract_start_date", "contract_end_date")
     found = range_join(points, periods, ["account_id"], "close_date", "contract_start_date", "contract_end_date")
@@ -122,11 +124,11 @@ def contract_credits(
 ) -> DataFrame:
     """All of the above: contracts with quoted, upsold and cumulated credits and minutes.
 
-    Two narrow aggregates that later steps read more than once are written in between: what was sold by opportunity and term, and the amounts of the
+    Narrow aggregates that later steps read more than once are written in between: what was sold by opportunity and term, the upsells, and the amounts of the
     contracts, whose cumulation goes over them twice.
     """
     sold = materialize(sold_by_term(opportunities, quotes, lines), "sold")
-    upsells = upsold(sold)
+    upsells = materialize(upsold(sold), "upsells")
     last = last_contract_of(contracts, match_upsells(upsells, contracts))
     aligned = align_terms(contracts, quoted_terms(sold, since_year))
     return contract_sums(materialize(contract_amounts(aligned, upsell_by_contract(upsells, last)), "amounts"))

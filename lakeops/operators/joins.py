@@ -60,6 +60,9 @@ def anti_keys(left: DataFrame, right: DataFrame, key: str, right_key: str | None
     return left.select(key).filter(F.col(key).isNotNull()).distinct().join(other, key, "left_anti")
 
 
+#: Keys whose pairs of a point and a period are at most this many times their rows are joined by the key alone, unless they have more rows than this.
+PAIRS_A_ROW, KEY_ROWS = 64, 1_000_000
+
 #: Seconds of the finest bin of a range join.
 BIN_SECONDS = {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400, "week": 604_800}
 
@@ -92,14 +95,35 @@ def range_join(
     unit: str = "week",
     hot_rows: int = 5_000_000,
     salts: int = 64,
+    pairs_a_row: int = PAIRS_A_ROW,
 ) -> DataFrame:
     """Points inside periods (both ends included) of the same key; dates or times. NULL keys and bounds match nothing.
 
+    Keys with few points or few periods, which have at most ``pairs_a_row`` pairs for each of their rows, are joined by the key alone: their rows travel once, and the
+    pairs that are tried grow with the rows. All other keys are joined by bins. Both inputs are read for the counts and again for the join, so write those that are costly.
+
     Time is cut into bins of a unit, which pair up level by level. A period is laid out over the few bins of several levels that cover it,
     a point looks up its one bin on each level that some period uses, and the join is an equality of key, level and bin. Only in the
     units of a period's two ends can they meet in vain. Keys with more than
     ``hot_rows`` points are salted: their points on the upper levels, where many share a bin, are dealt to ``salts`` copies of the periods.
     """
+    some = lambda df: df.filter(reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys]))
+    points, periods = some(points), some(periods)
+    inside = (F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end))
+    counted = lambda df, name: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    each = counted(points, "_points").join(counted(periods, "_periods"), list(keys))
+    both = F.col("_points") + F.col("_periods")
+    # Products of counts as numbers of any size.
+    many = F.col("_points").cast("double") * F.col("_periods") > pairs_a_row * both
+    dense = materialize(each.filter(many | (both > KEY_ROWS)).select(*keys), "dense_keys")
+    if dense.isEmpty():
+        return points.join(periods, list(keys)).filter(inside)
+    plain = points.join(dense, list(keys), "left_anti").join(periods.join(dense, list(keys), "left_anti"), list(keys)).filter(inside)
+    binned = _binned_join(points.join(dense, list(keys), "left_semi"), periods.join(dense, list(keys), "left_semi"), keys, at, start, end, unit, hot_rows, salts)
+    return plain.unionByName(binned)
+
+
+def _binned_join(points, periods, keys, at, start, end, unit, hot_rows, salts) -> DataFrame:
     seconds = BIN_SECONDS[unit]
     bin_of = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp_ntz").cast("timestamp")) / (seconds * 1_000_000))
     laid = periods.filter(F.col(start) <= F.col(end)).withColumn("_b", F.explode(dyadic_bins(bin_of(start), bin_of(end))))

@@ -74,12 +74,12 @@ def ordered_scan(
         return _sliced(df.columns, rows, join_cols, order, slice_by, **asked)
     counted = df.select(*non_null_keys(keys)).groupBy(*join_cols).agg(F.count(F.lit(1)).alias("_rows"))
     hot = F.broadcast(counted.filter(F.col("_rows") > hot_rows).drop("_rows"))
-    cold = _windowed(df.columns, rows.join(hot, join_cols, "left_anti"), join_cols, order, **asked)
+    cold = _windowed(df.columns, rows.join(hot, join_cols, "left_anti"), keys, order, **asked)  # by the keys as they are, which a later join can use
     return cold.union(_sliced(df.columns, rows.join(hot, join_cols, "left_semi"), join_cols, order, slice_by, **asked))
 
 
-def _windowed(carried, rows, join_cols, order, *, row_number, total, lag, first, running, before, after, sums) -> DataFrame:
-    whole = Window.partitionBy(*join_cols)
+def _windowed(carried, rows, keys, order, *, row_number, total, lag, first, running, before, after, sums) -> DataFrame:
+    whole = Window.partitionBy(*keys)
     along = whole.orderBy(*[F.col(c).asc_nulls_last() for c in order])
     upto = along.rowsBetween(Window.unboundedPreceding, 0)
     all_of = lambda c: F.coalesce(F.sum(c).over(whole), F.lit(0))

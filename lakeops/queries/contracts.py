@@ -43,6 +43,11 @@ def all_inputs(t):
     return materialize(contracts, "contracts"), *others
 
 
+def all_upsells(opportunities, quotes, lines):
+    """The upsells, written once for the same reason."""
+    return materialize(K.upsell_by_opportunity(opportunities, quotes, lines), "upsells")
+
+
 INPUTS_SQL = f"""
 opportunities as (select o_orderkey as opportunity_id, o_custkey as account_id, {KIND_SQL} as opportunity_type,
   o_orderstatus <> 'P' as is_won, cast(o_orderdate as date) as close_date, o_orderpriority <> '5-LOW' as is_syncing from orders),
@@ -111,20 +116,20 @@ def _(t):
 
 @query("k4_upsell_matches", f"with {INPUTS_SQL} select * from matches")
 def _(t):
-    contracts, opportunities, quotes, lines = inputs(t)
-    return K.match_upsells(K.upsell_by_opportunity(opportunities, quotes, lines), contracts)
+    contracts, *sales = all_inputs(t)
+    return K.match_upsells(all_upsells(*sales), contracts)
 
 
 @query("k5_last_contract", f"with {INPUTS_SQL} select * from last_contracts")
 def _(t):
-    contracts, opportunities, quotes, lines = inputs(t)
-    return K.last_contract_of(contracts, K.match_upsells(K.upsell_by_opportunity(opportunities, quotes, lines), contracts))
+    contracts, *sales = all_inputs(t)
+    return K.last_contract_of(contracts, K.match_upsells(all_upsells(*sales), contracts))
 
 
 @query("k6_upsell_by_contract", f"with {INPUTS_SQL} select * from by_contract")
 def _(t):
-    contracts, opportunities, quotes, lines = inputs(t)
-    upsells = K.upsell_by_opportunity(opportunities, quotes, lines)
+    contracts, *sales = all_inputs(t)
+    upsells = all_upsells(*sales)
     return K.upsell_by_contract(upsells, K.last_contract_of(contracts, K.match_upsells(upsells, contracts)))
 
 

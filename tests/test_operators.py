@@ -186,6 +186,32 @@ def test_range_join_of_times(spark, unit, hot_rows):
     assert sorted(rows(got, "p", "q")) == expected and len(expected) > 100
 
 
+@pytest.mark.parametrize("pairs_a_row", [0, 5, 64])
+def test_range_join_by_key_and_by_bins(spark, pairs_a_row):
+    """All keys by bins, only the one with many points and periods, and none; keys of two columns, NULLs in each, repeated rows."""
+    rng = random.Random(5)
+    moment = lambda: datetime(2024, 1, 1) + timedelta(minutes=rng.randrange(90 * 1440))
+    key = lambda: ("hot", 1) if rng.random() < 0.5 else (rng.choice(["a", "b", "c", None]), rng.choice([1, 2, None]))
+    points = [(*key(), i // 2, moment()) for i in range(200)]
+    starts = [moment() for _ in range(60)]
+    periods = [(*key(), i // 2, s, s + timedelta(hours=rng.randrange(-5, 900))) for i, s in enumerate(starts)]
+    got = J.range_join(
+        spark.createDataFrame(points, "k string, l int, p int, at timestamp_ntz"), spark.createDataFrame(periods, "k string, l int, q int, s timestamp_ntz, e timestamp_ntz"),
+        ["k", "l"], "at", "s", "e", "hour", pairs_a_row=pairs_a_row,
+    )
+    expected = sorted((p, q) for k, l, p, at in points for k2, l2, q, s, e in periods if k and l and (k, l) == (k2, l2) and s <= at <= e)
+    assert sorted(rows(got, "p", "q")) == expected and len(expected) > 100
+
+
+def test_range_join_of_few_rows_a_key_lays_out_no_period(spark, capsys):
+    """Ten rows a key: their pairs grow with the rows, so no period is copied over its bins before the shuffle."""
+    moment = F.timestamp_seconds(F.col("id") * 3_600).cast("timestamp_ntz")
+    points = spark.range(1_000).select((F.col("id") % 100).alias("k"), moment.alias("at"))
+    periods = spark.range(1_000).select((F.col("id") % 100).alias("k"), moment.alias("s"), F.timestamp_seconds(F.col("id") * 3_600 + 999_999).cast("timestamp_ntz").alias("e"))
+    J.range_join(points, periods, ["k"], "at", "s", "e").explain()
+    assert "Generate" not in capsys.readouterr().out
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, how):
     left = spark.range(400).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50)).alias("k"), F.col("id").alias("i"))
