@@ -121,6 +121,15 @@ def class_weight(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("positive_weight", F.try_divide("negatives", "positives"))
 
 
+def even_parts(rows: DataFrame, fewest: int = 20_000, most: int = 200_000) -> int:
+    """Into how many even parts to deal rows that are passed over many times: one for each core while parts have ``fewest`` rows, more when they would have over ``most``.
+
+    A split by classes leaves the rows in a task per class, and a model is trained by as many tasks as its rows have parts.
+    """
+    n, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(n // fewest, cores * math.ceil(n / (most * cores))))
+
+
 def train_trees(
     train: DataFrame, features: Sequence[str], label: str, rounds: int = 100, depth: int = 7, rate: float = 0.3,
     seed: int = 42, min_rows: int = 3, row_share: float = 0.8, feature_share: str = "0.8",

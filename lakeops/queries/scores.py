@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators import scoring as L
 from lakeops.queries.registry import query
+from lakeops.session import materialize
 
 LIMIT = 2_500_000
 
@@ -79,10 +80,15 @@ def trained(t):
     """The model with all its rounds, the feature rows and the feature names. A session trains it once per folder of tables."""
     key = (t.spark.sparkContext.applicationId, t.root)
     if key not in _TRAINED:
-        # Training passes over its input many times, so the features are written once.
+        # Training passes over its input many times, so the features are written once, in as many parts as tasks have work for.
         path = t.scratch("features")
         L.stratified_split(matrix(t), "c_custkey", "won").write.parquet(path)
         rows = t.spark.read.parquet(path)
+        parts = L.even_parts(rows)
+        if parts > 1:
+            path = t.scratch("features")
+            rows.repartition(parts, "c_custkey").write.parquet(path)
+            rows = t.spark.read.parquet(path)
         names = [n for n in feature_names(rows) if n != "is_test"]
         _TRAINED[key] = (L.train_trees(rows.filter("not is_test"), names, "won"), path, names)
     model, path, names = _TRAINED[key]
@@ -101,6 +107,8 @@ def _(t):
     """How sure the model is of each customer, from half-ensembles."""
     model, rows, names = trained(t)
     spread = L.ensemble_spread(model, L.score(model, rows, names))
+    # Read twice, for the percentile and for the result.
+    spread = materialize(spread.select("c_custkey", "won", "probability", "spread"), "spread")
     return L.confidence(spread).select("c_custkey", "won", F.round("probability", 6).alias("probability"), F.round("confidence", 6).alias("confidence"))
 
 

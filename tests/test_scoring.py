@@ -72,3 +72,26 @@ def test_sparse_features_of_many_categories(spark):
     assert [dict(zip(v.indices.tolist(), v.values.tolist(), strict=True)) for v in vectors] == [
         {index["c7"]: 1.0, 100_001: 0.5, 100_002: 1.0}, {100_000: 1.0}, {100_000: 1.0, 100_001: 2.0}, {index["c99999"]: 1.0, 100_001: 3.0, 100_002: 1.0},
     ]
+
+
+def test_even_parts(spark):
+    cores = spark.sparkContext.defaultParallelism
+    parts = lambda n: L.even_parts(spark.range(n))
+    assert parts(0) == parts(15_000) == 1 and parts(40_000) == min(2, cores) and parts(200_000 * cores) == cores and parts(200_000 * cores + 1) == 2 * cores
+
+
+def test_training_rows_lie_in_even_parts(spark, tmp_path, monkeypatch):
+    """The split goes by class, which left a part for each; most customers are of one class here."""
+    from lakeops.queries import scores as S
+    from lakeops.queries.registry import Tables
+
+    n, given = 80_000, []
+    customers = spark.range(n).select(F.col("id").alias("c_custkey"), F.lit("BUILDING").alias("c_mktsegment"), F.rand(1).alias("c_acctbal"))
+    customers.write.parquet(str(tmp_path / "customer.parquet"))
+    orders = spark.range(n // 10).select(F.col("id").alias("o_custkey"), F.lit(3e6).alias("o_totalprice"), F.lit("1-URGENT").alias("o_orderpriority"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(S.L, "train_trees", lambda rows, *_: given.append(rows))
+    _, rows, _ = S.trained(Tables(spark, str(tmp_path)))
+    assert rows.count() == n and rows.filter("is_test").count() == n // 5
+    sizes = [r["count"] for r in given[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == n * 4 // 5 and max(sizes) < n / 3
