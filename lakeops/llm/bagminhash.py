@@ -26,7 +26,7 @@ from lakeops.session import materialize
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
-#: Buckets up to this size give pairs of texts, larger ones blocks of them.
+#: Buckets up to this size are compared as one row each, larger ones in blocks.
 SMALL = 8
 #: Texts and bytes of shingles of a block of a larger bucket.
 BLOCK_TEXTS, BLOCK_BYTES = 1_000, 32_000_000
@@ -149,7 +149,12 @@ def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, threshold
     """
     sketches = nodes.select("key", "sketch")
     met = pairs.join(sketches.select(F.col("key").alias("a"), F.col("sketch").alias("_x")), "a").join(sketches.select(F.col("key").alias("b"), F.col("sketch").alias("_y")), "b")
-    likely = materialize(_compared(met, "_x", "_y", _agreement, "agreement").filter(F.col("agreement") >= threshold - MARGIN).select("a", "b"), "bag_likely")
+    likely = _compared(met, "_x", "_y", _agreement, "agreement").filter(F.col("agreement") >= threshold - MARGIN).select("a", "b")
+    return confirmed(materialize(likely, "bag_likely"), nodes, documents, threshold, size)
+
+
+def confirmed(likely: DataFrame, nodes: DataFrame, documents: DataFrame, threshold: float, size: int) -> DataFrame:
+    """The same for pairs whose sketches are alike: whole texts decide."""
     bags = bags_of(likely.select(F.col("a").alias("key")).union(likely.select("b")).distinct(), nodes, documents, size)
     met = likely.join(bags.select(F.col("key").alias("a"), F.col("bag").alias("_x")), "a").join(bags.select(F.col("key").alias("b"), F.col("bag").alias("_y")), "b")
     return _compared(met, "_x", "_y", _alike, "similarity").filter(F.col("similarity") >= threshold)
@@ -220,11 +225,26 @@ def common_elements(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np
     return common.astype(np.float64), sizes[: len(left)], sizes[len(left) :]
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """Each unordered pair of keys of other groups that meet in a bucket, once."""
-    left, right = (rows.select("bucket", F.col("key").alias(k), F.col("group").alias(g)) for k, g in (("a", "_g"), ("b", "_h")))
-    both = left.join(right, "bucket").filter((F.col("a") < F.col("b")) & (F.col("_g") != F.col("_h")))
-    return both.select("a", "b").distinct()
+def likely_in_small(few: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of texts of other groups in small buckets whose sketches are alike, once each.
+
+    A bucket with its few sketches is one row, and its texts are compared in the task: texts travel once a bucket, and only alike pairs become rows.
+    """
+    texts = few.join(nodes.select("key", "sketch"), "key").groupBy("bucket").agg(F.collect_list(F.struct("key", "group", "sketch")).alias("texts"))
+
+    def run(batches):
+        for batch in batches:
+            left, right = [], []
+            for bucket in batch.column(0).to_pylist():
+                bucket.sort(key=lambda t: t["key"])
+                for i, one in enumerate(bucket):
+                    for other in bucket[i + 1 :]:
+                        if one["group"] != other["group"] and _agreement(one["sketch"], other["sketch"]) >= threshold - MARGIN:
+                            left.append(one["key"])
+                            right.append(other["key"])
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+
+    return in_small_batches(texts.select("texts")).mapInArrow(run, "a binary, b binary").distinct()
 
 
 def near_duplicates(documents: DataFrame, **parameters) -> DataFrame:
@@ -252,7 +272,7 @@ def duplicate_classes(
     Equal word sequences collapse before anything is compared. Two different texts become candidates when a
     band of their signatures agrees: with 25 bands of 5, a pair at 0.8 is missed with probability 5e-5, at 0.85 with
     1e-6. Every text of a bucket meets its leader first, drawn by a hash that is the same in all buckets. Only buckets that then hold
-    several groups go on: in those of at most ``small`` texts all pairs between groups are compared, in larger ones texts outside the
+    several groups go on: in those of at most ``small`` texts all pairs between groups are compared inside a row, in larger ones texts outside the
     largest group meet every text of another group, in blocks. No partner is capped.
     """
     texts = documents.filter(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
@@ -277,8 +297,8 @@ def duplicate_classes(
     mixed = materialize(grouped.join(main.select("bucket", F.col("_most.group").alias("_main")), "bucket").withColumn("apart", F.col("group") != F.col("_main")).drop("_main"), "bag_mixed")
     few, large = mixed.filter(F.col("n") <= small), mixed.filter(F.col("n") > small).drop("n")
     if not few.isEmpty():
-        pairs = materialize(_pairs(few).join(star, ["a", "b"], "left_anti"), "bag_pairs")
-        links = links.union(materialize(verified(pairs, nodes, documents, threshold, size).select("a", "b"), "bag_links"))
+        likely = materialize(likely_in_small(few, nodes, threshold).join(star, ["a", "b"], "left_anti"), "bag_likely")
+        links = links.union(materialize(confirmed(likely, nodes, documents, threshold, size).select("a", "b"), "bag_links"))
     if not large.isEmpty():
         links = links.union(materialize(links_in_blocks(large, nodes, documents, threshold, size), "bag_links"))
     if not mixed.isEmpty():

@@ -88,3 +88,25 @@ def test_odd_rows(odd_documents, no_documents):
     assert kept.columns == odd_documents.columns
     assert sorted((str(r["doc_id"]), len(r["text"] or "")) for r in kept.collect()).__len__() == 17 - 2 - 1 - 1 - 1
     assert near_duplicates(no_documents).count() == 0 and keep_one(no_documents).count() == 0
+
+
+def test_small_buckets_become_no_pairs(spark, monkeypatch):
+    """Texts of several groups that meet in small buckets: no join makes their pairs, whose number grows with the square of a bucket, and no link is lost."""
+    few = []
+    plain = bagminhash.likely_in_small
+    monkeypatch.setattr(bagminhash, "likely_in_small", lambda rows, *a: few.append(rows) or plain(rows, *a))
+    rows = [(i, t) for i, t in enumerate(t for s in range(12) for t in variants(300 + s, 120, 6, 2))]
+    made = {r["doc_id"]: r["class_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = plain_classes(rows)
+    assert made == {i: min(j for j in want if want[j] == c) for i, c in want.items()}
+    assert few and few[0].count() > 0
+
+
+def test_likely_pairs_of_small_buckets(spark):
+    sketch = lambda *values: np.array(values, np.uint16).tobytes()
+    alike, other = sketch(*range(20)), sketch(*range(100, 120))
+    near = sketch(*range(18), 90, 91)
+    few = spark.createDataFrame([(1, b"c", b"c"), (1, b"a", b"a"), (1, b"b", b"a"), (1, b"d", b"d"), (2, b"a", b"a"), (2, b"c", b"c")], "bucket long, key binary, `group` binary")
+    nodes = spark.createDataFrame([(b"a", alike), (b"b", near), (b"c", near), (b"d", other)], "key binary, sketch binary")
+    got = bagminhash.likely_in_small(few, nodes, 0.8)
+    assert sorted((bytes(r["a"]), bytes(r["b"])) for r in got.collect()) == [(b"a", b"c"), (b"b", b"c")]
