@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.operators.ordered import ordered_scan
 from lakeops.session import materialize
 
 
@@ -96,9 +97,13 @@ def range_join(
     hot_rows: int = 5_000_000,
     salts: int = 64,
     pairs_a_row: int = PAIRS_A_ROW,
+    count: str | None = None,
+    sums: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Points inside periods (both ends included) of the same key; dates or times. NULL keys and bounds match nothing.
 
+    With ``count`` the result is one row per point that lies in some period, with the number of its periods and the ``sums`` of their columns, and no pair is made; see ``range_totals``.
+
     Keys with few points or few periods, which have at most ``pairs_a_row`` pairs for each of their rows, are joined by the key alone: their rows travel once, and the
     pairs that are tried grow with the rows. All other keys are joined by bins. Both inputs are read for the counts and again for the join, so write those that are costly.
 
@@ -107,6 +112,8 @@ def range_join(
     units of a period's two ends can they meet in vain. Keys with more than
     ``hot_rows`` points are salted: their points on the upper levels, where many share a bin, are dealt to ``salts`` copies of the periods.
     """
+    if count:
+        return range_totals(points, periods, keys, at, start, end, count=count, sums=sums, unit=unit)
     some = lambda df: df.filter(reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys]))
     points, periods = some(points), some(periods)
     inside = (F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end))
@@ -138,6 +145,42 @@ def _binned_join(points, periods, keys, at, start, end, unit, hot_rows, salts) -
     return met.filter((F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end))).drop("_own", "_level", "_bin")
 
 
+def range_totals(
+    points: DataFrame, periods: DataFrame, keys: Sequence[str], at: str, start: str, end: str, *, count: str, sums: Mapping[str, str] | None = None,
+    unit: str = "day", hot_rows: int = 1_000_000,
+) -> DataFrame:
+    """``range_join`` summed up per point: the points with some period, the count of these periods and the sums of their columns, {new column: column}.
+
+    No pair becomes a row. Starts, points and ends of a key are put in time order, and a point's totals are what has started up to it without what has ended before it. Keys of
+    more than ``hot_rows`` rows are cut into slices of the unit. Sums are exact for whole numbers and decimals; a sum of NULLs alone is NULL. Rows of ``points`` that repeat stay.
+    """
+    sums = dict(sums or {})
+    whole = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    kept = points.filter(whole & F.col(at).isNotNull())
+    none = F.lit(0)
+    own = F.struct(*[F.col(c) for c in points.columns])
+
+    def steps(when: str, turn: int, sign: int) -> DataFrame:
+        """What changes at the start (1) or after the end (-1) of the periods, added up for each moment."""
+        numbers = [F.sum(F.lit(sign)).alias("_n")]
+        for i, c in enumerate(sums.values()):
+            numbers += [F.sum(F.col(c) * sign).alias(f"_s{i}"), F.sum(F.col(c).isNotNull().cast("long") * sign).alias(f"_c{i}")]
+        real = periods.filter(whole & (F.col(start) <= F.col(end)))
+        made = real.groupBy(*keys, F.col(when).cast("timestamp_ntz").alias("_at"), F.lit(turn).alias("_turn")).agg(*numbers)
+        return made.withColumn("_id", F.lit(0).cast("long"))
+
+    changes = [f"_{kind}{i}" for i in range(len(sums)) for kind in "sc"]
+    marks = kept.select(*keys, F.col(at).cast("timestamp_ntz").alias("_at"), F.lit(1).alias("_turn"), F.monotonically_increasing_id().alias("_id"), own.alias("_point"))
+    marks = marks.select("*", *[none.cast("long").alias(c) for c in ("_n", *changes)])
+    rows = steps(start, 0, 1).unionByName(steps(end, 2, -1)).unionByName(marks, allowMissingColumns=True)
+    seconds = BIN_SECONDS[unit]
+    slices = F.floor(F.unix_micros(F.col("_at").cast("timestamp")) / (seconds * 1_000_000))
+    scanned = ordered_scan(rows, keys, ["_at", "_turn", "_id"], slices, running={f"{c}_upto": c for c in ("_n", *changes)}, hot_rows=hot_rows)
+    met = scanned.filter((F.col("_turn") == 1) & (F.col("_n_upto") > 0))
+    totals = [F.when(F.col(f"_c{i}_upto") > 0, F.col(f"_s{i}_upto")).alias(name) for i, name in enumerate(sums)]
+    return met.select("_point.*", F.col("_n_upto").alias(count), *totals)
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], spread: Column, how: str = "inner",
     hot_rows: int = 5_000_000, salts: int = 64, hot: DataFrame | None = None,

@@ -146,8 +146,8 @@ def _(t):
     started = (F.col("o_orderdate") + F.expr("interval 28 years")).alias("started")
     periods = t.orders.select("o_orderkey", (F.col("o_custkey") % 20).alias("k"), started).withColumn("ended", F.expr("started + make_dt_interval(0, cast(o_orderkey % 900 as int))"))
     points = t.events.select("user_id", "event_type", (F.col("user_id") % 20).alias("k"), "ts")
-    met = J.range_join(points, periods, ["k"], "ts", "started", "ended", "hour")
-    return met.groupBy("user_id", "event_type").agg(n_rows("n"), F.sum("o_orderkey").alias("orders"))
+    met = J.range_join(points, periods, ["k"], "ts", "started", "ended", "hour", count="periods", sums={"of_event": "o_orderkey"})
+    return met.groupBy("user_id", "event_type").agg(F.sum("periods").alias("n"), F.sum("of_event").alias("orders"))
 
 
 @query("j8_dimension_join", """

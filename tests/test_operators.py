@@ -212,6 +212,37 @@ def test_range_join_of_few_rows_a_key_lays_out_no_period(spark, capsys):
     assert "Generate" not in capsys.readouterr().out
 
 
+@pytest.mark.parametrize("unit, hot_rows", [("day", 1_000_000), ("hour", 20)])
+def test_range_totals_equal_the_pairs(spark, unit, hot_rows):
+    """Bounds that meet points, empty and reversed periods, NULLs, repeated points and periods; also with keys in slices."""
+    rng = random.Random(6)
+    moment = lambda: datetime(1969, 12, 1) + timedelta(hours=rng.randrange(60 * 24), microseconds=rng.randrange(2))
+    points = [(rng.choice(["hot", "hot", "a", None]), i // 2, moment()) for i in range(300)] + [("a", 999, None)]
+    starts = [*(p[2] for p in points[:40]), *(moment() for _ in range(40))]
+    periods = [(rng.choice(["hot", "a", None]), rng.choice([None, i]), s, s + timedelta(seconds=rng.choice([-1, 0, 1, 3_600, 86_400, 2_000_000]))) for i, s in enumerate(starts)]
+    periods += [*periods[:10], ("a", 5, None, None), ("hot", 7, moment(), None)]
+    got = J.range_totals(
+        spark.createDataFrame(points, "k string, p int, at timestamp_ntz"), spark.createDataFrame(periods, "k string, q int, s timestamp_ntz, e timestamp_ntz"),
+        ["k"], "at", "s", "e", count="n", sums={"total": "q"}, unit=unit, hot_rows=hot_rows,
+    )
+    expected = []
+    for k, p, at in points:
+        of = [q for k2, q, s, e in periods if k and at and s and e and k == k2 and s <= at <= e]
+        if of:
+            known = [q for q in of if q is not None]
+            expected.append((k, p, at, len(of), sum(known) if known else None))
+    assert rows(got, "k", "p", "at", "n", "total") == sorted(expected, key=str) and len(expected) > 100
+
+
+def test_range_totals_make_no_row_of_a_pair(spark):
+    """A thousand periods hold each of a thousand points: two rows a period and one a point are put in order, no pair is."""
+    moment = F.timestamp_seconds("id").cast("timestamp_ntz")
+    points = spark.range(1_000).select(F.lit(1).alias("k"), moment.alias("at"))
+    periods = spark.range(1_000).select(F.lit(1).alias("k"), F.timestamp_seconds(-F.col("id")).cast("timestamp_ntz").alias("s"), F.timestamp_seconds(F.col("id") + 2_000).cast("timestamp_ntz").alias("e"))
+    got = J.range_totals(points, periods, ["k"], "at", "s", "e", count="n")
+    assert got.agg(F.count(F.lit(1)), F.min("n"), F.max("n")).first() == (1_000, 1_000, 1_000)
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, how):
     left = spark.range(400).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50)).alias("k"), F.col("id").alias("i"))
@@ -404,3 +435,16 @@ def test_contract_of_records(spark):
         ("a", "integer", "text", 1), ("a", "integer", "decimal", 1), ("d", None, "object", 1), ("f", None, "boolean", 1),
         ("a", "integer", None, 4), ("b", "text", None, 6), ("c", "array", None, 6), ("z", "text", None, 7),
     ], key=str)
+
+
+def test_shuffle_partitions_are_joined_to_a_size_that_a_task_can_sort(spark):
+    """A larger size is lowered, a smaller one stays."""
+    from lakeops.session import ADVISORY, configure
+
+    before = spark.conf.get(ADVISORY)
+    try:
+        for given, kept in (("64MB", "16777216b"), ("67108864b", "16777216b"), ("8m", "8m"), ("1g", "16777216b")):
+            spark.conf.set(ADVISORY, given)
+            assert configure(spark).conf.get(ADVISORY) == kept
+    finally:
+        spark.conf.set(ADVISORY, before)
