@@ -10,6 +10,7 @@ is followed only until its time passes the latest of the document's first points
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.llm.common import hash_buckets, in_buckets, in_small_batches, map_texts, packed
-from lakeops.llm.components import connected
+from lakeops.llm.components import between, connected, merged
 from lakeops.llm.shingles import mix, shingles_of, words_of
 from lakeops.session import materialize
 
@@ -165,7 +166,8 @@ def links_in_blocks(mixed: DataFrame, nodes: DataFrame, documents: DataFrame, th
 
     A bucket's texts are dealt to blocks of about BLOCK_TEXTS texts and BLOCK_BYTES bytes, the largest group's and the others' each on their own, and
     every two blocks of which one is apart meet in a task, as a product of two matrices. So no pair becomes a row, and a
-    bucket with few texts apart takes a number of tasks that follows its size. Of the links that join the same groups in a task one is returned.
+    bucket with few texts apart takes a number of tasks that follows its size. ``a`` and ``b`` are groups, and a task returns
+    only links that join what its others leave apart: fewer than it has groups, not one for every two.
     """
     weighed = mixed.join(nodes.select("key", "n_shingles"), "key")
     per = weighed.groupBy("bucket", "apart").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col("n_shingles") * 8).alias("_b"))
@@ -187,19 +189,31 @@ def links_in_blocks(mixed: DataFrame, nodes: DataFrame, documents: DataFrame, th
         left = unit["apart"] & (unit["_own"] == first["i"])
         right = (unit["apart"] & (unit["_own"] == first["j"])) if first["both"] else ~unit["apart"]
         x, y = unit[left], unit[right]
-        found: dict = {}
+        found: list = []
         if len(x) and len(y):
             common, nx, ny = common_elements([np.frombuffer(b, np.uint64) for b in x["bag"]], [np.frombuffer(b, np.uint64) for b in y["bag"]])
             alike = common >= threshold * (nx[:, None] + ny[None, :] - common)
-            keys, others, of, other_of = x["key"].to_numpy(), y["key"].to_numpy(), x["group"].to_numpy(), y["group"].to_numpy()
-            for i, j in zip(*np.nonzero(alike), strict=True):
-                if of[i] != other_of[j]:
-                    found.setdefault((min(of[i], other_of[j]), max(of[i], other_of[j])), (min(keys[i], others[j]), max(keys[i], others[j])))
-        return pd.DataFrame(list(found.values()), columns=["a", "b"])
+            groups, codes = np.unique([*x["group"], *y["group"]], return_inverse=True)
+            found = [(min(groups[i], groups[j]), max(groups[i], groups[j])) for i, j in joining(alike, codes[: len(x)], codes[len(x) :])]
+        return pd.DataFrame(found, columns=["a", "b"])
 
     return rows.groupBy("bucket", "unit").applyInPandas(meet, "a binary, b binary").distinct()
 
 
+def joining(alike: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links between the groups of the rows (``left``) and columns (``right``) of a matrix that join as much as all its true cells, none of them twice."""
+    label = np.arange(max(left.max(), right.max()) + 1)
+    links = []
+    for one, row in zip(left, alike, strict=True):
+        others = right[row]
+        tops, first = np.unique(label[others], return_index=True)
+        new = tops != label[one]
+        if new.any():
+            links += [(one, other) for other in others[first[new]]]
+            label[np.isin(label, tops)] = label[one]
+    return links
+
+
 def common_elements(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """How many elements each left and each right multiset have in common, and their sizes. A repeat of an element is an element of its own."""
     bags = [*left, *right]
@@ -296,13 +310,14 @@ def duplicate_classes(
     main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "group")).alias("_most"), F.count(F.lit(1)).alias("groups")).filter("groups > 1")
     mixed = materialize(grouped.join(main.select("bucket", F.col("_most.group").alias("_main")), "bucket").withColumn("apart", F.col("group") != F.col("_main")).drop("_main"), "bag_mixed")
     few, large = mixed.filter(F.col("n") <= small), mixed.filter(F.col("n") > small).drop("n")
+    more = []
     if not few.isEmpty():
         likely = materialize(likely_in_small(few, nodes, threshold).join(star, ["a", "b"], "left_anti"), "bag_likely")
-        links = links.union(materialize(confirmed(likely, nodes, documents, threshold, size).select("a", "b"), "bag_links"))
+        more.append(materialize(between(confirmed(likely, nodes, documents, threshold, size).select("a", "b"), groups), "bag_links"))
     if not large.isEmpty():
-        links = links.union(materialize(links_in_blocks(large, nodes, documents, threshold, size), "bag_links"))
-    if not mixed.isEmpty():
-        groups = connected(links)
+        more.append(materialize(links_in_blocks(large, nodes, documents, threshold, size), "bag_links"))
+    if more:
+        groups = merged(groups, connected(reduce(DataFrame.union, more)))
     return made.select("doc_id", "text_hash", "key").join(groups, "key", "left").select("doc_id", "text_hash", "key", F.coalesce("group", "key").alias("group"))
 
 

@@ -110,3 +110,76 @@ def test_likely_pairs_of_small_buckets(spark):
     nodes = spark.createDataFrame([(b"a", alike), (b"b", near), (b"c", near), (b"d", other)], "key binary, sketch binary")
     got = bagminhash.likely_in_small(few, nodes, 0.8)
     assert sorted((bytes(r["a"]), bytes(r["b"])) for r in got.collect()) == [(b"a", b"c"), (b"b", b"c")]
+
+
+def test_blocks_return_links_that_join(spark):
+    """Texts of a bucket that are all alike and all groups of their own: fewer links than texts, not one for every two; those that are alike to none stay out."""
+    n = 40
+    rows = [(i, t) for i, t in enumerate([*variants(701, 200, n, 1), prose(702, 150), prose(703, 150)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keys, bags = bagminhash.multisets([t.encode() for _, t in rows], 5)
+    nodes = spark.createDataFrame([(k, i, len(b)) for i, (k, b) in enumerate(zip(keys, bags, strict=True))], "key binary, first_id long, n_shingles long")
+    mixed = spark.createDataFrame([(7, k, k, i > 0) for i, k in enumerate(keys)], "bucket long, key binary, `group` binary, apart boolean")
+    links = [(bytes(r["a"]), bytes(r["b"])) for r in bagminhash.links_in_blocks(mixed, nodes, docs, 0.8, 5).collect()]
+    assert len(links) <= 2 * (n - 1)  # two units: those apart and the largest group, those apart among themselves
+    assert len(joined_by(links)) == 1 and joined_by(links)[0] == set(keys[:n])
+
+
+def joined_by(links: list[tuple]) -> list[set]:
+    out: list[set] = []
+    for a, b in links:
+        met = [s for s in out if a in s or b in s]
+        out = [s for s in out if s not in met] + [{a, b}.union(*met)]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_joining_links(seed):
+    r = np.random.default_rng(seed)
+    alike = r.random((r.integers(1, 30), r.integers(1, 30))) < r.choice([0.02, 0.1, 0.9])
+    left, right = r.integers(0, 20, alike.shape[0]), r.integers(0, 20, alike.shape[1])
+    links = [(int(a), int(b)) for a, b in bagminhash.joining(alike, left, right)]
+    every = {(int(left[i]), int(right[j])) for i, j in zip(*np.nonzero(alike), strict=True) if left[i] != right[j]}
+    assert set(links) <= every and sorted(map(sorted, joined_by(links))) == sorted(map(sorted, joined_by(list(every))))
+    assert len(links) == sum(len(s) - 1 for s in joined_by(links))
+
+
+def graphs() -> dict[str, list[tuple]]:
+    r = np.random.default_rng(3)
+    path = r.permutation(90).tolist()
+    return {
+        "random": [tuple(map(int, p)) for p in r.integers(0, 150, (140, 2))], "chain": [(i, i + 1) for i in range(200)], "star": [(50, i) for i in range(100)],
+        "odd": [(1, 1), (2, None), (None, 3), (5, 4), (4, 5), (5, 4), (4, 5)], "none": [], "shuffled chain": [*zip(path, path[1:], strict=False)],
+    }
+
+
+@pytest.mark.parametrize("name", list(graphs()))
+def test_components(spark, monkeypatch, name):
+    """Groups are those of the links, and of the links only those between groups that are still apart go on to the next round."""
+    from lakeops.llm import components
+
+    written, plain = [], components.materialize
+
+    def told(df, label):
+        made = plain(df, label)
+        written.append((label, made.count()))
+        return made
+
+    monkeypatch.setattr(components, "materialize", told)
+    links = graphs()[name]
+    got = {r["key"]: r["group"] for r in components.connected(spark.createDataFrame(links, "a long, b long")).collect()}
+    whole = [x for x in links if None not in x]
+    assert got == {k: min(s) for s in joined_by(whole) for k in s}
+    edges = [n for label, n in written if label == "component_edges"]
+    assert edges[-1] == 0 and sum(edges) <= 2 * len({tuple(sorted(x)) for x in whole})
+    assert len(written) <= 25
+
+
+def test_merged_groups(spark):
+    from lakeops.llm.components import between, merged
+
+    groups = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5)], "key long, `group` long")
+    links = spark.createDataFrame([(2, 1), (6, 2), (9, 5), (5, 9), (8, 7)], "a long, b long")
+    assert sorted(map(tuple, between(links, groups).collect())) == [(1, 5), (5, 9), (7, 8)]
+    over = spark.createDataFrame([(1, 1), (5, 1), (9, 1), (7, 7), (8, 7)], "key long, `group` long")
+    assert sorted(map(tuple, merged(groups, over).collect())) == [(1, 1), (2, 1), (5, 1), (6, 1), (7, 7), (8, 7), (9, 1)]
